@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def blocks(array: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
     """Row ranges of a string array, each of at most ``limit`` bytes or of one row."""
     if not len(array):
         return
-    sizes = np.asarray(pa.compute.binary_length(array).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(array).fill_null(0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if i > start and total + n > limit:
@@ -82,7 +83,7 @@ def blocks(array: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all rows end to end, and where each begins (one more at the end); nulls are empty."""
-    data = pa.compute.fill_null(array.cast(pa.large_string()), "").cast(pa.large_binary())
+    data = pc.fill_null(array.cast(pa.large_string()), "").cast(pa.large_binary())
     data = pa.concat_arrays([data])
     ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
     body = data.buffers()[2]
@@ -97,3 +98,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def row_key(*columns: str) -> Column:
+    """A 64-bit key of a row; joins on it also compare the id, so that equal keys of different rows don't meet."""
+    return F.xxhash64(*columns)
+
+
+def grams(hashes: Column, n: int) -> Column:
+    """Hashes of all runs of n neighbours of an array of hashes; none if it is shorter."""
+    return F.when(
+        F.size(hashes) >= n,
+        F.transform(F.sequence(F.lit(0), F.size(hashes) - n), lambda i: F.xxhash64(*(hashes[i + k] for k in range(n)))),
+    ).otherwise(F.array().cast("array<bigint>"))
