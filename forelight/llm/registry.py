@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forelight.llm import bpe
+from forelight.llm import bpe, fingerprint, superminhash, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_lexicon": bpe.op5_bpe_lexicon,
+    "op6_superminhash": superminhash.op6_superminhash,
+    "op7_bottom_k": fingerprint.op7_bottom_k,
+    "op8_winnowing": winnow.op8_winnowing,
+}
+ORACLES: dict[str, str] = {
+    "op8_winnowing": winnow.OP8_SQL,
 }
-ORACLES: dict[str, str] = {}
