@@ -29,16 +29,28 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forelight.llm.common import Scratch
+
 #: Words in the lexicon, and how many a task may count at a time before it prunes the rare ones.
 LEXICON_WORDS, COUNTED_WORDS = 32_768, 200_000
-#: Encoded words that a worker keeps.
-CACHED_WORDS = 300_000
+#: Encoded words, and units of plain texts, that a worker keeps.
+CACHED_WORDS = 200_000
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Texts in which every Unicode version agrees on case, classes and composition.
 _PLAIN = re.compile("[\t\n\r -~\xa0-ɏ‐-‧]*").fullmatch
 
 
+def _byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
+_BYTES = {c: b for b, c in enumerate(_byte_letters())}
+
+
 class Rules:
     """Merge rules and vocabulary of a word-end BPE file."""
 
@@ -63,9 +75,19 @@ class Rules:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[a], vocab[b]] = rank, vocab[a + b]
 
+    def units(self, text: str) -> tuple[list[str], bool]:
+        """Strings to encode one after the other, and whether these are words already.
+
+        In plain texts they are what lies between white space, as no word
+        crosses that; the same few come again and again, punctuation included.
+        """
+        if _PLAIN(text) and not (self.cut and self.cut.search(text)):
+            return text.lower().split(), False
+        return self.pieces(text), True
+
     def pieces(self, text: str) -> list[str]:
         """The words that are encoded one by one, special tokens among them."""
-        parts = self.cut.split(text) if self.cut and "<|" in text else [text]
+        parts = self.cut.split(text) if self.cut else [text]
         out: list[str] = []
         for k, part in enumerate(parts):
             if k % 2:
@@ -73,9 +95,8 @@ class Rules:
             elif _PLAIN(part):
                 out += _WORDS.findall(part.lower())
             elif part:
-                back = {c: b for b, c in enumerate(_byte_letters())}
                 normal = self.library.normalizer.normalize_str(part)
-                out += [bytes(back[c] for c in w).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+                out += [bytes(_BYTES[c] for c in w).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
         return out
 
     def merge(self, word: str) -> list[int]:
@@ -88,16 +109,19 @@ class Rules:
         return self._short(ids) if len(ids) <= 48 else self._long(ids)
 
     def _short(self, ids: list[int]) -> list[int]:
-        get = self.merges.get
-        while len(ids) > 1:
-            best = None
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-                rule = get(pair)
-                if rule and (best is None or rule[0] < best[0]):
-                    best = rule[0], i, rule[1]
-            if best is None:
+        get, none = self.merges.get, (1 << 30, 0)
+        rules = [get(pair, none) for pair in zip(ids, ids[1:], strict=False)]
+        while rules:
+            best = min(rules)
+            if best is none:
                 break
-            ids[best[1] : best[1] + 2] = [best[2]]
+            i = rules.index(best)
+            ids[i : i + 2] = [best[1]]
+            del rules[i]
+            if i:
+                rules[i - 1] = get((ids[i - 1], best[1]), none)
+            if i < len(rules):
+                rules[i] = get((best[1], ids[i + 1]), none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
@@ -121,11 +145,8 @@ class Rules:
         return [x for x in ids if x >= 0]
 
 
-def _byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+#: Spreads edges over the table.
+_SPREAD = 2654435761
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -134,7 +155,8 @@ def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
     Words enter in byte order; once a word's tail can't change any more its
     states are merged with equal ones, so words share suffixes as well as
     prefixes. Every edge holds how many words precede it among its state's,
-    and their sum along a path is the word's number.
+    and their sum along a path is the word's number. Edges lie in an open hash
+    table by state and byte.
     """
     words = sorted((w.encode(), ids) for w, ids in entries.items())
     register: dict[tuple, int] = {}
@@ -161,24 +183,29 @@ def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
     root = len(done)
     done.append((path[0][0], tuple(path[0][1]), len(words)))
 
-    first = np.zeros(len(done) + 1, np.uint32)
-    first[1:] = np.cumsum([len(e) for _, e, _ in done])
-    label, target, skip = [], [], []
-    for final, edges, _ in done:
-        passed = int(final)
-        for byte, to in edges:
-            label.append(byte)
-            target.append(to)
-            skip.append(passed)
-            passed += done[to][2]
+    edges = [(state, byte, to) for state, (_, e, _) in enumerate(done) for byte, to in e]
+    size = 1 << max(4, (2 * len(edges)).bit_length())
+    key, target, skip = (np.zeros(size, np.uint32) for _ in range(3))
+    passed = [int(f) for f, _, _ in done]
+    for state, byte, to in edges:
+        mark = (state << 8 | byte) + 1
+        at = mark * _SPREAD & size - 1
+        while key[at]:
+            at = at + 1 & size - 1
+        key[at], target[at], skip[at] = mark, to, passed[state]
+        passed[state] += done[to][2]
     final = np.array([f for f, _, _ in done], np.uint32)
     start = np.zeros(len(words) + 1, np.uint32)
     start[1:] = np.cumsum([len(ids) for _, ids in words])
-    arrays = [first, final, np.array(label, np.uint32), np.array(target, np.uint32), np.array(skip, np.uint32), start, np.array([i for _, ids in words for i in ids], np.uint32)]
+    arrays = [final, key, target, skip, start, np.array([i for _, ids in words for i in ids], np.uint32)]
     head = np.array([root, *map(len, arrays)], np.uint32)
     return b"".join(a.astype("<u4").tobytes() for a in [head, *arrays])
 
 
+def _outline(word: str) -> tuple[str, str, int]:
+    return word[:4], word[-4:], len(word)
+
+
 class Lexicon:
     """A compiled lexicon, memory-mapped."""
 
@@ -188,27 +215,40 @@ class Lexicon:
             f.flush()
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         view = memoryview(self.map).cast("I")
-        self.root, sizes, at, arrays = view[0], view[1:8], 8, []
+        self.root, sizes, at, arrays = view[0], view[1:7], 7, []
         for n in sizes:
             arrays.append(view[at : at + n])
             at += n
-        self.first, self.final, self.label, self.target, self.skip, self.start, self.ids = arrays
+        self.final, self.key, self.target, self.skip, self.start, self.ids = arrays
+        self.mask = len(self.key) - 1
+        #: Begin, end and length of all words; most others are told from these by one look.
+        self.outlines = {_outline(w) for w in self._words()}
+
+    def _words(self) -> Iterator[str]:
+        edges: dict[int, list[tuple[int, int]]] = {}
+        for at, mark in enumerate(self.key):
+            if mark:
+                edges.setdefault((mark - 1) >> 8, []).append(((mark - 1) & 255, self.target[at]))
+        stack = [(self.root, b"")]
+        while stack:
+            state, word = stack.pop()
+            if self.final[state]:
+                yield word.decode()
+            stack += [(to, word + bytes([byte])) for byte, to in edges.get(state, [])]
 
     def get(self, word: str) -> list[int] | None:
-        state, number = self.root, 0
-        first, label = self.first, self.label
+        if _outline(word) not in self.outlines:
+            return None
+        state, number, key, mask = self.root, 0, self.key, self.mask
         for byte in word.encode():
-            low, high = first[state], first[state + 1]
-            while low < high:
-                mid = (low + high) // 2
-                if label[mid] < byte:
-                    low = mid + 1
-                else:
-                    high = mid
-            if low == first[state + 1] or label[low] != byte:
-                return None
-            number += self.skip[low]
-            state = self.target[low]
+            mark = (state << 8 | byte) + 1
+            at = mark * _SPREAD & mask
+            while (found := key[at]) != mark:
+                if not found:
+                    return None
+                at = at + 1 & mask
+            number += self.skip[at]
+            state = self.target[at]
         return list(self.ids[self.start[number] : self.start[number + 1]]) if self.final[state] else None
 
 
@@ -223,35 +263,45 @@ def _lexicon(compiled: bytes) -> Lexicon:
 
 
 @lru_cache(maxsize=1)
-def _known(compiled: bytes) -> dict[str, tuple[str, str, int]]:
-    """Words encoded by this worker so far, over all its tasks."""
-    return {}
+def _known(compiled: bytes) -> tuple[dict, dict]:
+    """Units and words encoded by this worker so far, over all its tasks."""
+    return {}, {}
 
 
 def frequent_words(texts: DataFrame, spec: bytes, most: int = LEXICON_WORDS) -> dict[str, int]:
-    """The ``most`` most frequent words over all rows of the one text column.
-
-    Each task counts all its words and, whenever it holds COUNTED_WORDS of
-    them, forgets those that it has seen least; so a count may be low for rare
-    words, but the words that matter for speed are found. Results of encoding
-    don't depend on which words are in the lexicon.
+    """The most frequent words over all rows of the one text column.
+
+    Those that make up at least a ``3 * most``-th of all words, so no more than
+    that many, and of these the first ``most``. Each task counts all its words
+    and, whenever it holds COUNTED_WORDS of them, forgets those that it has
+    seen least; so a count may be low for rare words, but the words that matter
+    for speed are found. Results of encoding don't depend on which words are in
+    the lexicon.
     """
     shared = texts.sparkSession.sparkContext.broadcast(spec)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules, seen = _rules(shared.value), Counter()
+        rules, seen, exact = _rules(shared.value), Counter(), Counter()
         for batch in batches:
             for text in batch.column(0):
-                if text.as_py():
-                    seen.update(rules.pieces(text.as_py()))
-                    if len(seen) > COUNTED_WORDS:
-                        seen = Counter(dict(seen.most_common(COUNTED_WORDS // 4)))
-        best = seen.most_common(most)
+                units, words = rules.units(text.as_py() or "")
+                (exact if words else seen).update(units)
+                for counter in (seen, exact):
+                    if len(counter) > COUNTED_WORDS:
+                        best = dict(counter.most_common(COUNTED_WORDS // 4))
+                        counter.clear()
+                        counter.update(best)
+        for unit, n in seen.most_common(most):
+            for word in _WORDS.findall(unit):
+                exact[word] += n
+        best = exact.most_common(most)
         if best:
             yield pa.RecordBatch.from_pydict({"word": [w for w, _ in best], "n": [n for _, n in best]})
 
-    # "word" then decides ties, so the same counts always give the same lexicon.
-    rows = texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
+    counts = Scratch(texts.sparkSession, "bpe").keep(texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.sum("n")).head()[0] or 0
+    # "word" decides ties, so the same counts always give the same lexicon.
+    rows = counts.where(F.col("n") * 3 * most >= total).orderBy(F.desc("n"), "word").limit(most).collect()
     return {r["word"]: r["n"] for r in rows}
 
 
@@ -283,13 +333,21 @@ def _mapped(docs: DataFrame, spec: bytes, id_col: str, text_col: str, words: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules, lexicon = _rules(shared.value[0]), _lexicon(shared.value[1])
-        known, shown = _known(shared.value[1]), rules.text
+        (units, words), shown = _known(shared.value[1]), rules.text
 
-        def look_up(word: str) -> tuple[str, str, int]:
+        def of_word(word: str) -> tuple[str, str, int]:
             ids = lexicon.get(word) or rules.merge(word)
-            if len(known) >= CACHED_WORDS:
-                known.clear()
-            out = known[word] = " ".join(map(str, ids)), " ".join([shown[i] for i in ids]), len(ids)
+            if len(words) >= CACHED_WORDS:
+                words.clear()
+            out = words[word] = " ".join(map(str, ids)), " ".join([shown[i] for i in ids]), len(ids)
+            return out
+
+        def of_unit(unit: str) -> tuple[str, str, int]:
+            if len(units) >= CACHED_WORDS:
+                units.clear()
+            # A unit of letters only is one word.
+            got = [words.get(w) or of_word(w) for w in ([unit] if unit.isalpha() else _WORDS.findall(unit))]
+            out = units[unit] = got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), " ".join([g[1] for g in got]), sum([g[2] for g in got]))
             return out
 
         for batch in batches:
@@ -297,8 +355,9 @@ def _mapped(docs: DataFrame, spec: bytes, id_col: str, text_col: str, words: int
                 part = batch.slice(at, 512)
                 counts, outs = [], []
                 for text in part.column(1):
-                    text = text.as_py()
-                    got = [known.get(w) or look_up(w) for w in rules.pieces(text)] if text else []
+                    found, are_words = rules.units(text.as_py() or "")
+                    known, look_up = (words, of_word) if are_words else (units, of_unit)
+                    got = [known.get(x) or look_up(x) for x in found]
                     counts.append(sum([g[2] for g in got]))
                     outs.append(finish(" ".join([g[0] for g in got]), " ".join([g[1] for g in got])))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), *(pa.array([o[k] for o in outs], pa.string()) for k in range(2))], names=[id_col, "n_tokens", *names])
