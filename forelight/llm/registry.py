@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forelight.llm import bpe, fingerprint, pfp, pii, quality, superminhash, toxicity, winnow
+from forelight.llm import bpe, fingerprint, lines, pfp, pii, quality, sharding, superminhash, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_prefix_free_parsing": pfp.op2_prefix_free_parsing,
+    "op3_label_propagation": sharding.op3_label_propagation,
     "op4_personal_data": pii.op4_personal_data,
     "op5_bpe_lexicon": bpe.op5_bpe_lexicon,
     "op6_superminhash": superminhash.op6_superminhash,
     "op7_bottom_k": fingerprint.op7_bottom_k,
     "op8_winnowing": winnow.op8_winnowing,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_fuzzy_lines": lines.op10_fuzzy_lines,
 }
 ORACLES: dict[str, str] = {
     "op8_winnowing": winnow.OP8_SQL,
