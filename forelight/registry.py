@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from forelight.plans import forecast, observations, operations, scenarios
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for _plan in (forecast, observations, scenarios, operations):
+    QUERIES |= _plan.QUERIES
+    ORACLES |= _plan.ORACLES
