@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.llm import weak
-from forelight.llm.common import Scratch, table
+from forelight.llm.common import Scratch, least_hashes, table
 
-#: Documents from which the scorer is trained: those of the least id hashes among texts of at most FIT_CHARS.
+#: Documents from which the scorer is trained: those of the least id hashes, less texts of more than FIT_CHARS.
 FIT_ROWS, FIT_CHARS = 4_000, 20_000
 DIMS = 1 << 12
 #: Added to a text's words when shares of them are taken.
@@ -157,8 +157,8 @@ def label_model(docs: DataFrame, text_col: str = "text") -> weak.LabelModel:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, weak.LabelModel]:
     """Weights of the scorer (the last one is the bias), and the label model."""
     model = label_model(docs, text_col)
-    # The least hashes are drawn from ids and lengths, so only the sample's texts move.
-    ids = docs.where((F.char_length(text_col) <= FIT_CHARS) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS)
+    # The least hashes are drawn from ids, so only the sample's texts move.
+    ids = least_hashes(docs.select(F.col(id_col).alias("_id")).where("_id is not null"), "_id", FIT_ROWS)
     rows = docs.select(id_col, text_col).where(F.char_length(text_col) <= FIT_CHARS).join(F.broadcast(ids.distinct()), F.col(id_col) == F.col("_id")).select(id_col, text_col).limit(2 * FIT_ROWS).collect()
     rows = sorted({(r[0], r[1]) for r in rows})
     if not rows:

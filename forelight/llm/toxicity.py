@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.llm import weak
-from forelight.llm.common import table
+from forelight.llm.common import least_hashes, table
 
 FIT_ROWS, FIT_CHARS = 6_000, 20_000
 #: Hashed features; lexicon voters at most; documents that a lexicon term must be in.
@@ -123,7 +123,8 @@ def _posterior(docs: list[list[str]], texts: list[str], words: list[list[str]],
         mine = [place[t] for t in d if t in place]
         votes[i, mine] = 1
         votes[i, len(names) :] = [0 if mine else -1, *_patterns(x, w), 1 if y == 1 else -1]
-    model = weak.fit(votes, np.ones(len(docs)), prior=float((labels == 1).mean()))
+    start = np.where(labels == 1, 0.9, 0.02)  # labels miss some and are wrong on some
+    model = weak.fit(votes, np.ones(len(docs)), prior=float((labels == 1).mean()), start=start)
     return found, names, model, model.posterior(votes)
 
 
@@ -180,7 +181,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> t
     """At most FIT_ROWS labelled documents outside the held-out part, for the driver."""
     labels = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).where("y is not null and _id is not null")
     # The sample is drawn from the labels, which are short, so only its texts move.
-    fit = labels.where(F.crc32(F.col("_id").cast("string")) % PARTS != HELD_OUT).orderBy(F.xxhash64("_id"), "_id", "y").limit(FIT_ROWS)
+    fit = least_hashes(labels.where(F.crc32(F.col("_id").cast("string")) % PARTS != HELD_OUT), "_id", FIT_ROWS)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.char_length("text") <= FIT_CHARS)
     # FIT_ROWS pairs of numbers: a proven bound.
     rows = texts.join(F.broadcast(fit), F.col("doc_id") == F.col("_id")).select("text", "y", F.xxhash64(F.lit(7), "doc_id").alias("part"), "doc_id").collect()

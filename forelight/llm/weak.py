@@ -29,24 +29,32 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(self.logit(votes), -30, 30)))
 
 
-def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int = 60, smooth: float = 1.0) -> LabelModel:
-    """EM from a start at which every labeller is right nine times in ten.
+def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int = 60, smooth: float = 1.0, start: np.ndarray | None = None) -> LabelModel:
+    """EM from a start at which every vote is strong evidence.
 
     ``votes``: patterns x labellers; ``counts``: how often each pattern occurs.
+    ``start``: first beliefs instead, which also hold the prior where it is:
+    for classes that are rare and known in part, which EM would else widen.
     """
     votes, counts = np.asarray(votes, np.int64), np.asarray(counts, float)
     n, m = votes.shape if votes.ndim == 2 else (0, 0)
     if not n or not counts.sum():
         return LabelModel(prior, np.zeros((m, 3)), np.full(m, 0.5), np.zeros((m, m)))
     hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-    belief = 1 / (1 + np.exp(-np.clip(2.2 * votes.sum(axis=1) + np.log(prior / (1 - prior)), -30, 30)))
-    share = np.ones(m)
+    # Labellers that vote alike throughout are copies; they share one say from the start, or they would be the class.
+    centred = votes - np.average(votes, axis=0, weights=counts)
+    cov = (centred * counts[:, None]).T @ centred / counts.sum()
+    sd = np.sqrt(np.diag(cov)) + 1e-9
+    alike = np.clip((cov / np.outer(sd, sd) - 0.7) / 0.3, 0, 1)
+    np.fill_diagonal(alike, 0)
+    own = 1 / (1 + alike.sum(axis=1))
+    belief = start if start is not None else 1 / (1 + np.exp(-np.clip(4 * votes @ own + np.log(prior / (1 - prior)), -30, 30)))
     model = None
     for _ in range(rounds):
         yes, no = counts * belief, counts * (1 - belief)
         p = (np.einsum("n,nmv->mv", yes, hot) + smooth) / (yes.sum() + 3 * smooth)
         q = (np.einsum("n,nmv->mv", no, hot) + smooth) / (no.sum() + 3 * smooth)
-        prior = float(np.clip((yes.sum() + smooth) / (counts.sum() + 2 * smooth), 1e-4, 1 - 1e-4))
+        prior = prior if start is not None else float(np.clip((yes.sum() + smooth) / (counts.sum() + 2 * smooth), 1e-4, 1 - 1e-4))
         # What is left of each vote once the class is known, and how much it moves with others'.
         signs = np.array([-1.0, 0.0, 1.0])
         rest = votes - belief[:, None] * (p @ signs) - (1 - belief[:, None]) * (q @ signs)
@@ -54,7 +62,7 @@ def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int =
         sd = np.sqrt(np.diag(cov)) + 1e-9
         corr = np.clip(cov / np.outer(sd, sd), -1, 1)
         np.fill_diagonal(corr, 0)
-        share = 1 / (1 + np.clip(corr - 0.1, 0, None).sum(axis=1))
+        share = np.minimum(own, 1 / (1 + np.clip(corr - 0.1, 0, None).sum(axis=1)))
         model = LabelModel(prior, (np.log(p) - np.log(q)) * share[:, None], (prior * p[:, 2] + (1 - prior) * q[:, 0]) / np.maximum(prior * (p[:, 0] + p[:, 2]) + (1 - prior) * (q[:, 0] + q[:, 2]), 1e-9), corr)
         new = model.posterior(votes)
         if np.abs(new - belief).max() < 1e-6:
