@@ -4,10 +4,11 @@ Documents with equal texts are linked. Every document starts in the shard of its
 id's hash; in each round linked documents propose to move to the shard where
 most of their neighbours are, and as many proposals are taken as the shard's
 quota has room for. Members of a group are alike to the propagation, so its
-state has a row for each group and block of id hashes, not for each link; groups
-of more than half a quota are several groups. At the end documents are ranked by
-label, group and id, and the ranks are cut into shards whose counts differ by
-one at most: a group is cut only where a quota ends within it.
+state has a row for each group and block of id hashes, not for each link. Groups
+of more than half a quota, of which there are fewer than two for each shard, are
+laid end to end before all others. At the end documents are ranked by label,
+group and id, and the ranks are cut into shards whose counts differ by one at
+most: a group is cut only where a quota ends within it.
 
 Defined results: null counts as the empty text; texts that are equal byte by
 byte are linked; null ids come first among their group. Repeated rows are ranked
@@ -29,13 +30,8 @@ SLACK = 0.05
 _GROUP = ["g", "crc", "size"]
 
 
-def _part(n: Column, quota: int) -> Column:
-    """How many groups a group counts as."""
-    return F.greatest(F.ceil(n * 2 / quota), F.lit(1))
-
-
-def propagated(units: DataFrame, shards: int, rounds: int, scratch: Scratch) -> DataFrame:
-    """(group, block, label) of all groups with links.
+def propagated(units: DataFrame, shards: int, rounds: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(group, block, label) of groups with links, and (group, first) of those too large for one label.
 
     ``units`` has a row per document: the group's columns and the block.
     """
@@ -43,10 +39,11 @@ def propagated(units: DataFrame, shards: int, rounds: int, scratch: Scratch) ->
     total = sum(occupied.values())
     quota = max(1, int(total * (1 + SLACK)) // shards + 1)
     counts = units.groupBy(*_GROUP, "block").agg(F.count("*").alias("n"))
-    linked = counts.groupBy(*_GROUP).agg(F.sum("n").alias("all")).where(F.col("all") > 1)
-    state = counts.join(linked, _GROUP).withColumn("part", F.pmod(F.col("block"), _part(F.col("all"), quota)).cast("int"))
-    state = scratch.keep(state.select(*_GROUP, "part", "block", "n", F.expr(f"cast(block % {shards} as int)").alias("label")), "labels-0")
-    own = [*_GROUP, "part"]
+    linked = scratch.keep(counts.groupBy(*_GROUP).agg(F.sum("n").alias("all")).where(F.col("all") > 1), "linked")
+    large = linked.where(F.col("all") * 2 > quota)
+    state = counts.join(linked.where(F.col("all") * 2 <= quota), _GROUP)
+    state = scratch.keep(state.select(*_GROUP, "block", "n", F.expr(f"cast(block % {shards} as int)").alias("label")), "labels-0")
+    own = _GROUP
     for k in range(rounds):
         near = state.groupBy(*own, "label").agg(F.sum("n").alias("m"))
         best = near.groupBy(*own).agg(F.max_by("label", F.struct("m", F.xxhash64(*own, "label"))).alias("to"))
@@ -60,7 +57,9 @@ def propagated(units: DataFrame, shards: int, rounds: int, scratch: Scratch) ->
         if not moves:
             break
         # Room for those that come, if as many leave as ask to.
-        taken = [min(1.0, max(0.0, quota - occupied.get(s, 0) + leaving[s]) / asked[s]) if asked[s] else 0.0 for s in range(shards)]
+        # The last round settles what is still divided; ranks then cut evenly wherever that leads.
+        last = k == rounds - 1
+        taken = [1.0 if last else min(1.0, max(0.0, quota - occupied.get(s, 0) + leaving[s]) / asked[s]) if asked[s] else 0.0 for s in range(shards)]
         chance = F.element_at(F.array(*map(F.lit, taken)), F.col("to") + 1)
         goes = (F.col("label") != F.col("to")) & (F.pmod(F.xxhash64(*own, F.lit(k)), F.lit(1 << 20)) < chance * (1 << 20))
         state = scratch.keep(wish.withColumn("label", F.when(goes, F.col("to")).otherwise(F.col("label"))).drop("to"), f"labels-{k + 1}")
@@ -69,7 +68,7 @@ def propagated(units: DataFrame, shards: int, rounds: int, scratch: Scratch) ->
             occupied[r["to"]] = occupied.get(r["to"], 0) + r["m"]
             occupied[r["label"]] -= r["m"]
         scratch.drop(f"labels-{k}", f"wish-{k}")
-    return state.select(*_GROUP, "block", "label")
+    return state.select(*_GROUP, "block", "label"), large.select(*_GROUP, F.lit(-1).alias("first"))
 
 
 def ranked(df: DataFrame, order: list[Column], scratch: Scratch) -> tuple[DataFrame, int]:
@@ -103,8 +102,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col: s
         F.pmod(F.xxhash64(F.lit(1), F.col(id_col)), F.lit(BLOCKS)).cast("int").alias("block"),
     )
     units = scratch.keep(units, "units")
-    labels = propagated(units, shards, rounds, scratch)
-    placed = units.join(labels, [*_GROUP, "block"], "left").withColumn("label", F.coalesce("label", F.expr(f"cast(block % {shards} as int)")))
+    labels, large = propagated(units, shards, rounds, scratch)
+    # Fewer than two large groups for each shard: a proven bound.
+    placed = units.join(F.broadcast(large), _GROUP, "left").join(labels, [*_GROUP, "block"], "left")
+    placed = placed.withColumn("label", F.coalesce("first", "label", F.expr(f"cast(block % {shards} as int)")))
     order = [F.col("label"), F.col("g"), F.col("crc"), F.col("size"), F.col("doc_id").asc_nulls_first()]
     out, n = ranked(placed, order, scratch)
     n = max(n, 1)
