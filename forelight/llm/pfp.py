@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forelight.llm.common import BLOCK_BYTES, Scratch, mix, table
+from forelight.llm.common import BLOCK_BYTES, Scratch, mix, table, small_batches
 from forelight.llm.shingle import _CODES, _P, powers
 
 LENGTH, TRIGGER = 50, 16
@@ -276,6 +276,7 @@ def _find(group: pa.Table) -> pa.Table:
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, spans): begins of stretches that also begin in a smaller document, as runs: begin and number in turn."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "pfp")
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
     total = docs.select(F.sum(F.length("text"))).head()[0] or 0

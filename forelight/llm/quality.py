@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.llm import weak
-from forelight.llm.common import Scratch, least_hashes, table
+from forelight.llm.common import Scratch, least_hashes, table, small_batches
 
 #: Documents from which the scorer is trained: those of the least id hashes, less texts of more than FIT_CHARS.
 FIT_ROWS, FIT_CHARS = 4_000, 20_000
@@ -156,6 +156,7 @@ def label_model(docs: DataFrame, text_col: str = "text") -> weak.LabelModel:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, weak.LabelModel]:
     """Weights of the scorer (the last one is the bias), and the label model."""
+    small_batches(docs.sparkSession)
     model = label_model(docs, text_col)
     # The least hashes are drawn from ids, so only the sample's texts move.
     ids = least_hashes(docs.select(F.col(id_col).alias("_id")).where("_id is not null"), "_id", FIT_ROWS)
@@ -177,34 +178,47 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     return weights, model
 
 
+def score(text: str | None, weights: np.ndarray) -> float:
+    """From 0 (junk) to 1 (good)."""
+    margin = sum([weights[k] * v for k, v in sorted(features(*_read(text)).items())]) + weights[-1]
+    return 1 / (1 + float(np.exp(-np.clip(margin, -30, 30))))
+
+
+#: Rows that a worker hands back at a time.
+ROWS = 512
+
+
 def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, whole, and ``quality_score``."""
+    """Per row: id and quality_score."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
-        at = None
         for batch in batches:
-            at = batch.schema.get_field_index(text_col) if at is None else at
-            out = []
-            for text in batch.column(at):
-                margin = sum([weights[k] * v for k, v in sorted(features(*_read(text.as_py())).items())]) + weights[-1]
-                out.append(1 / (1 + float(np.exp(-np.clip(margin, -30, 30)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "quality_score"])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                out = [score(text.as_py(), shared.value) for text in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.float64())], names=[id_col, "quality_score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, quality_score double")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, quality_score double")
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the scorer holds for good, with all their columns."""
-    weights, _ = fit(docs, id_col, text_col)
-    scored = scores(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("_row")).select("text", "_row"), weights, "doc_id", "text")
-    return scored.where(F.col("quality_score") >= THRESHOLD).select("_row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col)[0])
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                yield part.filter(pa.array([score(text.as_py(), shared.value) >= THRESHOLD for text in part.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights, _ = fit(docs)
-    scored = Scratch(spark, "quality").keep(scores(docs, weights).drop("text"), "scored")
+    scored = Scratch(spark, "quality").keep(scores(docs, weights), "scored")
     return scored.select("doc_id", F.col("quality_score").alias("score"), F.when(F.col("quality_score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))

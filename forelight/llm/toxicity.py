@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.llm import weak
-from forelight.llm.common import least_hashes, table
+from forelight.llm.common import least_hashes, table, small_batches
 
 FIT_ROWS, FIT_CHARS = 6_000, 20_000
 #: Hashed features; lexicon voters at most; documents that a lexicon term must be in.
@@ -191,6 +191,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> t
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id and score."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
