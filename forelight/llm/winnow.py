@@ -98,7 +98,9 @@ def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns."""
     hit = contamination(docs, bench).where("n_hit > 0").select(F.col("k").alias("hk"), F.col("doc_id").alias("hid"))
     hit = Scratch(docs.sparkSession, "winnow-hit").keep(hit, "hit")
-    return docs.join(hit, (row_key("doc_id", "text") == F.col("hk")) & F.col("doc_id").eqNullSafe(F.col("hid")), "left_anti")
+    # The row travels as one column, so that no name of its own clashes.
+    rows = docs.select(row_key("doc_id", "text").alias("_k"), F.col("doc_id").alias("_id"), F.struct("*").alias("_whole"))
+    return rows.join(hit, (F.col("_k") == F.col("hk")) & F.col("_id").eqNullSafe(F.col("hid")), "left_anti").select("_whole.*")
 
 
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
