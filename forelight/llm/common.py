@@ -58,6 +58,19 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Bytes of text that Spark hands to a Python worker at a time.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session have at most BATCH_BYTES.
+
+    Operators return plans that run later, so the setting stays; it lowers what
+    a worker and its executor hold, and no result depends on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
