@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forelight.llm.common import Scratch
+from forelight.llm.common import Scratch, small_batches
 
 #: Words in the lexicon, and how many a task may count at a time before it prunes the rare ones.
 LEXICON_WORDS, COUNTED_WORDS = 32_768, 200_000
@@ -325,6 +325,7 @@ def _sha256(text: str) -> str:
 
 
 def _mapped(docs: DataFrame, spec: bytes, id_col: str, text_col: str, words: int, columns: str, finish) -> DataFrame:
+    small_batches(docs.sparkSession)
     rules = _rules(spec)
     lexicon = compile_lexicon({w: rules.merge(w) for w in frequent_words(docs.select(text_col), spec, words) if w[0] != " "})
     shared = docs.sparkSession.sparkContext.broadcast((spec, lexicon))
@@ -335,19 +336,25 @@ def _mapped(docs: DataFrame, spec: bytes, id_col: str, text_col: str, words: int
         rules, lexicon = _rules(shared.value[0]), _lexicon(shared.value[1])
         (units, words), shown = _known(shared.value[1]), rules.text
 
-        def of_word(word: str) -> tuple[str, str, int]:
+        def encoded(word: str) -> tuple[str, str, int]:
             ids = lexicon.get(word) or rules.merge(word)
-            if len(words) >= CACHED_WORDS:
+            return " ".join(map(str, ids)), " ".join([shown[i] for i in ids]), len(ids)
+
+        def of_word(word: str) -> tuple[str, str, int]:
+            if len(words) >= CACHED_WORDS // 4:
                 words.clear()
-            out = words[word] = " ".join(map(str, ids)), " ".join([shown[i] for i in ids]), len(ids)
+            out = words[word] = units.get(word) or encoded(word)
             return out
 
         def of_unit(unit: str) -> tuple[str, str, int]:
             if len(units) >= CACHED_WORDS:
                 units.clear()
-            # A unit of letters only is one word.
-            got = [words.get(w) or of_word(w) for w in ([unit] if unit.isalpha() else _WORDS.findall(unit))]
-            out = units[unit] = got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), " ".join([g[1] for g in got]), sum([g[2] for g in got]))
+            if unit.isalpha():  # one word
+                out = words.get(unit) or encoded(unit)
+            else:
+                got = [words.get(w) or of_word(w) for w in _WORDS.findall(unit)]
+                out = got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), " ".join([g[1] for g in got]), sum([g[2] for g in got]))
+            units[unit] = out
             return out
 
         for batch in batches:
