@@ -40,14 +40,20 @@ class Scratch:
         self.spark = spark
         self.base = f"{scratch_root(spark)}/forelight/{label}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+        """``parts``: as many shuffle partitions at most, for tables known to be short."""
         path, conf = f"{self.base}/{name}", self.spark.conf
-        before = conf.get(_CLEANUP, "false")
-        conf.set(_CLEANUP, "true")
+        now = {_CLEANUP: "true"}
+        if parts and parts < int(conf.get("spark.sql.shuffle.partitions")):
+            now["spark.sql.shuffle.partitions"] = str(parts)
+        before = {k: conf.get(k, "false") for k in now}
+        for k, v in now.items():
+            conf.set(k, v)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            conf.set(_CLEANUP, before)
+            for k, v in before.items():
+                conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

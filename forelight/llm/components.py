@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from forelight.llm.common import Scratch
 
 
+#: Links that a task of a round may well hold.
+EDGES_PER_TASK = 50_000
+
+
 def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """(node, component): each linked node and the least node it reaches.
 
@@ -20,14 +24,15 @@ def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     a, b = F.greatest("a", "b"), F.least("a", "b")
     edges = scratch.keep(links.where("a <> b").select(a.alias("u"), b.alias("v")).distinct(), f"{name}-0")
     state, k = _state(edges), 0
+    parts = max(4, -(-state[0] // EDGES_PER_TASK))
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("m", "u").alias("m"))
         large = both.join(least, F.col("u") == F.col("x")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.keep(large, f"{name}-{k}l")
+        large = scratch.keep(large, f"{name}-{k}l", parts)
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x")
         small = large.join(least, F.col("u") == F.col("x")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = scratch.keep(small.unionByName(least.select(F.col("x").alias("u"), F.col("m").alias("v"))).distinct(), f"{name}-{k + 1}")
+        edges = scratch.keep(small.unionByName(least.select(F.col("x").alias("u"), F.col("m").alias("v"))).distinct(), f"{name}-{k + 1}", parts)
         before, state = state, _state(edges)
         scratch.drop(f"{name}-{k}l", f"{name}-{k}")
         k += 1
