@@ -333,3 +333,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op2_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS k FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 49, 0))) AS i FROM d)),
+f AS (SELECT k, min(doc_id) AS m FROM w GROUP BY k),
+c AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM w JOIN f USING (k) WHERE doc_id > m)),
+g AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (prev IS NULL OR prev < p - 1) AS n_spans FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS prev FROM c) GROUP BY doc_id),
+b AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, n)) AS p FROM d)),
+t AS (SELECT doc_id, string_agg(x, '' ORDER BY p) AS kept FROM b ANTI JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -21,5 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fuzzy_lines": lines.op10_fuzzy_lines,
 }
 ORACLES: dict[str, str] = {
+    "op2_prefix_free_parsing": pfp.OP2_SQL,
+    "op6_superminhash": superminhash.OP6_SQL,
     "op8_winnowing": winnow.OP8_SQL,
 }
