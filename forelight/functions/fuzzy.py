@@ -145,6 +145,25 @@ class System:
             df = df.withColumn(name, F.when(F.col("_area") > 0, F.rint(F.round(F.aggregate(every, start, _bound(step_to, p), lambda acc: acc["x"]), 9))))
         return df.drop("_y", "_area")
 
+    def first_points(self, df: DataFrame, targets: dict[str, float]) -> DataFrame:
+        """df with the first points of the universe up to which given shares of the area lie: the older, coarser way."""
+        low, high, step = map(float, self.universes["ozone"])
+        n = round((high - low) / step)
+        df = df.withColumn("_y", F.when(F.col(next(iter(self.output))).isNotNull(), self.aggregated()))
+        every = F.sequence(F.lit(1), F.lit(n))
+        piece = lambda i: (F.get("_y", i) + F.get("_y", i - 1)) / 2 * step
+        df = df.withColumn("_area", F.aggregate(every, F.lit(0.0), lambda acc, i: acc + piece(i)))
+
+        def seek(acc: Column, i: Column, p: float) -> Column:
+            after = acc["sum"] + piece(i)
+            return F.struct(after.alias("sum"), F.when(acc["i"] > 0, acc["i"]).when(F.round(F.try_divide(after, F.col("_area")), 9) >= p, i).otherwise(0).alias("i"))
+
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("i"))
+        for name, p in targets.items():
+            found = F.aggregate(every, start, _bound(seek, p), lambda acc: acc["i"])
+            df = df.withColumn(name, F.when(F.col("_area") > 0, low + found * step))
+        return df.drop("_y", "_area")
+
     def infer(self, df: DataFrame) -> DataFrame:
         """Guarded inputs, possibilities and percentiles."""
         return self.percentiles(self.possibilities(self.guarded(df)))

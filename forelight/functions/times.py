@@ -77,3 +77,8 @@ def solar_noon(day: Column, lon: float) -> Column:
     b = (F.dayofyear(day) - 81) * (2 * 3.141592653589793 / 364)
     equation = 9.87 * F.sin(2 * b) - 7.53 * F.cos(b) - 1.5 * F.sin(b)
     return 720 - 4 * F.lit(lon) - equation
+
+
+def week_marks(day: Column) -> Column:
+    """Monday or Friday, between which charts shade; null on other days."""
+    return F.when(F.dayofweek(day) == 2, "Monday").when(F.dayofweek(day) == 6, "Friday")

@@ -261,3 +261,22 @@ def singleton_evidence(singles: DataFrame) -> DataFrame:
     out = singles.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in tests.items()})
     passed = sum(F.col(k).cast("int") for k in tests)
     return out.withColumn("passed", passed).withColumn("display", F.when(F.col("passed") >= PASSES, "primary").otherwise("deemphasized")).withColumn("reason", F.when(F.col("passed") < PASSES, "weak_singleton_evidence"))
+
+
+def summary(assigned: DataFrame, metrics: DataFrame, group: list[str]) -> DataFrame:
+    """One document per ensemble: its clusters by severity, with members, shares and risks.
+
+    ``assigned``: group, member, cluster (0 for the null cluster); ``metrics``:
+    group, member and the weighted means.
+    """
+    m = assigned.join(metrics, [*group, "member"])
+    whole = lambda c: F.when(F.count("*") == F.count(c), F.avg(c))
+    p = m.groupBy(*group, "cluster").agg(F.array_sort(F.collect_list("member")).alias("members"), F.min("member").alias("first_member"), F.count("*").alias("n"), *(whole(c).alias(c) for c in ("w_non_background", "w_high", "w_extreme")))
+    total = F.sum("n").over(Window.partitionBy(*group))
+    # The null cluster stays the first one; the others follow by severity.
+    order = Window.partitionBy(*group).orderBy(F.col("cluster") != 0, "w_non_background", "w_high", "first_member")
+    p = p.withColumn("id", F.row_number().over(order) - F.when(F.min("cluster").over(Window.partitionBy(*group)) == 0, 1).otherwise(0))
+    risk = risk_class(F.col("w_non_background"), F.col("w_high"), F.col("w_extreme"))
+    one = F.struct("id", F.when(F.col("cluster") == 0, "null").otherwise("scenario").alias("kind"), "members", F.round(F.col("n") / total, 3).alias("fraction"), risk.alias("risk"))
+    p = p.withColumn("doc", one)
+    return p.groupBy(*group).agg(F.to_json(F.struct(F.lit("1.0").alias("schema_version"), F.array_sort(F.collect_list("doc")).alias("clusters"), F.sum("n").alias("n_members"))).alias("json"))

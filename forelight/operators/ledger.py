@@ -86,3 +86,18 @@ def median_step(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(ts)
     steps = df.withColumn("_s", F.timestamp_diff("SECOND", F.lag(ts).over(w), F.col(ts))).where("_s > 0")
     return steps.groupBy(*keys).agg(F.percentile("_s", 0.5).alias("step_seconds"))
+
+
+def paths_found(paths: DataFrame, files: DataFrame) -> DataFrame:
+    """Each path with whether a file has it whole, or else exactly one has its last part."""
+    base = lambda c: F.regexp_extract(c, r"([^/]+)$", 1)
+    whole = files.select(F.col("path").alias("_p")).distinct().withColumn("_whole", F.lit(True))
+    named = files.select("path").distinct().groupBy(base(F.col("path")).alias("_b")).agg(F.count("*").alias("_n"))
+    out = paths.join(whole, F.col("path") == F.col("_p"), "left").join(named, base(F.col("path")) == F.col("_b"), "left")
+    return out.select(*paths.columns, (F.coalesce("_whole", F.lit(False)) | F.coalesce(F.col("_n") == 1, F.lit(False))).alias("found"))
+
+
+def smoothed(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """Mean of each row and its two neighbours; missing at the ends."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-1, 1)
+    return df.withColumn("smoothed", F.when(F.count(value).over(w) == 3, F.avg(value).over(w)))

@@ -38,6 +38,12 @@ def product(df: DataFrame, keys: list[str], day: str, variables: dict[str, str],
     )
 
 
+def exceedance_document(probabilities: DataFrame, keys: list[str], day: str, thresholds: tuple[int, ...]) -> DataFrame:
+    """A document per key: dates, and a series of probabilities by threshold name (30ppb)."""
+    series = F.create_map(*(x for t in thresholds for x in (F.lit(f"{t}ppb"), _series(day, round_value(F.col(f"p_{t}ppb"), "probability")))))
+    return probabilities.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(day).cast("string"))).alias("forecast_dates"), series.alias("exceedance"))
+
+
 def as_json(documents: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, json): nulls are written, as readers count on every field."""
     rest = [c for c in documents.columns if c not in keys]

@@ -283,3 +283,29 @@ def chunk_medians(spark, sf_dir):
     f = views.forcing(spark, sf_dir)
     arrays = f.groupBy("member").agg(F.transform(F.array_sort(F.collect_list(F.struct("valid_time", "event_id", "snow"))), lambda x: x["snow"]).alias("xs"))
     return rounded(daily.daily_by_chunks(arrays, ["member"], "xs"))
+
+
+@query(f"""WITH {sql.FORCING}, {sql.TERMS}, {sql.POSSIBLE}, {sql.PERCENTILES} SELECT event_id, first_10, first_90 FROM possible
+LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_10 FROM shares WHERE round(f, 9) >= 0.1::DOUBLE GROUP BY 1) USING (event_id) LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_90 FROM shares WHERE round(f, 9) >= 0.9::DOUBLE GROUP BY 1) USING (event_id)""")
+def fuzzy_first_points(spark, sf_dir):
+    p = SYSTEM.possibilities(views.forcing(spark, sf_dir))
+    return SYSTEM.first_points(p, {"first_10": 0.1, "first_90": 0.9}).select("event_id", "first_10", "first_90")
+
+
+@query(f"""WITH {sql.DAILY}, e AS (SELECT member % 3 AS c, local_date, {_P} FROM daily GROUP BY ALL), u AS (FROM e UNPIVOT (p FOR n IN ({', '.join(_NAMES)})))
+SELECT c, CAST(regexp_extract(n, '[0-9]+') AS INTEGER) AS threshold, CAST(row_number() OVER (PARTITION BY c, n ORDER BY local_date) - 1 AS INTEGER) AS day, round(p, 3) + 0.0 AS p FROM u""")
+def exceedance_json_roundtrip(spark, sf_dir):
+    e = ensemble.exceedance(daily_values(spark, sf_dir).withColumn("c", F.col("member") % 3), ["c", "local_date"], "ozone_50pc")
+    documents = products.exceedance_document(e, ["c"], "local_date", ensemble.THRESHOLDS)
+    return rounded(products.exceedance_json(products.as_json(documents, ["c"]), ["c"]))
+
+
+@query(f"WITH {sql.BINNED}, w AS (SELECT member, valid_time, count(value) OVER v AS n, avg(value) OVER v AS a FROM binned WINDOW v AS (PARTITION BY member ORDER BY valid_time ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)) SELECT CAST(member AS INTEGER) AS member, valid_time, CASE WHEN n = 3 THEN round(a, 5) + 0.0 END AS smoothed FROM w")
+def centred_smoother(spark, sf_dir):
+    return rounded(ledger.smoothed(views.binned(spark, sf_dir), ["member"], "valid_time", "value").select("member", "valid_time", "smoothed"), 5)
+
+
+@query("SELECT CAST(d AS VARCHAR) AS day, CASE dayofweek(d) WHEN 1 THEN 'Monday' WHEN 5 THEN 'Friday' END AS mark FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)")
+def week_spans(spark, sf_dir):
+    d = views.read(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+    return d.select(F.col("d").cast("string").alias("day"), times.week_marks(F.col("d")).alias("mark"))

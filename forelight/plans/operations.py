@@ -197,3 +197,12 @@ def brace_expansion(spark, sf_dir):
 def stream_daily_max(spark, sf_dir):
     """The same table by a stream that reads what is there and ends."""
     return rounded(streaming.daily_max(spark, f"{sf_dir}/events.parquet"))
+
+
+@query("""WITH f AS (SELECT concat('data/s', s_suppkey, '/run', s_suppkey % 40, '.csv') AS path FROM supplier), p AS (SELECT concat('data/s', p_partkey % 120, '/run', p_partkey % 120 % 40, '.csv') AS path, p_partkey AS id FROM part),
+n AS (SELECT regexp_extract(path, '([^/]+)$', 1) AS b, count(DISTINCT path) AS n FROM f GROUP BY 1) SELECT id, p.path, p.path IN (SELECT path FROM f) OR coalesce(n = 1, false) AS found FROM p LEFT JOIN n ON regexp_extract(p.path, '([^/]+)$', 1) = b""")
+def path_existence(spark, sf_dir):
+    s = views.read(spark, sf_dir, "supplier").select(F.format_string("data/s%d/run%d.csv", "s_suppkey", F.col("s_suppkey") % 40).alias("path"))
+    k = F.col("p_partkey") % 120
+    p = views.read(spark, sf_dir, "part").select(F.format_string("data/s%d/run%d.csv", k, k % 40).alias("path"), F.col("p_partkey").alias("id"))
+    return ledger.paths_found(p, s).select("id", "path", "found")

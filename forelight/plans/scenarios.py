@@ -195,3 +195,14 @@ def null_fractions(spark, sf_dir):
     k = m.withColumn("null_kind", F.coalesce("w_non_background", F.lit(0.0)) < 0.55)
     share = F.avg(F.col("null_kind").cast("double"))
     return rounded(k.agg(share.alias("null_fraction"), (1 - share).alias("non_null_fraction"), F.max(F.when(~F.col("null_kind"), F.col("w_high"))).alias("max_high")))
+
+
+@query()
+def cluster_summary(spark, sf_dir):
+    """The document of one ensemble's clusters: the calm members first, the others by average linkage."""
+    metrics = cluster.member_metrics(_days(spark, sf_dir), ["member"]).withColumn("init", F.lit(0))
+    calm = metrics.withColumn("calm", F.coalesce("w_non_background", F.lit(0.0)) < 0.55).select("init", "member", "calm", F.array("w_moderate", "w_high", "w_extreme").alias("x"))
+    rest = calm.where("not calm").select("init", "member", "x")
+    scenarios = cluster.assign(cluster.masked_distances(rest, ["init"]), rest, ["init"]).select("init", "member", "cluster")
+    assigned = scenarios.unionByName(calm.where("calm").select("init", "member", F.lit(0).alias("cluster")))
+    return cluster.summary(assigned, metrics, ["init"])
