@@ -65,9 +65,9 @@ RULES = (
 )
 
 
-def _bound(f, p: float):
-    """f with its last argument fixed, as a function of two arguments, which Spark counts."""
-    return lambda acc, i: f(acc, i, p)
+def _below(p: float, places: int | None = None):
+    """Whether a share is under p, as a function of one argument, which Spark counts."""
+    return (lambda v: v < p) if places is None else (lambda v: F.round(v, places) < p)
 
 
 @dataclass(frozen=True)
@@ -109,16 +109,30 @@ class System:
         known = reduce(lambda a, b: a & b, (F.col(v).isNotNull() for v in self.inputs))
         return df.withColumns({c: F.when(known, F.greatest(*s) if len(s) > 1 else s[0]) if s else F.lit(0.0) for c, s in strengths.items()})
 
+    def grid(self) -> list[float]:
+        """The points of the output universe."""
+        low, high, step = map(float, self.universes["ozone"])
+        return [low + i * step for i in range(round((high - low) / step) + 1)]
+
     def aggregated(self) -> Column:
         """The output's membership on its universe: category shapes cut at their possibilities, the largest of them."""
-        low, high, step = self.universes["ozone"]
-        n = round((high - low) / step)
+        xs = self.grid()
+        # The shapes are constants, so their points are too; only the cuts depend on the row.
+        shapes = {c: F.lit([max(0.0, min(1.0, (x - a) / (b - a), (d - x) / (d - e))) for x in xs]) for c, (a, b, e, d) in self.output.items()}
+        return F.transform(F.sequence(F.lit(0), F.lit(len(xs) - 1)), lambda i: F.greatest(*(F.least(F.get(shapes[c], i), F.col(c)) for c in self.output)))
+
+    def _shares(self, df: DataFrame) -> DataFrame:
+        """df with ``_f``: the share of the aggregated area that lies to the left of each point, null if there is none."""
+        step, n = float(self.universes["ozone"][2]), len(self.grid()) - 1
+        df = df.withColumn("_y", F.when(F.col(next(iter(self.output))).isNotNull(), self.aggregated()))
 
-        def at(i: Column) -> Column:
-            x = low + i * F.lit(float(step))
-            return F.greatest(*(F.least(trapezoid(x, *map(float, p)), F.col(c)) for c, p in self.output.items()))
+        def add(acc: Column, i: Column) -> Column:
+            area = acc["sum"] + (F.get("_y", i) + F.get("_y", i - 1)) / 2 * step
+            return F.struct(area.alias("sum"), F.array_append(acc["all"], area).alias("all"))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(n)), at)
+        start = F.struct(F.lit(0.0).alias("sum"), F.array(F.lit(0.0)).alias("all"))
+        df = df.withColumn("_sums", F.aggregate(F.sequence(F.lit(1), F.lit(n)), start, add))
+        return df.withColumn("_f", F.when(F.col("_sums.sum") > 0, F.transform("_sums.all", lambda v: v / F.col("_sums.sum")))).drop("_y", "_sums")
 
     def percentiles(self, df: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
         """df with the whole-number values at which given shares of the aggregated area lie to the left.
@@ -127,42 +141,24 @@ class System:
         Halves go to the even number, whatever the ninth decimal place says.
         """
         targets = targets or {"ozone_10pc": 0.1, "ozone_50pc": 0.5, "ozone_90pc": 0.9}
-        low, high, step = map(float, self.universes["ozone"])
-        n = round((high - low) / step)
-        df = df.withColumn("_y", F.when(F.col(next(iter(self.output))).isNotNull(), self.aggregated()))
-        every = F.sequence(F.lit(1), F.lit(n))
-        piece = lambda i: (F.get("_y", i) + F.get("_y", i - 1)) / 2 * step
-        df = df.withColumn("_area", F.aggregate(every, F.lit(0.0), lambda acc, i: acc + piece(i)))
+        low, _, step = map(float, self.universes["ozone"])
+        df = self._shares(df)
         for name, p in targets.items():
-            start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("x"))
-
-            def step_to(acc: Column, i: Column, p: float) -> Column:
-                after = acc["sum"] + piece(i)
-                before_share, share = F.try_divide(acc["sum"], F.col("_area")), F.try_divide(after, F.col("_area"))
-                found = low + (i - 1) * step + F.try_divide(p - before_share, share - before_share) * step
-                return F.struct(after.alias("sum"), F.when(acc["x"].isNotNull(), acc["x"]).when(share >= p, found).alias("x"))
-
-            df = df.withColumn(name, F.when(F.col("_area") > 0, F.rint(F.round(F.aggregate(every, start, _bound(step_to, p), lambda acc: acc["x"]), 9))))
-        return df.drop("_y", "_area")
+            # The first point with the share, and the one before it.
+            df = df.withColumn("_i", F.size(F.filter("_f", _below(p))))
+            before, after = F.get("_f", F.col("_i") - 1), F.get("_f", F.col("_i"))
+            found = low + (F.col("_i") - 1) * step + F.try_divide(p - before, after - before) * step
+            df = df.withColumn(name, F.when(F.col("_f").isNotNull(), F.rint(F.round(found, 9))))
+        return df.drop("_f", "_i")
 
     def first_points(self, df: DataFrame, targets: dict[str, float]) -> DataFrame:
         """df with the first points of the universe up to which given shares of the area lie: the older, coarser way."""
-        low, high, step = map(float, self.universes["ozone"])
-        n = round((high - low) / step)
-        df = df.withColumn("_y", F.when(F.col(next(iter(self.output))).isNotNull(), self.aggregated()))
-        every = F.sequence(F.lit(1), F.lit(n))
-        piece = lambda i: (F.get("_y", i) + F.get("_y", i - 1)) / 2 * step
-        df = df.withColumn("_area", F.aggregate(every, F.lit(0.0), lambda acc, i: acc + piece(i)))
-
-        def seek(acc: Column, i: Column, p: float) -> Column:
-            after = acc["sum"] + piece(i)
-            return F.struct(after.alias("sum"), F.when(acc["i"] > 0, acc["i"]).when(F.round(F.try_divide(after, F.col("_area")), 9) >= p, i).otherwise(0).alias("i"))
-
-        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("i"))
+        low, _, step = map(float, self.universes["ozone"])
+        df = self._shares(df)
         for name, p in targets.items():
-            found = F.aggregate(every, start, _bound(seek, p), lambda acc: acc["i"])
-            df = df.withColumn(name, F.when(F.col("_area") > 0, low + found * step))
-        return df.drop("_y", "_area")
+            first = F.size(F.filter("_f", _below(p, 9)))
+            df = df.withColumn(name, F.when(F.col("_f").isNotNull(), low + first * step))
+        return df.drop("_f")
 
     def infer(self, df: DataFrame) -> DataFrame:
         """Guarded inputs, possibilities and percentiles."""

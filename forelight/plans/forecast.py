@@ -17,8 +17,13 @@ CATEGORIES = products.CATEGORIES
 VALUES = ["ozone_10pc", "ozone_50pc", "ozone_90pc", *CATEGORIES]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Short rows over all cores: the events are one small file, hence one task, and inference is all work and no data."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SYSTEM.infer(views.forcing(spark, sf_dir))
+    return SYSTEM.infer(spread(views.forcing(spark, sf_dir)))
 
 
 def daily_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +293,7 @@ def chunk_medians(spark, sf_dir):
 @query(f"""WITH {sql.FORCING}, {sql.TERMS}, {sql.POSSIBLE}, {sql.PERCENTILES} SELECT event_id, first_10, first_90 FROM possible
 LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_10 FROM shares WHERE round(f, 9) >= 0.1::DOUBLE GROUP BY 1) USING (event_id) LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_90 FROM shares WHERE round(f, 9) >= 0.9::DOUBLE GROUP BY 1) USING (event_id)""")
 def fuzzy_first_points(spark, sf_dir):
-    p = SYSTEM.possibilities(views.forcing(spark, sf_dir))
+    p = SYSTEM.possibilities(spread(views.forcing(spark, sf_dir)))
     return SYSTEM.first_points(p, {"first_10": 0.1, "first_90": 0.9}).select("event_id", "first_10", "first_90")
 
 
