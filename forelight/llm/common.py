@@ -19,9 +19,11 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one where that is unset (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir; where that is unset, a temporary one on a single machine (tests) and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='forelight-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -39,10 +41,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{scratch_root(spark)}/forelight/{label}-{uuid.uuid4().hex}"
+        self.kept: set[str] = set()
 
     def keep(self, df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
         """``parts``: as many shuffle partitions at most, for tables known to be short."""
         path, conf = f"{self.base}/{name}", self.spark.conf
+        self.kept.add(name)
         now = {_CLEANUP: "true"}
         if parts and parts < int(conf.get("spark.sql.shuffle.partitions")):
             now["spark.sql.shuffle.partitions"] = str(parts)
@@ -56,7 +60,12 @@ class Scratch:
                 conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_others(self, *names: str) -> None:
+        """Drops every table but those named."""
+        self.drop(*(self.kept - set(names)))
+
     def drop(self, *names: str) -> None:
+        self.kept -= set(names)
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
@@ -119,6 +128,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value found once, also where lambdas inside of ``use`` read it for each of their elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def row_key(*columns: str) -> Column:
     """A 64-bit key of a row; joins on it also compare the id, so that equal keys of different rows don't meet."""
     return F.xxhash64(*columns)
