@@ -14,13 +14,16 @@ The least doc_id of each rank is the first to have it.
 Only LENGTH bytes of context travel with each trigger, so no task holds the
 corpus, a document or a suffix array of it. Equal phrases of a map task travel
 once, for the least document that has them; in larger ones they are known to
-repeat.
+repeat. Of triggers that are very frequent (estimated from a sample, which
+decides on nothing but the way) each stretch is a phrase of its own, dealt by
+all its bytes, so no task gets all places of a common trigger.
 
 Defined results: null counts as the empty text; texts shorter than LENGTH bytes
-lose nothing; rows with a null id count as larger than all ids, and not as
-smaller than one another. Rows that share an id must have the same text, and
-never remove each other's. Empty tables give empty results; other columns are
-ignored.
+lose nothing; long texts are parsed in overlapping parts, with the same result.
+Rows with a null id count as larger than all ids, and not as smaller than one
+another. Rows that share an id, with equal texts or others, never remove each
+other's bytes; each loses what smaller ids have. Empty tables give empty
+results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,16 +45,18 @@ LENGTH, TRIGGER = 50, 16
 STEPS = LENGTH - TRIGGER + 1
 #: Bytes of text whose phrases one task sorts, and that a map task parses before it sends phrases off.
 BUCKET_BYTES, SEND_BYTES = 2 << 20, 8 << 20
+#: Places from which on a trigger is split; documents of which one is looked at to find such triggers; how many at most are told to all tasks.
+HOT_PLACES, HOT_SAMPLE, HOT_TRIGGERS = 200_000, 64, 10_000
 
 U = np.uint64
 _LAST = (1 << 63) - 1
 _PLACE = U((1 << 24) - 1)
 
 
-def _segments(ids: np.ndarray, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, starts with an end, ids, offsets in the text) of documents or overlapping parts of long ones."""
+def _segments(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, starts with an end, numbers of the rows, offsets in the text) of documents or overlapping parts of long ones."""
     parts, starts, own, offs, total = [], [0], [], [], 0
-    for doc, text in zip(ids, texts, strict=True):
+    for doc, text in enumerate(texts):
         raw = np.frombuffer(text.as_buffer() or b"", np.uint8) if text.is_valid else np.zeros(0, np.uint8)
         for at in range(0, max(1, len(raw) - LENGTH + 1), BLOCK_BYTES):
             piece = raw[at : at + BLOCK_BYTES + LENGTH - 1]
@@ -69,11 +74,12 @@ def _segments(ids: np.ndarray, texts: pa.Array) -> Iterator[tuple[np.ndarray, np
         yield np.concatenate(parts), np.array(starts), np.array(own, np.int64), np.array(offs, np.int64)
 
 
-def parse(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+def parse(raw: np.ndarray, starts: np.ndarray, hot: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Phrases with their continuations.
 
     Per phrase: where its first stretch begins, how many stretches have its
-    trigger in common, the trigger's place, the trigger's hash, and a hash of
+    trigger in common, the trigger's place, the hash it is dealt by (the
+    trigger's, or for ``hot`` triggers the stretch's), and a hash of
     all bytes from the first stretch's begin to the last one's end.
     """
     n = len(raw)
@@ -99,6 +105,13 @@ def parse(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     doc_start = starts[:-1][starts[:-1] < len(new)]
     new[doc_start] |= valid[doc_start]
     first = np.flatnonzero(new)
+    if hot is not None and len(hot):
+        common = np.zeros(len(new) + 1, np.int32)
+        split = first[np.isin(h[trigger[first]], hot)]
+        common[split] = 1
+        common[first[~np.isin(first, split)]] = -1
+        new |= valid & (_carried(common[:-1]) > 0)
+        first = np.flatnonzero(new)
     ends = valid.copy()
     ends[:-1] &= new[1:] | ~valid[1:]
     last = np.flatnonzero(ends)
@@ -108,7 +121,32 @@ def parse(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     value = (sums[last + LENGTH] - sums[first]) * powers(n)[n - 1 - first] * inverse
     count, place = last - first + 1, trigger[first]
     key = mix(value + (place - first).astype(np.uint64) * U(0x94D049BB133111EB) + count.astype(np.uint64))
-    return first, count, place, h[place], key
+    deal = h[place]
+    if hot is not None and len(hot):
+        deal = np.where(np.isin(deal, hot), mix(key), deal)
+    return first, count, place, deal, key
+
+
+def _carried(marks: np.ndarray) -> np.ndarray:
+    """The last mark that isn't zero, at each place."""
+    at = np.where(marks != 0, np.arange(len(marks)), 0)
+    return marks[np.maximum.accumulate(at)]
+
+
+def hot_triggers(docs: DataFrame) -> np.ndarray:
+    """Hashes of triggers that many places have, by a sample of the documents; docs has ``text`` in bytes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw, starts, _, _ in _segments(batch.column(0)):
+                trig, n = np.unique(parse(raw, starts)[3], return_counts=True)
+                # Triggers met once in a block are not the common ones.
+                yield pa.RecordBatch.from_pydict({"t": trig[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
+
+    few = docs.where(F.pmod(F.xxhash64("text"), F.lit(HOT_SAMPLE)) == 0).select("text")
+    counts = few.mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") * HOT_SAMPLE > HOT_PLACES)
+    rows = counts.orderBy(F.desc("n"), "t").limit(HOT_TRIGGERS).collect()
+    return np.array([r["t"] for r in rows], np.int64).view(np.uint64)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -116,7 +154,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
-_KINDS = (np.int64, np.uint32, np.uint32, np.uint8, np.uint8, np.uint8)
+_KINDS = (np.int64, np.int64, np.uint32, np.uint32, np.uint8, np.uint8, np.uint8)
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
@@ -128,24 +166,27 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _send(buckets: int):
+def _send(buckets: int, hot: np.ndarray):
     """Map side: rows (bucket, phrases) and, with bucket -1, rows of spans known to repeat."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         raw = np.concatenate([*(x[0] for x in held), np.zeros(2 * LENGTH, np.uint8)])
         base = np.cumsum([0, *(len(x[0]) for x in held)])
-        begin, count, place, trig, key, doc, pos = (np.concatenate([x[i] + (b if i in (1, 3) else 0) for x, b in zip(held, base, strict=False)]) for i in range(1, 8))
+        begin, count, place, trig, key, doc, row, pos = (np.concatenate([x[i] + (b if i in (1, 3) else 0) for x, b in zip(held, base, strict=False)]) for i in range(1, 9))
         held.clear()
-        order = np.lexsort((pos, doc, key))
+        order = np.lexsort((pos, row, doc, key))
         new = np.ones(len(order), bool)
         new[1:] = key[order][1:] != key[order][:-1]
         group = np.cumsum(new) - 1
-        heads = order[new]
-        ours = doc[order] == doc[heads][group]  # places in the least document that has the phrase
+        ours = doc[order] == doc[order[new]][group]  # places in the least document that has the phrase
         again = order[~ours]
         if len(again):
-            yield from _rows(doc[again], pos[again], count[again])
-        places, uses = pos[order[ours]], np.bincount(group[ours], minlength=len(heads))
+            yield from _rows(doc[again], row[again], pos[again], count[again])
+        order, group = order[ours], group[ours]
+        new = np.ones(len(order), bool)
+        new[1:] = (group[1:] != group[:-1]) | (row[order][1:] != row[order][:-1])
+        heads, places = order[new], pos[order]
+        uses = np.diff(np.append(np.flatnonzero(new), len(order)))
         bucket = (trig[heads] % U(buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
         firsts = np.zeros(len(heads) + 1, np.int64)
@@ -157,18 +198,18 @@ def _send(buckets: int):
             size = count[e] + LENGTH - 1
             body = view[begin[e]][np.arange(LENGTH + STEPS - 1)[None, :] < size[:, None]]
             at = np.concatenate([places[firsts[i] : firsts[i + 1]] for i in part]) if (uses[part] > 1).any() else places[firsts[part]]
-            blobs.append(_pack(doc[e], at.astype(np.uint32), uses[part].astype(np.uint32), count[e].astype(np.uint8), (place[e] - begin[e]).astype(np.uint8), body))
+            blobs.append(_pack(doc[e], row[e], at.astype(np.uint32), uses[part].astype(np.uint32), count[e].astype(np.uint8), (place[e] - begin[e]).astype(np.uint8), body))
             names.append(int(bucket[part[0]]))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary()), pa.nulls(len(names), pa.int64()), pa.nulls(len(names), pa.list_(pa.int64()))], names=_SENT)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary()), *(pa.nulls(len(names), pa.int64()) for _ in range(2)), pa.nulls(len(names), pa.list_(pa.int64()))], names=_SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            ids = pc.fill_null(batch.column(0), _LAST).to_numpy(zero_copy_only=False)
-            for raw, starts, own, offs in _segments(ids, batch.column(1)):
-                first, count, place, trig, key = parse(raw, starts)
+            docs, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for raw, starts, own, offs in _segments(batch.column(2)):
+                first, count, place, trig, key = parse(raw, starts, hot)
                 seg = np.searchsorted(starts, first, side="right") - 1
-                held.append((raw, first, count, place, trig, key, own[seg], first - starts[seg] + offs[seg]))
+                held.append((raw, first, count, place, trig, key, docs[own[seg]], rows[own[seg]], first - starts[seg] + offs[seg]))
                 size += len(raw)
                 if size >= SEND_BYTES:
                     yield from flush(held)
@@ -179,29 +220,30 @@ def _send(buckets: int):
     return run
 
 
-_SENT = ["bucket", "phrases", "doc", "spans"]
+_SENT = ["bucket", "phrases", "doc", "row", "spans"]
 
 
-def _runs(doc: np.ndarray, pos: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Per document, its runs of stretches' begins, joined where they touch: begin and number in turn."""
-    order = np.lexsort((pos, doc))
-    doc, pos, stop = doc[order], pos[order].astype(np.int64), (pos[order].astype(np.int64) + count[order])
-    apart = np.ones(len(doc), bool)
-    apart[1:] = (doc[1:] != doc[:-1]) | (pos[1:] > stop[:-1])  # stretches of one phrase never nest, so stops ascend
+def _runs(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, count: np.ndarray) -> list[pa.Array]:
+    """doc, row and, of each, the runs of stretches' begins, joined where they touch: begin and number in turn."""
+    order = np.lexsort((pos, row, doc))
+    doc, row, pos, stop = doc[order], row[order], pos[order].astype(np.int64), (pos[order].astype(np.int64) + count[order])
+    other = np.ones(len(doc), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])
+    apart = other.copy()
+    apart[1:] |= pos[1:] > stop[:-1]  # stretches of one phrase never nest, so stops ascend
     heads = np.flatnonzero(apart)
     tails = np.append(heads[1:], len(doc)) - 1
     pairs = np.empty(2 * len(heads), np.int64)
     pairs[0::2], pairs[1::2] = pos[heads], stop[tails] - pos[heads]
-    owner = doc[heads]
-    cut = np.flatnonzero(np.diff(owner)) + 1
-    return owner[np.concatenate([[0], cut]).astype(int)], np.split(pairs, 2 * cut)
+    begins = np.flatnonzero(other[heads])
+    owners = heads[begins]
+    return [pa.array(doc[owners]), pa.array(row[owners]), pa.ListArray.from_arrays(pa.array(2 * np.append(begins, len(heads)), pa.int32()), pa.array(pairs))]
 
 
-def _rows(doc: np.ndarray, pos: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-    owners, lists = _runs(doc, pos, count)
-    sizes = np.cumsum([0, *map(len, lists)])
-    spans = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(lists)))
-    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(owners), -1), pa.int64()), pa.nulls(len(owners), pa.binary()), pa.array(owners), spans], names=_SENT)
+def _rows(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    found = _runs(doc, row, pos, count)
+    n = len(found[0])
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1), pa.int64()), pa.nulls(n, pa.binary()), *found], names=_SENT)
 
 
 def _classes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,42 +299,47 @@ def repeats(doc: np.ndarray, count: np.ndarray, left: np.ndarray, body: np.ndarr
 def _find(group: pa.Table) -> pa.Table:
     blobs = group.column("phrases").to_pylist()
     columns = [np.concatenate(c) for c in zip(*map(_unpack, blobs), strict=True)]
-    doc, at, uses, count, left, body = columns
+    doc, row, at, uses, count, left, body = columns
     found = repeats(doc, count, left, body)
     # Runs of marked stretches; a phrase's places all have the same.
     edge = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     e, s = np.nonzero(edge == 1)
     _, t = np.nonzero(edge == -1)
     if not len(e):
-        return pa.table({"doc": pa.array([], pa.int64()), "spans": pa.array([], pa.list_(pa.int64()))})
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))], names=_SENT[2:])
     firsts = np.cumsum(uses.astype(np.int64)) - uses
     many = uses[e].astype(np.int64)
     which = np.repeat(np.arange(len(e)), many)
     place = at[np.repeat(firsts[e], many) + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)]
-    owners, lists = _runs(doc[e][which], place + s[which], (t - s)[which])
-    sizes = np.cumsum([0, *map(len, lists)])
-    return pa.table({"doc": pa.array(owners), "spans": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(lists)))})
+    return pa.table(_runs(doc[e][which], row[e][which], place + s[which], (t - s)[which]), names=_SENT[2:])
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, spans): begins of stretches that also begin in a smaller document, as runs: begin and number in turn."""
-    small_batches(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession, "pfp")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
+def _keyed(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """(doc_id, doc, row, text): ``doc`` is the order of ids; ``row`` tells rows of one id apart by their texts."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text_col).cast("binary").alias("text"))
+    many = scratch.keep(ids.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "many")
+    row = F.when(F.col("again").isNull(), F.lit(0)).otherwise(F.xxhash64("text")).cast("long")
+    return ids.join(many, F.col("doc") == F.col("again"), "left").select("doc_id", "doc", row.alias("row"), "text")
+
+
+def repeated(keyed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc, row, spans): begins of stretches that also begin in a smaller document, as runs: begin and number in turn; takes what _keyed gives."""
+    small_batches(keyed.sparkSession)
+    docs = keyed.select("doc", "row", "text")
     total = docs.select(F.sum(F.length("text"))).head()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    sent = docs.mapInArrow(_send(buckets), "bucket long, phrases binary, doc long, spans array<long>")
+    sent = docs.mapInArrow(_send(buckets, hot_triggers(docs)), "bucket long, phrases binary, doc long, row long, spans array<long>")
     # What is known to repeat takes the same way, spread by its document.
-    sent = sent.withColumn("bucket", F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("doc"), F.lit(buckets))))
+    sent = sent.withColumn("bucket", F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("doc", "row"), F.lit(buckets))))
 
     def find(group: pa.Table) -> pa.Table:
-        known = group.filter(pc.is_valid(group.column("doc"))).select(["doc", "spans"])
+        known = group.filter(pc.is_valid(group.column("doc"))).select(_SENT[2:])
         phrases = group.filter(pc.is_null(group.column("doc")))
         return pa.concat_tables([known, _find(phrases)]) if phrases.num_rows else known
 
-    found = sent.groupBy("bucket").applyInArrow(lambda group: find(group), "doc long, spans array<long>")
+    found = sent.groupBy("bucket").applyInArrow(lambda group: find(group), "doc long, row long, spans array<long>")
     found = scratch.keep(found, "found")
-    return found.groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return found.groupBy("doc", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _cut(text: bytes, spans: np.ndarray | None) -> tuple[bytes, int, int]:
@@ -325,9 +372,11 @@ def _finish(digest: bool):
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and ``kept`` (bytes), or their digest."""
-    spans = Scratch(docs.sparkSession, "pfp-spans").keep(repeated(docs, id_col, text_col), "spans")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    both = texts.join(spans, F.coalesce("doc_id", F.lit(_LAST)) == F.col("doc"), "left").select("doc_id", "text", "spans")
+    scratch = Scratch(docs.sparkSession, "pfp")
+    keyed = _keyed(docs, id_col, text_col, scratch)
+    spans = scratch.keep(repeated(keyed, scratch).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), "spans"), "spans")
+    scratch.drop_others("many", "spans")
+    both = keyed.join(spans, (F.col("doc") == F.col("_doc")) & (F.col("row") == F.col("_row")), "left").select("doc_id", "text", "spans")
     return both.mapInArrow(_finish(digest), "doc_id long, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary"))
 
 
