@@ -6,18 +6,22 @@ offers j plus a fraction to the place that its permutation has j-th, and each
 place keeps the least offer. A document's later steps are left out once none
 can lower a place. Documents with equal sets form a class with one
 representative. Signatures are banded; in each bucket of a band, members are
-linked to two of them, and links whose signatures agree too little are dropped. Inside each component of these candidate links the sets
+linked to two of them, and links whose signatures agree too little wait. Inside each component of these candidate links the sets
 themselves are compared, with no pair left out but those already connected, and
-components of the confirmed links are found.
+components of the confirmed links are found. Then come the buckets of more than
+three members that are not one component by now: all their members are
+compared in the same way, whatever their signatures, so every pair that shares
+such a bucket is settled exactly.
 
 With 42 bands of 5 places, two sets of similarity 0.8 share no bucket with a
 probability of 1e-7.
 
 Defined results: a null text, or one without words, has an empty set, is linked
-with nothing and is its own component. Rows with equal ids are one node of the
+with nothing and is its own component. Long texts are read whole. Rows with equal ids are one node of the
 link graph; rows with a null id never link others, but learn of their class.
-Repeated rows come out as often as they go in. Empty tables give empty results;
-other columns are ignored.
+Repeated rows come out as often as they go in; of documents that tie the one with
+the least id names the component. Empty tables give empty results;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -159,6 +163,24 @@ def _spans(rows: list[np.ndarray], least: int, rest: set[int]) -> Iterator[tuple
         yield head, members
 
 
+def _compared(links: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, least: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b): confirmed pairs that connect all similar members of each component of the candidate links; sizes has (node, n)."""
+    candidates = scratch.keep(components(links, scratch, f"{name}-candidates"), f"{name}-nodes")
+    # Each node goes to one task, or, in components too large for one, to a task for every other block.
+    sized = candidates.join(sizes, "node")
+    totals = sized.groupBy("component").agg(F.sum("n").alias("total")).withColumn("parts", F.ceil(F.col("total") / TASK_SHINGLES).cast("int"))
+    total = totals.select(F.sum("total")).head()[0]
+    bins = max(1, -(-(total or 0) * 2 // TASK_SHINGLES))
+    placed = sized.join(totals, "component").withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0))
+    task = F.when(F.col("parts") == 1, F.array(F.struct(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("x"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.col("component").alias("x"), F.least(q, F.col("part")).cast("long").alias("i"), F.greatest(q, F.col("part")).cast("long").alias("j")))
+    )
+    placed = scratch.keep(placed.select("node", "component", F.explode(task).alias("task")).select("node", "component", "task.*"), f"{name}-placed")
+    texts = docs.join(placed, F.col("doc_id") == F.col("node"))
+    confirmed = texts.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
+    return scratch.keep(confirmed, f"{name}-links")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable), kept, class_id (least id with an equal set)."""
     small_batches(docs.sparkSession)
@@ -172,37 +194,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     reps = seen.join(marked, F.expr("doc_id = rep and n = rn and s1 = r1 and s2 = r2")).select("rep", "n", "bands", "places").dropDuplicates(["rep"])
     reps = scratch.keep(reps, "reps")
 
-    keys = reps.select("rep", F.explode("bands").alias("key"))
     # Each bucket has hubs of its own choice, so that a pair that shares several buckets is likely to meet in one.
+    keys = reps.select("rep", F.explode("bands").alias("key")).repartition("key")
     turn = F.xxhash64("rep", "key")
     hubs = keys.groupBy("key").agg(F.min_by("rep", turn).alias("low"), F.max_by("rep", turn).alias("high")).where("low <> high")
-    near = keys.join(hubs, "key")
-    pairs = near.select(F.col("low").alias("a"), F.col("rep").alias("b")).unionByName(near.select(F.col("rep").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
+    members = scratch.keep(keys.join(hubs.hint("shuffle_hash"), "key").select("key", "rep", "low", "high"), "members")
+    pairs = members.select(F.col("low").alias("a"), F.col("rep").alias("b")).unionByName(members.select(F.col("rep").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
     pairs = scratch.keep(pairs, "pairs")
     places = reps.select("rep", "n", "places")
     pairs = pairs.join(places.toDF("a", "na", "pa"), "a").join(places.toDF("b", "nb", "pb"), "b")
     agreed = F.size(F.filter(F.zip_with("pa", "pb", lambda x, y: x == y), lambda x: x))
     links = pairs.where((100 * F.col("na") >= least * F.col("nb")) & (100 * F.col("nb") >= least * F.col("na")))
     links = links.where(agreed >= int(LEAST_AGREED * PLACES)).select("a", "b")
-    candidates = scratch.keep(components(links, scratch, "candidates"), "nodes")
+    sizes = reps.select(F.col("rep").alias("node"), "n")
+    near = _compared(links, docs, sizes, size, least, scratch, "near")
+    found = scratch.keep(components(near, scratch, "first"), "first")
 
-    # Each node goes to one task, or, in components too large for one, to a task for every other block.
-    sized = candidates.join(reps.select(F.col("rep").alias("node"), "n"), "node")
-    totals = sized.groupBy("component").agg(F.sum("n").alias("total")).withColumn("parts", F.ceil(F.col("total") / TASK_SHINGLES).cast("int"))
-    total, split = totals.select(F.sum("total"), F.max("parts")).head()
-    bins = max(1, -(-(total or 0) * 2 // TASK_SHINGLES))
-    placed = sized.join(totals, "component").withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0))
-    task = F.when(F.col("parts") == 1, F.array(F.struct(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("x"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.col("component").alias("x"), F.least(q, F.col("part")).cast("long").alias("i"), F.greatest(q, F.col("part")).cast("long").alias("j")))
-    )
-    placed = scratch.keep(placed.select("node", "component", F.explode(task).alias("task")).select("node", "component", "task.*"), "placed")
-    texts = docs.join(placed, F.col("doc_id") == F.col("node"))
-    confirmed = texts.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
-    confirmed = scratch.keep(confirmed, "links")
-    found = components(confirmed, scratch, "found")
+    of = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
+    opened = of.groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("m > 3 and c0 <> c1").select("key")
+    rest = scratch.keep(members.join(opened, "key").select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "open")
+    if not rest.isEmpty():
+        near = near.unionByName(_compared(rest, docs, sizes, size, least, scratch, "rest"))
+        found = components(near, scratch, "found")
 
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("n").alias("rn"), F.col("s1").alias("r1"), F.col("s2").alias("r2"), "rep", F.coalesce("component", "rep").alias("component"))
     named = scratch.keep(named, "named")
+    scratch.drop_others("seen", "named")
     out = seen.select("doc_id", "n", "s1", "s2").join(named, F.expr("n = rn and s1 = r1 and s2 = r2"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), F.coalesce("rep", "doc_id").alias("class_id"))
