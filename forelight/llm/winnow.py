@@ -11,9 +11,11 @@ Items of 1 to 9 words are one window of their own length; winnowing promises
 nothing for these, so documents' grams of exactly such lengths are looked up.
 
 Defined results: a null or empty text has no words, no hits and is not
-contaminated; an item without words matches nothing. Rows equal in id and text
-count once. Repeated items count by their ids, null ids not at all. Empty
-tables give empty results or no hits. Other columns are ignored.
+contaminated; an item without words matches nothing. Long texts are read whole.
+Repeated rows, and rows that share an id, come out as often as they go in.
+Repeated items count by their ids, null ids not at all; items that tie for a
+window all count. Empty tables give empty results or no hits. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -71,9 +73,12 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     wanted = winnowed(F.col("g"))
     for n in short:
         wanted = F.array_union(wanted, grams(F.col("h"), n))
-    kept = hashed.withColumn("g", grams(F.col("h"), GRAM)).select("k", "doc_id", F.size("h").cast("long").alias("n_words"), F.explode_outer(wanted).alias("f"))
+    kept = hashed.withColumn("g", grams(F.col("h"), GRAM)).select("k", "doc_id", F.size("h").cast("long").alias("n_words"), F.posexplode_outer(wanted).alias("p", "f"))
     # The map side folds a document's rows into one, so the shuffle carries a short row per document.
-    seen = kept.join(prints, "f", "left").groupBy("k", "doc_id").agg(F.max("n_words").alias("n_words"), F.max("found").alias("found"))
+    # Documents without hashes get a key of their own, so that they don't all go to one task. A row's first hash, or none, counts the row.
+    kept = kept.withColumn("key", F.coalesce("f", "k"))
+    once = F.count_if(F.col("p").isNull() | (F.col("p") == 0)).alias("copies")
+    seen = kept.join(prints.withColumnRenamed("f", "key"), "key", "left").groupBy("k", "doc_id").agg(F.max("n_words").alias("n_words"), F.max(F.when(F.col("f").isNotNull(), F.col("found"))).alias("found"), once)
     seen = scratch.keep(seen, "seen")
 
     # Written for its size: few candidates are broadcast, many are joined by a shuffle.
@@ -89,14 +94,16 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         .agg(F.array_distinct(F.flatten(F.collect_list(F.transform(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1), lambda i: i)))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     )
     hits = scratch.keep(hits.select(F.col("k").alias("hk"), F.col("doc_id").alias("hid"), F.size("hit").cast("long").alias("hit_words"), F.array_sort("hit").alias("hit"), "items"), "hits")
+    scratch.drop_others("seen", "hits")
     out = seen.join(hits, (F.col("k") == F.col("hk")) & F.col("doc_id").eqNullSafe(F.col("hid")), "left")
     none = F.array().cast("array<string>")
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select("doc_id", "k", "n_words", F.coalesce("hit_words", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("hit", F.array().cast("array<int>")).alias("hit_positions"))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns."""
-    hit = contamination(docs, bench).where("n_hit > 0").select(F.col("k").alias("hk"), F.col("doc_id").alias("hid"))
+    hit = contamination(docs, bench).where("n_hit > 0").select(F.col("k").alias("hk"), F.col("doc_id").alias("hid")).distinct()
     hit = Scratch(docs.sparkSession, "winnow-hit").keep(hit, "hit")
     # The row travels as one column, so that no name of its own clashes.
     rows = docs.select(row_key("doc_id", "text").alias("_k"), F.col("doc_id").alias("_id"), F.struct("*").alias("_whole"))
