@@ -10,8 +10,9 @@ trained on the posterior labels. Spans of the base patterns that pass their
 checks are always kept; others are added where the classifier says so.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts
-have no spans. Repeated rows are each treated on their own. Empty tables give
-empty results. Other columns are ignored.
+have no spans. Long texts and long matches are read whole. Repeated rows are each
+treated on their own; spans of equal start are ordered by kind, then end. Empty
+tables give empty results. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"
 #: Whole runs of 16 to 19 digits; those of other lengths never pass.
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}(?![ -]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-HIDDEN_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[({] ?at ?[\])}] ?[A-Za-z0-9-]{1,63}(?: ?[\[({] ?dot ?[\])}] ?[A-Za-z0-9-]{1,63}){1,4}"
+HIDDEN_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[({] ?at ?[\])}] ?[A-Za-z0-9-]++(?: ?[\[({] ?dot ?[\])}] ?[A-Za-z0-9-]++)++"
 LOCAL_PHONE = r"(?<![0-9+).-])(?<![0-9+)] )\([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9-])"
-SECRET = r"(?i)(?<![a-z0-9_])(?:token|api_?key|secret|passwd|password)\s?[=:]\s?[\"'][^\s\"']{16,128}[\"']"
+SECRET = r"(?i)(?<![a-z0-9_])(?:token|api_?key|secret|passwd|password)\s?[=:]\s?[\"'][^\s\"']{16,}+[\"']"
 
 #: Word lists of the labellers.
 TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu")
