@@ -146,14 +146,15 @@ def grams(hashes: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def least_hashes(df: DataFrame, column: str, limit: int) -> DataFrame:
-    """At most ``limit`` rows of df, those with the least hashes of a column.
+def least_hashes(df: DataFrame, columns: list[str], limit: int) -> DataFrame:
+    """At most ``limit`` distinct rows of df, those with the least hashes of some columns.
 
     A cut that lets some three times as many rows through comes first, so that
-    what tasks send to be ordered doesn't grow with their number.
+    what tasks send to be ordered doesn't grow with their number. Repeated rows
+    count once.
     """
     n = max(1, df.count())
     share = min(1.0, 3 * limit / n)
-    h = F.xxhash64(column)
+    h = F.xxhash64(*columns)
     cut = df if share == 1.0 else df.where(h < int(-(1 << 63) + share * (1 << 64)))
-    return cut.orderBy(h, *df.columns).limit(limit)
+    return cut.distinct().orderBy(h, *df.columns).limit(limit)

@@ -9,8 +9,10 @@ of neighbouring forms, and repeats.
 
 Defined results: null and empty texts have no words; heuristics abstain on them
 and their score is the scorer's bias alone, which is that of an average document.
-Repeated rows are each scored. Other columns are never read. An empty table
-gives an empty result.
+Long texts take part with all they have, in voting, fitting and scoring. Repeated
+rows are each scored, and fitted once; equal texts have equal scores, so nothing
+hangs on the order of ties. Other columns, whatever their names, are never read.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 from forelight.llm import weak
 from forelight.llm.common import Scratch, least_hashes, table, small_batches
 
-#: Documents from which the scorer is trained: those of the least id hashes, less texts of more than FIT_CHARS.
-FIT_ROWS, FIT_CHARS = 4_000, 20_000
+#: Documents from which the scorer is trained: those of the least hashes of id and text.
+FIT_ROWS = 4_000
 DIMS = 1 << 12
 #: Added to a text's words when shares of them are taken.
 FEW_WORDS = 8
@@ -130,6 +132,16 @@ def _read(text: str | None) -> tuple[list[str], list[str]]:
     return (text.split(), forms(text)) if text else ([], [])
 
 
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Votes and features of texts, found where these are."""
+    for batch in batches:
+        read = [_read(t.as_py()) for t in batch.column(1)]
+        found = [sorted(features(*r).items()) for r in read]
+        columns = [[votes(*r) for r in read], [[k for k, _ in f] for f in found], [[v for _, v in f] for f in found]]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True))], names=["h", "votes", "columns", "values"])
+
+
 def vote_counts(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Patterns of votes over all documents (3 to the 9th at most), and how often each occurs."""
 
@@ -158,15 +170,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     """Weights of the scorer (the last one is the bias), and the label model."""
     small_batches(docs.sparkSession)
     model = label_model(docs, text_col)
-    # The least hashes are drawn from ids, so only the sample's texts move.
-    ids = least_hashes(docs.select(F.col(id_col).alias("_id")).where("_id is not null"), "_id", FIT_ROWS)
-    rows = docs.select(id_col, text_col).where(F.char_length(text_col) <= FIT_CHARS).join(F.broadcast(ids.distinct()), F.col(id_col) == F.col("_id")).select(id_col, text_col).limit(2 * FIT_ROWS).collect()
-    rows = sorted({(r[0], r[1]) for r in rows})
+    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text")).where("_id is not null and _text is not null")
+    # FIT_ROWS pairs of numbers: a proven bound.
+    few = F.broadcast(least_hashes(keyed.select("_id", "_h"), ["_id", "_h"], FIT_ROWS))
+    rows = keyed.join(few, ["_id", "_h"]).dropDuplicates(["_id", "_h"]).select("_h", "_text").mapInArrow(_described, "h long, votes array<long>, columns array<long>, values array<double>").collect()
+    rows = sorted(rows, key=lambda r: (r["h"], r["columns"], r["values"]))
     if not rows:
         return np.zeros(DIMS + 1), model
-    read = [_read(t) for _, t in rows]
-    target = model.posterior(np.array([votes(*r) for r in read]))
-    found = [features(*r) for r in read]
+    target = model.posterior(np.array([r["votes"] for r in rows]))
+    found = [dict(zip(r["columns"], r["values"], strict=True)) for r in rows]
     place = np.array([i for i, f in enumerate(found) for _ in f], np.int64)
     column = np.array([k for f in found for k in f], np.int64)
     value = np.array([v for f in found for v in f.values()])

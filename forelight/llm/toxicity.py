@@ -9,13 +9,16 @@ trained; two numbers fitted on labelled documents kept out of that training turn
 its margin into a probability.
 
 Only documents whose crc32(id as text) mod 4 is not 2 are learned from. Fitting
-takes at most FIT_ROWS of these, those of the least id hashes, and no text of
-more than FIT_CHARS code points; all rows are scored, over their whole texts.
+takes at most FIT_ROWS of these, those of the least id hashes, whatever their
+length: texts are read where they are, and only their distinct words travel. All
+rows are scored, over their whole texts.
 
 Defined results: null counts as the empty text, which has no terms and the score
 of the bias. Without labels, or with labels of one class only, every score is
-the smoothed share of toxic labels. Repeated rows are each scored. A document
-with several labels is fitted once for each. Other columns are never read.
+the smoothed share of toxic labels; an empty table of documents gives an empty
+result. Repeated rows are each scored, and fitted once. A document with several
+labels is fitted once for each. Equal texts have equal scores, so nothing hangs on
+the order of ties. Other columns of documents and labels, whatever their names, are never read.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from forelight.llm import weak
 from forelight.llm.common import least_hashes, table, small_batches
 
-FIT_ROWS, FIT_CHARS = 6_000, 20_000
+FIT_ROWS = 6_000
 #: Hashed features; lexicon voters at most; documents that a lexicon term must be in.
 DIMS, LEXICON, SUPPORT = 1 << 17, 96, 5
 HELD_OUT, PARTS = 2, 4
@@ -67,6 +70,21 @@ def _patterns(text: str, words: list[str]) -> list[int]:
     ]
 
 
+@dataclass
+class Read:
+    """What fitting needs of a text: distinct words in order, how many words there are, votes by ways of writing."""
+
+    words: list[str]
+    count: int
+    patterns: list[int]
+
+
+def read(text: str | None) -> Read:
+    text = text or ""
+    words = tokens(text)
+    return Read(sorted(set(words)), len(words), _patterns(text, words))
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # by feature, and the bias
@@ -114,17 +132,17 @@ def lexicon(terms_: dict[str, tuple[float, list[int]]]) -> list[str]:
     return chosen
 
 
-def _posterior(docs: list[list[str]], texts: list[str], words: list[list[str]], labels: np.ndarray) -> tuple[dict, list[str], weak.LabelModel, np.ndarray]:
+def _posterior(docs: list[list[str]], reads: list[Read], labels: np.ndarray) -> tuple[dict, list[str], weak.LabelModel, np.ndarray]:
     found = standing_out(docs, labels == 1)
     names = lexicon(found)
     place = {t: j for j, t in enumerate(names)}
     votes = np.zeros((len(docs), len(names) + 5), np.int64)
-    for i, (d, x, w, y) in enumerate(zip(docs, texts, words, labels, strict=True)):
+    for i, (d, x, y) in enumerate(zip(docs, reads, labels, strict=True)):
         mine = [place[t] for t in d if t in place]
         votes[i, mine] = 1
-        votes[i, len(names) :] = [0 if mine else -1, *_patterns(x, w), 1 if y == 1 else -1]
+        votes[i, len(names) :] = [0 if mine else -1, *x.patterns, 1 if y == 1 else -1]
     start = np.where(labels == 1, 0.9, 0.02)  # labels miss some and are wrong on some
-    model = weak.fit(votes, np.ones(len(docs)), prior=float((labels == 1).mean()), start=start)
+    model = weak.fit(votes, np.ones(len(docs)), prior=float((labels == 1).mean()), start=start, apart=(votes.shape[1] - 1,))
     return found, names, model, model.posterior(votes)
 
 
@@ -146,29 +164,27 @@ def _margins(docs: list[list[str]], weights: np.ndarray) -> np.ndarray:
     return np.array([sum(weights[bucket(t)] for t in d) for d in docs]) + weights[-1]
 
 
-def fit(texts: list[str], labels: np.ndarray, parts: np.ndarray) -> Model:
+def fit(reads: list[Read], labels: np.ndarray, parts: np.ndarray) -> Model:
     """``parts``: numbers that deal the rows to FOLDS; margins from the other folds' models calibrate."""
-    n = len(texts)
+    n = len(reads)
     share = (labels.sum() + 1) / (n + 2)
     if n < 20 or len(set(labels.tolist())) < 2:
         return Model(np.zeros(DIMS + 1), (0.0, 0.0, float(np.log(share / (1 - share)))), [], None)
-    words = [tokens(t) for t in texts]
-    docs = [sorted({t for w in set(ws) for t in terms(w)}) for ws in words]
+    docs = [sorted({t for w in r.words for t in terms(w)}) for r in reads]
     fold = parts % FOLDS
     margin = np.zeros(n)
 
     def learn(rows: np.ndarray) -> tuple[np.ndarray, list[str], weak.LabelModel]:
         own = [docs[i] for i in rows]
-        found, names, model, soft = _posterior(own, [texts[i] for i in rows], [words[i] for i in rows], labels[rows])
-        # The given label keeps half of the say, for toxic words that no voter knows.
-        return _train(found, own, 0.5 * soft + 0.5 * (labels[rows] == 1)), names, model
+        found, names, model, soft = _posterior(own, [reads[i] for i in rows], labels[rows])
+        return _train(found, own, soft), names, model
 
     for k in range(FOLDS):
         rest, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
         if len(own) and len(set(labels[rest].tolist())) == 2:
             margin[own] = _margins([docs[i] for i in own], learn(rest)[0])
     weights, names, model = learn(np.arange(n))
-    size = np.log1p([len(w) for w in words])
+    size = np.log1p([r.count for r in reads])
     scale = weak.logistic(np.column_stack([margin, size]), (labels == 1).astype(float), np.ones(n), l2=1e-4)
     return Model(weights, tuple(map(float, scale)), names, model)
 
@@ -177,16 +193,26 @@ FOLDS = 3
 L2, ROUNDS, RATE = 1e-3, 200, 0.05
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list[str], np.ndarray, np.ndarray]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list[Read], np.ndarray, np.ndarray]:
     """At most FIT_ROWS labelled documents outside the held-out part, for the driver."""
     labels = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).where("y is not null and _id is not null")
     # The sample is drawn from the labels, which are short, so only its texts move.
-    fit = least_hashes(labels.where(F.crc32(F.col("_id").cast("string")) % PARTS != HELD_OUT), "_id", FIT_ROWS)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.char_length("text") <= FIT_CHARS)
+    fit = least_hashes(labels.where(F.crc32(F.col("_id").cast("string")) % PARTS != HELD_OUT), ["_id"], FIT_ROWS)
     # FIT_ROWS pairs of numbers: a proven bound.
-    rows = texts.join(F.broadcast(fit), F.col("doc_id") == F.col("_id")).select("text", "y", F.xxhash64(F.lit(7), "doc_id").alias("part"), "doc_id").collect()
-    rows.sort(key=lambda r: (r["part"], r["doc_id"], r["y"], r["text"]))
-    return [r["text"] for r in rows], np.array([r["y"] for r in rows], int), np.array([r["part"] for r in rows], np.int64)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(fit), F.col("doc_id") == F.col("_id"))
+    texts = texts.select("doc_id", "y", F.xxhash64("text").alias("h"), "text").dropDuplicates(["doc_id", "y", "h"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [read(t.as_py()) for t in batch.column(3)]
+            columns = [pa.array([r.words for r in found], pa.list_(pa.string())), pa.array([r.count for r in found], pa.int64()), pa.array([r.patterns for r in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), *columns], names=["doc_id", "y", "h", "words", "n", "patterns"])
+
+    small_batches(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = texts.mapInArrow(run, f"doc_id {kind}, y int, h long, words array<string>, n long, patterns array<long>").withColumn("part", F.xxhash64(F.lit(7), "doc_id")).collect()
+    rows.sort(key=lambda r: (r["part"], r["doc_id"], r["y"], r["h"]))
+    return [Read(r["words"], r["n"], r["patterns"]) for r in rows], np.array([r["y"] for r in rows], int), np.array([r["part"] for r in rows], np.int64)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,12 +29,14 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(self.logit(votes), -30, 30)))
 
 
-def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int = 60, smooth: float = 1.0, start: np.ndarray | None = None) -> LabelModel:
+def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int = 60, smooth: float = 1.0, start: np.ndarray | None = None, apart: tuple[int, ...] = ()) -> LabelModel:
     """EM from a start at which every vote is strong evidence.
 
     ``votes``: patterns x labellers; ``counts``: how often each pattern occurs.
     ``start``: first beliefs instead, which also hold the prior where it is:
     for classes that are rare and known in part, which EM would else widen.
+    ``apart``: labellers that judge on their own account, so that agreeing with
+    others takes nothing of their say.
     """
     votes, counts = np.asarray(votes, np.int64), np.asarray(counts, float)
     n, m = votes.shape if votes.ndim == 2 else (0, 0)
@@ -64,6 +66,7 @@ def fit(votes: np.ndarray, counts: np.ndarray, prior: float = 0.5, rounds: int =
         corr = np.clip(cov / np.outer(sd, sd), -1, 1)
         np.fill_diagonal(corr, 0)
         share = np.minimum(own, 1 / (1 + np.clip(corr - 0.1, 0, None).sum(axis=1)))
+        share[list(apart)] = 1
         model = LabelModel(prior, (np.log(p) - np.log(q)) * share[:, None], (prior * p[:, 2] + (1 - prior) * q[:, 0]) / np.maximum(prior * (p[:, 0] + p[:, 2]) + (1 - prior) * (q[:, 0] + q[:, 2]), 1e-9), corr)
         new = model.posterior(votes)
         if np.abs(new - belief).max() < 1e-6:
