@@ -47,6 +47,12 @@ def test_quality_keeps_the_clean_and_drops_junk(spark, corpus):
     assert {70, 71, 72, 73} <= set(ids) and None in ids
 
 
+def test_long_texts_are_fitted_and_judged(spark, corpus):
+    rows = [r for r in corpus if r[0] is not None and len(r[1] or "") < 4000] + [(2000, prose(50, 8000)), (2001, " ".join(w.upper() + "!!" for w in prose(51, 8000).split()))]
+    kept = {r.doc_id for r in quality.accepted(frame(spark, rows)).collect()}
+    assert 2000 in kept and 2001 not in kept
+
+
 def test_quality_of_no_documents(spark):
     assert quality.accepted(frame(spark, [])).count() == 0
 
@@ -66,11 +72,11 @@ def test_toxicity_is_learned_from_the_labels_it_may_see(spark):
     rows += [(2000, None), (2001, ""), (2001, ""), (None, "grobnak snarvel")]
     docs = frame(spark, rows)
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    texts, y, parts = toxicity.training_rows(docs, table)
+    reads, y, parts = toxicity.training_rows(docs, table)
     import zlib
 
-    assert len(texts) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(900))
-    model = toxicity.fit(texts, y, parts)
+    assert len(reads) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(900))
+    model = toxicity.fit(reads, y, parts)
     out = toxicity.scores(docs, model).collect()
     assert len(out) == len(rows)
     score = {x.doc_id: x.score for x in out}
@@ -89,7 +95,7 @@ def test_toxicity_without_labels(spark):
 
 def test_least_hashes_is_bounded(spark):
     df = spark.range(10_000)
-    a = {r.id for r in least_hashes(df, "id", 100).collect()}
+    a = {r.id for r in least_hashes(df.union(df), ["id"], 100).collect()}
     b = {r.id for r in df.orderBy(F.xxhash64("id"), "id").limit(100).collect()}
     assert a == b
 
