@@ -195,10 +195,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     reps = scratch.keep(reps, "reps")
 
     # Each bucket has hubs of its own choice, so that a pair that shares several buckets is likely to meet in one.
-    keys = reps.select("rep", F.explode("bands").alias("key")).repartition("key")
+    keys = reps.select("rep", F.explode("bands").alias("key"))
     turn = F.xxhash64("rep", "key")
     hubs = keys.groupBy("key").agg(F.min_by("rep", turn).alias("low"), F.max_by("rep", turn).alias("high")).where("low <> high")
-    members = scratch.keep(keys.join(hubs.hint("shuffle_hash"), "key").select("key", "rep", "low", "high"), "members")
+    members = scratch.keep(keys.join(hubs, "key").select("key", "rep", "low", "high"), "members")
     pairs = members.select(F.col("low").alias("a"), F.col("rep").alias("b")).unionByName(members.select(F.col("rep").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
     pairs = scratch.keep(pairs, "pairs")
     places = reps.select("rep", "n", "places")

@@ -23,6 +23,7 @@ the order of ties. Other columns of documents and labels, whatever their names,
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -170,7 +171,12 @@ def fit(reads: list[Read], labels: np.ndarray, parts: np.ndarray) -> Model:
     share = (labels.sum() + 1) / (n + 2)
     if n < 20 or len(set(labels.tolist())) < 2:
         return Model(np.zeros(DIMS + 1), (0.0, 0.0, float(np.log(share / (1 - share)))), [], None)
-    docs = [sorted({t for w in r.words for t in terms(w)}) for r in reads]
+    # Each term is one string, however many documents have it.
+    known: dict[str, list[str]] = {}
+    names: dict[str, str] = {}
+    for w in {w for r in reads for w in r.words}:
+        known[w] = [names.setdefault(t, t) for t in terms(w)]
+    docs = [sorted({t for w in r.words for t in known[w]}) for r in reads]
     fold = parts % FOLDS
     margin = np.zeros(n)
 
@@ -210,9 +216,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> t
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts.mapInArrow(run, f"doc_id {kind}, y int, h long, words array<string>, n long, patterns array<long>").withColumn("part", F.xxhash64(F.lit(7), "doc_id")).collect()
-    rows.sort(key=lambda r: (r["part"], r["doc_id"], r["y"], r["h"]))
-    return [Read(r["words"], r["n"], r["patterns"]) for r in rows], np.array([r["y"] for r in rows], int), np.array([r["part"] for r in rows], np.int64)
+    found = texts.mapInArrow(run, f"doc_id {kind}, y int, h long, words array<string>, n long, patterns array<long>").withColumn("part", F.xxhash64(F.lit(7), "doc_id")).toArrow()
+    rows = []
+    for batch in found.to_batches():
+        doc, y, h, words, n, patterns, part = batch.columns
+        for i in range(batch.num_rows):
+            key = part[i].as_py(), doc[i].as_py(), y[i].as_py(), h[i].as_py()
+            rows.append((key, Read([sys.intern(w) for w in words[i].as_py()], n[i].as_py(), patterns[i].as_py())))
+    rows.sort(key=lambda r: r[0])
+    return [r for _, r in rows], np.array([k[2] for k, _ in rows], int), np.array([k[0] for k, _ in rows], np.int64)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
