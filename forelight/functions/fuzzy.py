@@ -1,12 +1,20 @@
-"""Rule-based fuzzy inference as column expressions: no arrays but the output universe, no Python on executors."""
+"""Rule-based fuzzy inference: memberships and rules as column expressions, the area of the output in NumPy over Arrow batches.
+
+The cumulative area has no built-in function: as an array expression it would
+copy or revisit the 241 points of the output universe for each of them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 
 def rise(x: Column, low: float, high: float) -> Column:
@@ -65,9 +73,20 @@ RULES = (
 )
 
 
-def _below(p: float, places: int | None = None):
-    """Whether a share is under p, as a function of one argument, which Spark counts."""
-    return (lambda v: v < p) if places is None else (lambda v: F.round(v, places) < p)
+#: Rows whose output universes a worker holds at a time.
+ROWS = 2048
+
+
+def between_points(shares: np.ndarray, p: float, low: float, step: float) -> np.ndarray:
+    """Where a share of the area is reached, by linear interpolation; whole numbers, halves to the even one."""
+    i = (shares < p).sum(axis=1)
+    row = np.arange(len(shares))
+    before, after = shares[row, i - 1], shares[row, i]
+    return np.rint(np.round(low + (i - 1) * step + (p - before) / (after - before) * step, 9))
+
+
+def first_point(shares: np.ndarray, p: float, low: float, step: float) -> np.ndarray:
+    return low + (np.round(shares, 9) < p).sum(axis=1) * step
 
 
 @dataclass(frozen=True)
@@ -114,25 +133,44 @@ class System:
         low, high, step = map(float, self.universes["ozone"])
         return [low + i * step for i in range(round((high - low) / step) + 1)]
 
-    def aggregated(self) -> Column:
-        """The output's membership on its universe: category shapes cut at their possibilities, the largest of them."""
-        xs = self.grid()
-        # The shapes are constants, so their points are too; only the cuts depend on the row.
-        shapes = {c: F.lit([max(0.0, min(1.0, (x - a) / (b - a), (d - x) / (d - e))) for x in xs]) for c, (a, b, e, d) in self.output.items()}
-        return F.transform(F.sequence(F.lit(0), F.lit(len(xs) - 1)), lambda i: F.greatest(*(F.least(F.get(shapes[c], i), F.col(c)) for c in self.output)))
-
-    def _shares(self, df: DataFrame) -> DataFrame:
-        """df with ``_f``: the share of the aggregated area that lies to the left of each point, null if there is none."""
-        step, n = float(self.universes["ozone"][2]), len(self.grid()) - 1
-        df = df.withColumn("_y", F.when(F.col(next(iter(self.output))).isNotNull(), self.aggregated()))
-
-        def add(acc: Column, i: Column) -> Column:
-            area = acc["sum"] + (F.get("_y", i) + F.get("_y", i - 1)) / 2 * step
-            return F.struct(area.alias("sum"), F.array_append(acc["all"], area).alias("all"))
-
-        start = F.struct(F.lit(0.0).alias("sum"), F.array(F.lit(0.0)).alias("all"))
-        df = df.withColumn("_sums", F.aggregate(F.sequence(F.lit(1), F.lit(n)), start, add))
-        return df.withColumn("_f", F.when(F.col("_sums.sum") > 0, F.transform("_sums.all", lambda v: v / F.col("_sums.sum")))).drop("_y", "_sums")
+    def aggregated(self, possibilities: np.ndarray) -> np.ndarray:
+        """The output's membership on its universe: category shapes cut at their possibilities (rows by categories), the largest of them."""
+        xs = np.array(self.grid())
+        out = np.zeros((len(possibilities), len(xs)))
+        for k, (a, b, c, d) in enumerate(self.output.values()):
+            shape = np.clip(np.minimum((xs - a) / (b - a), (d - xs) / (d - c)), 0, 1)
+            np.maximum(out, np.minimum(shape[None, :], possibilities[:, [k]]), out=out)
+        return out
+
+    def shares(self, possibilities: np.ndarray) -> np.ndarray:
+        """The share of the aggregated area that lies to the left of each point; rows without an area are NaN."""
+        y = self.aggregated(possibilities)
+        area = np.zeros_like(y)
+        np.cumsum((y[:, 1:] + y[:, :-1]) / 2 * float(self.universes["ozone"][2]), axis=1, out=area[:, 1:])
+        total = area[:, -1:]
+        return area / np.where(total > 0, total, np.nan)
+
+    def _with_points(self, df: DataFrame, targets: dict[str, float], find: Callable) -> DataFrame:
+        low, _, step = map(float, self.universes["ozone"])
+        names = list(targets)
+
+        @pandas_udf(", ".join(f"`{n}` double" for n in names))
+        def points(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            for columns in batches:
+                x = np.column_stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns])
+                out = np.full((len(x), len(names)), np.nan)
+                for at in range(0, len(x), ROWS):
+                    part = x[at : at + ROWS]
+                    known = ~np.isnan(part).any(axis=1)
+                    shares = self.shares(np.where(known[:, None], part, 0))
+                    known &= ~np.isnan(shares[:, -1])
+                    for k, p in enumerate(targets.values()):
+                        out[at + np.flatnonzero(known), k] = find(shares[known], p, low, step)
+                # A missing number is null and not NaN.
+                yield pd.DataFrame(out, columns=names).astype(object).where(~np.isnan(out), None)
+
+        found = df.withColumn("_points", points(*map(F.col, self.output)))
+        return found.withColumns({n: F.col("_points")[n] for n in names}).drop("_points")
 
     def percentiles(self, df: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
         """df with the whole-number values at which given shares of the aggregated area lie to the left.
@@ -140,25 +178,11 @@ class System:
         Null where no rule fires (the area is zero) or an input is missing.
         Halves go to the even number, whatever the ninth decimal place says.
         """
-        targets = targets or {"ozone_10pc": 0.1, "ozone_50pc": 0.5, "ozone_90pc": 0.9}
-        low, _, step = map(float, self.universes["ozone"])
-        df = self._shares(df)
-        for name, p in targets.items():
-            # The first point with the share, and the one before it.
-            df = df.withColumn("_i", F.size(F.filter("_f", _below(p))))
-            before, after = F.get("_f", F.col("_i") - 1), F.get("_f", F.col("_i"))
-            found = low + (F.col("_i") - 1) * step + F.try_divide(p - before, after - before) * step
-            df = df.withColumn(name, F.when(F.col("_f").isNotNull(), F.rint(F.round(found, 9))))
-        return df.drop("_f", "_i")
+        return self._with_points(df, targets or {"ozone_10pc": 0.1, "ozone_50pc": 0.5, "ozone_90pc": 0.9}, between_points)
 
     def first_points(self, df: DataFrame, targets: dict[str, float]) -> DataFrame:
         """df with the first points of the universe up to which given shares of the area lie: the older, coarser way."""
-        low, _, step = map(float, self.universes["ozone"])
-        df = self._shares(df)
-        for name, p in targets.items():
-            first = F.size(F.filter("_f", _below(p, 9)))
-            df = df.withColumn(name, F.when(F.col("_f").isNotNull(), low + first * step))
-        return df.drop("_f")
+        return self._with_points(df, targets, first_point)
 
     def infer(self, df: DataFrame) -> DataFrame:
         """Guarded inputs, possibilities and percentiles."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,9 +25,40 @@ def hazen(x: Column | str, q: float, poison: bool = False) -> Column:
     """Hazen quantile of a group.
 
     A group's values are held together, so this is for groups of a bounded
-    size (stations, members, cells of a crop). With ``poison`` a missing value
+    size (stations, members); :func:`hazen_by_ranks` takes others. With ``poison`` a missing value
     makes the result missing, as NumPy's quantile does; else it is skipped.
     """
     x = F.col(x) if isinstance(x, str) else x
     out = hazen_of(F.collect_list(x), q)
     return F.when(F.count("*") == F.count(x), out) if poison else out
+
+
+#: Equal parts of a group's range in which its order statistics are looked for.
+PARTS = 1024
+
+
+def hazen_by_ranks(df: DataFrame, keys: list[str], value: str, q: float, name: str = "value", parts: int = PARTS) -> DataFrame:
+    """keys, the Hazen quantile of each group, and ``n``, its values: for groups of any size.
+
+    Values are counted by parts of the group's range; only the parts that hold
+    the two order statistics are sorted. Missing values are skipped; a group
+    without values has a null. Exact, whatever the parts.
+    """
+    rows = df.select(*(F.col(k) for k in keys), F.col(value).cast("double").alias("_x"))
+    span = rows.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.count("_x").alias("n"))
+    h = F.least(F.greatest(F.col("n") * F.lit(q) - 0.5, F.lit(0.0)), (F.col("n") - 1).cast("double"))
+    span = span.withColumn("_h", h).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1))
+    at = F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * parts)
+    part = F.when(F.col("_high") > F.col("_low"), F.least(at, F.lit(parts - 1))).otherwise(0).cast("int")
+    # The table of groups is short against the values; Catalyst broadcasts it if it is under its limit.
+    placed = rows.where("_x is not null").join(span.select(*keys, "_low", "_high"), keys).select(*keys, "_x", part.alias("_p"))
+    counts = placed.groupBy(*keys, "_p").agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("_before", F.coalesce(before, F.lit(0))).join(span.select(*keys, "_lo", "_hi"), keys)
+    holds = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
+    wanted = counts.where(holds(F.col("_lo")) | holds(F.col("_hi"))).select(*keys, "_p", "_before", "_lo", "_hi")
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("_x")) - 1
+    found = placed.join(wanted, [*keys, "_p"]).withColumn("_r", rank)
+    ends = found.groupBy(*keys).agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x"))).alias("_a"), F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_x"))).alias("_b"))
+    out = span.join(ends, keys, "left")
+    return out.select(*keys, (F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(name), "n")

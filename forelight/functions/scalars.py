@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Decimal places per product variable; fixed values.
-PLACES = {"snow": 1, "mslp": 1, "wind": 1, "solar": 0, "temp": 1, "ozone": 1, "possibility": 3, "probability": 3}
+PLACES = {"snow": 0, "wind": 1, "temp": 1, "mslp": 1, "solar": 0, "ozone": 1, "possibility": 2, "probability": 2}
 #: Local names of forecast variables; fixed values.
 SYNONYMS = {
     "snow": ["snow", "sde", "snow_depth"],
@@ -37,8 +37,9 @@ def finite(*columns: str) -> Column:
 
 
 def round_value(x: Column, variable: str) -> Column:
-    """Product rounding; without decimal places a whole number."""
+    """Product rounding; without decimal places a whole number. What is half a step to nine places is rounded up."""
     places = PLACES.get(variable, 2)
+    x = F.round(x, 9)
     return F.round(x, places) if places else F.round(x).cast("long")
 
 

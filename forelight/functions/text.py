@@ -85,21 +85,17 @@ def _plain(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def braces(text: str) -> list[str]:
-    """a{b,c}d -> abd, acd; nested ones too, others as they are."""
+    """a{b,c}d -> abd, acd; nested ones too; a group without a comma loses its braces, one without an end stays."""
     start = text.find("{")
-    while start >= 0:
-        depth, parts, last = 0, [], start + 1
-        for i in range(start, len(text)):
-            depth += (text[i] == "{") - (text[i] == "}")
-            if depth == 1 and text[i] == ",":
-                parts.append(text[last:i])
-                last = i + 1
-            if depth == 0:
-                if not parts:
-                    break
-                parts.append(text[last:i])
-                return [x for p in parts for x in braces(text[:start] + p + text[i + 1 :])]
-        start = text.find("{", start + 1)
+    depth, parts, last = 0, [], start + 1
+    for i in range(start, len(text)) if start >= 0 else ():
+        depth += (text[i] == "{") - (text[i] == "}")
+        if depth == 1 and text[i] == ",":
+            parts.append(text[last:i])
+            last = i + 1
+        if depth == 0:
+            parts.append(text[last:i])
+            return [x for p in parts for x in braces(text[:start] + p + text[i + 1 :])]
     return [text]
 
 

@@ -79,6 +79,17 @@ def solar_noon(day: Column, lon: float) -> Column:
     return 720 - 4 * F.lit(lon) - equation
 
 
+def quantised(ts: Column, minutes: int = 5) -> Column:
+    """Down to whole steps of some minutes."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", (F.floor(F.timestamp_diff("SECOND", epoch, ts) / (minutes * 60)) * minutes * 60).cast("int"), epoch)
+
+
+def title(variable: Column, init: Column, lead: Column) -> Column:
+    """A chart's heading."""
+    return F.format_string("%s, run of %s, lead %03d h", F.initcap(variable), F.date_format(init, "yyyy-MM-dd HH'Z'"), lead)
+
+
 def week_marks(day: Column) -> Column:
     """Monday or Friday, between which charts shade; null on other days."""
     return F.when(F.dayofweek(day) == 2, "Monday").when(F.dayofweek(day) == 6, "Friday")

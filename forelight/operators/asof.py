@@ -2,7 +2,8 @@
 
 Targets and samples of a key are bucketed by the tolerance, so each target
 meets the samples of three buckets and not its key's whole series; a join without
-tolerance looks at the sample before and the one after by window functions.
+tolerance looks at the sample before and the one after by window functions over
+buckets of time.
 """
 
 from __future__ import annotations
@@ -17,20 +18,32 @@ def _seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
 
 
-def nearest(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
-    """targets with the value of the nearest sample (of equals the later), missing values included."""
+def nearest(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, value: str, width: int = 86_400) -> DataFrame:
+    """targets with the value of the nearest sample (of equals the later), missing values included.
+
+    Series are cut into buckets of ``width`` seconds, so a key with a long one is
+    not one task; each bucket knows the last sample before it and the first one
+    after it from a table with a row per bucket.
+    """
     t = targets.select(*keys, F.col(ts), F.lit(1).alias("_is_target"), F.lit(None).cast("timestamp_ntz").alias("_at"), F.lit(None).cast(samples.schema[value].dataType).alias("_v"))
     s = samples.select(*keys, F.col(ts), F.lit(0).alias("_is_target"), F.col(ts).alias("_at"), F.col(value).alias("_v"))
-    both = t.unionByName(s)
+    both = t.unionByName(s).withColumn("_k", F.floor(_seconds(F.col(ts)) / width))
     # A struct is never null, so a sample whose value is missing still is the nearest one.
     mark = F.when(F.col("_is_target") == 0, F.struct("_at", "_v"))
-    before = Window.partitionBy(*keys).orderBy(ts, "_is_target").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*keys).orderBy(F.desc(ts), "_is_target").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("_b", F.last(mark, ignorenulls=True).over(before)).withColumn("_a", F.last(mark, ignorenulls=True).over(after))
+    ends = both.groupBy(*keys, "_k").agg(F.max(mark).alias("_last"), F.min(mark).alias("_first"))
+    series = Window.partitionBy(*keys).orderBy("_k")
+    earlier = F.last("_last", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, -1))
+    later = F.first("_first", ignorenulls=True).over(series.rowsBetween(1, Window.unboundedFollowing))
+    ends = ends.select(*keys, "_k", earlier.alias("_earlier"), later.alias("_later"))
+    bucket = Window.partitionBy(*keys, "_k")
+    before = bucket.orderBy(ts, "_is_target").rowsBetween(Window.unboundedPreceding, 0)
+    after = bucket.orderBy(F.desc(ts), "_is_target").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_b", F.last(mark, ignorenulls=True).over(before)).withColumn("_a", F.last(mark, ignorenulls=True).over(after)).where("_is_target = 1")
+    both = both.join(ends, [*keys, "_k"]).withColumn("_b", F.coalesce("_b", "_earlier")).withColumn("_a", F.coalesce("_a", "_later"))
     gap_b, gap_a = _seconds(F.col(ts)) - _seconds(F.col("_b._at")), _seconds(F.col("_a._at")) - _seconds(F.col(ts))
-    later = F.col("_b").isNull() | (F.col("_a").isNotNull() & (gap_a <= gap_b))
-    found = F.when(later, F.col("_a")).otherwise(F.col("_b"))
-    return both.where("_is_target = 1").select(*keys, ts, found["_v"].alias(value), found["_at"].alias("sample_time"))
+    nearer = F.col("_b").isNull() | (F.col("_a").isNotNull() & (gap_a <= gap_b))
+    found = F.when(nearer, F.col("_a")).otherwise(F.col("_b"))
+    return both.select(*keys, ts, found["_v"].alias(value), found["_at"].alias("sample_time"))
 
 
 def nearest_within(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, value: str, tolerance: int, require_value: bool = True) -> DataFrame:

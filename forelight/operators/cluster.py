@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forelight.sources.sinks import kept
+
 #: Days of the three blocks, their weights, and the strict background's tolerance.
 BLOCKS = (("days_1_5", 0, 5, 0.55), ("days_6_10", 5, 10, 0.30), ("days_11_15", 10, None, 0.15))
 TOLERANCE = 1e-6
@@ -20,11 +22,11 @@ CATEGORIES = ("background", "moderate", "elevated", "extreme")
 
 
 def valid_days(df: DataFrame, missing: Column | None = None) -> DataFrame:
-    """df with ``valid``: all categories have a value, and the day isn't marked as missing."""
+    """df with ``finite``: all categories have a value, and ``valid``: so they have, and the day isn't marked as missing."""
     known = F.lit(True)
     for c in CATEGORIES:
         known = known & F.col(c).isNotNull() & ~F.isnan(c)
-    return df.withColumn("valid", known & ~F.coalesce(missing, F.lit(False)) if missing is not None else known)
+    return df.withColumn("finite", known).withColumn("valid", known & ~F.coalesce(missing, F.lit(False)) if missing is not None else known)
 
 
 def block_means(df: DataFrame, keys: list[str], values: dict[str, Column], day: str = "day") -> DataFrame:
@@ -48,7 +50,7 @@ def member_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
     v = lambda x: F.when(F.col("valid"), x)
     high = F.col("elevated") + F.col("extreme")
     out = block_means(df, keys, {"moderate": v(F.col("moderate")), "high": v(high), "non_background": v(F.col("moderate") + high), "extreme": v(F.col("extreme")), "background": v(F.col("background"))})
-    score = F.col("w_non_background") + 0.6 * F.col("w_extreme") - 0.3 * F.col("w_background")
+    score = F.col("w_non_background") + 0.6 * F.col("w_extreme") - 0.3 * F.col("w_background")  # fixed weights
     return out.withColumn("null_score", F.coalesce(score, F.lit(float("inf"))))
 
 
@@ -79,7 +81,9 @@ def masked_distances(vectors: DataFrame, group: list[str], member: str = "member
     """
     left = vectors.select(*group, F.col(member).alias("a"), F.col(x).alias("xa"))
     right = vectors.select(*group, F.col(member).alias("b"), F.col(x).alias("xb"))
-    pairs = (left.join(right, group) if group else left.join(right, F.lit(True))).where("a < b")
+    if not group:  # one ensemble, which is one group
+        left, right = left.withColumn("_g", F.lit(0)), right.withColumn("_g", F.lit(0))
+    pairs = left.join(right, group or "_g").where("a < b")
     gaps = F.filter(F.zip_with("xa", "xb", lambda p, q: (p - q) * (p - q)), lambda g: g.isNotNull())
     total = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g)
     d = F.when(F.size(gaps) == 0, F.lit(0.0)).otherwise(F.sqrt(total) * F.sqrt(F.try_divide(F.size("xa").cast("double"), F.size(gaps).cast("double"))))
@@ -105,8 +109,10 @@ def nearest_neighbours(pairs: DataFrame, group: list[str]) -> DataFrame:
     return both_ways(pairs).groupBy(*group, F.col("a").alias("member")).agg(F.min("d").alias("nearest"))
 
 
-def most_isolated(nearest: DataFrame, n: int = 5) -> DataFrame:
-    return nearest.orderBy(F.desc("nearest"), "member").limit(n)
+def most_isolated(nearest: DataFrame, group: list[str], n: int = 5) -> DataFrame:
+    """The members of each group that are farthest from their nearest other one."""
+    order = Window.partitionBy(*group).orderBy(F.desc("nearest"), "member")
+    return nearest.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
 
 
 def medoids(pairs: DataFrame, labels: DataFrame, group: list[str]) -> DataFrame:
@@ -173,6 +179,11 @@ def silhouette(d: np.ndarray, labels: np.ndarray) -> float:
     return float(np.mean(out))
 
 
+def scores(d: np.ndarray) -> dict[int, float]:
+    """The silhouette of each count that is tried; none for up to two members."""
+    return {k: silhouette(d, upgma(d, k)) for k in K_TRIED if k <= len(d) - 1} if len(d) > 2 else {}
+
+
 def choose(d: np.ndarray) -> tuple[np.ndarray, dict]:
     """Labels for the best of the tried counts. Clusters of one are shunned from six members on, unless all counts have one."""
     n = len(d)
@@ -204,12 +215,13 @@ def assign(pairs: DataFrame, members: DataFrame, group: list[str]) -> DataFrame:
         d[i, j] = d[j, i] = pdf["d"]
         labels, how = choose(d)
         out = pd.DataFrame({"member": names, "cluster": labels, "k": how["k"], "fallback_used": how["fallback"], "min_size_guard_relaxed": how["relaxed"], "silhouette": silhouette(d, labels)})
+        out["scores"] = [[{"k": str(k), "score": round(v, 4)} for k, v in scores(d).items()]] * len(out)
         for g in group:
             out[g] = pdf[g].iloc[0]
         return out[[*group, *(c for c in out.columns if c not in group)]]
 
     kind = members.schema["member"].dataType.simpleString()
-    return rows.groupBy(*group).applyInPandas(run, f"{kinds}, member {kind}, cluster int, k int, fallback_used boolean, min_size_guard_relaxed boolean, silhouette double")
+    return rows.groupBy(*group).applyInPandas(run, f"{kinds}, member {kind}, cluster int, k int, fallback_used boolean, min_size_guard_relaxed boolean, silhouette double, scores array<struct<k: string, score: double>>")
 
 
 def ward_labels(vectors: DataFrame, group: list[str], k: int = 3) -> DataFrame:
@@ -227,7 +239,7 @@ def ward_labels(vectors: DataFrame, group: list[str], k: int = 3) -> DataFrame:
 
 def by_severity(profile: DataFrame, group: list[str]) -> DataFrame:
     """Clusters numbered from 1 by mean non-background, then mean high, then their first member."""
-    w = Window.partitionBy(*group).orderBy("w_non_background", "w_high", "first_member")
+    w = Window.partitionBy(*group).orderBy(F.asc_nulls_last("w_non_background"), F.asc_nulls_last("w_high"), "first_member")
     return profile.withColumn("rank", F.row_number().over(w))
 
 
@@ -255,28 +267,216 @@ def weather_profile(df: DataFrame, keys: list[str]) -> DataFrame:
 def singleton_evidence(singles: DataFrame) -> DataFrame:
     """Whether clusters of one are kept: isolation, a lift of p90, a lift of non-background, of which two must hold.
 
-    ``singles``: nearest, nn_p75, p90, neighbour_p90, w_nb, neighbour_w_nb.
+    ``singles``: nearest, nn_p75, p90, neighbour_p90, w_nb, neighbour_w_nb; what is missing passes no test.
     """
     tests = {"isolated": F.col("nearest") >= F.round("nn_p75", 4), "p90_lift": F.col("p90") - F.col("neighbour_p90") >= P90_LIFT, "nb_lift": F.col("w_nb") - F.col("neighbour_w_nb") >= NON_BACKGROUND_LIFT}
     out = singles.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in tests.items()})
     passed = sum(F.col(k).cast("int") for k in tests)
-    return out.withColumn("passed", passed).withColumn("display", F.when(F.col("passed") >= PASSES, "primary").otherwise("deemphasized")).withColumn("reason", F.when(F.col("passed") < PASSES, "weak_singleton_evidence"))
+    reasons = F.array_compact(F.array(*(F.when(F.col(k), F.lit(k)) for k in tests)))
+    out = out.withColumn("passed", passed).withColumn("display", F.when(F.col("passed") >= PASSES, "primary").otherwise("deemphasized"))
+    out = out.withColumn("reason", F.when(F.col("passed") < PASSES, "weak_singleton_evidence"))
+    return out.withColumn("reasons", F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("no_criteria_passed"))))
 
 
-def summary(assigned: DataFrame, metrics: DataFrame, group: list[str]) -> DataFrame:
-    """One document per ensemble: its clusters by severity, with members, shares and risks.
+# From forecasts to scenarios
 
-    ``assigned``: group, member, cluster (0 for the null cluster); ``metrics``:
-    group, member and the weighted means.
+
+def features(days: DataFrame, group: list[str], among: DataFrame | None = None) -> DataFrame:
+    """(group, kind, member, x): each member's vectors of kind possibility and percentile.
+
+    ``days``: group, member, day, the categories, p50, p90, finite and valid. The
+    dimensions are features by all days that any member has; values count on
+    the days on which any member is more than background, by one over the root of
+    their number, and are standardised over members. Others are missing. ``among``
+    (group, member) are the members that get vectors; all decide on the days.
     """
-    m = assigned.join(metrics, [*group, "member"])
-    whole = lambda c: F.when(F.count("*") == F.count(c), F.avg(c))
-    p = m.groupBy(*group, "cluster").agg(F.array_sort(F.collect_list("member")).alias("members"), F.min("member").alias("first_member"), F.count("*").alias("n"), *(whole(c).alias(c) for c in ("w_non_background", "w_high", "w_extreme")))
+    weights = active_days(days, group).select(*group, "day", "weight")
+    members = (days if among is None else among).select(*group, "member").distinct()
+    cells = members.join(weights, group).join(days, [*group, "member", "day"], "left")
+    # A day marked as missing but with values counts here: only values that aren't there do not.
+    counts = F.coalesce("finite", F.lit(False)) & (F.col("weight") > 0)
+    named = [("possibility", c) for c in CATEGORIES[1:]] + [("percentile", c) for c in ("p50", "p90")]
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(i).alias("i"), F.when(counts & ~F.isnan(c), F.col(c) * F.col("weight")).alias("v")) for i, (k, c) in enumerate(named))))
+    long = cells.select(*group, "member", "day", each.alias("f")).select(*group, "member", "day", "f.*")
+    long = long.withColumn("dim", F.struct("i", "day"))
+    z = standardised(long, [*group, "kind"], "dim", "v")
+    return z.groupBy(*group, "kind", "member").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "z"))), lambda s: s["z"]).alias("x"))
+
+
+def plain_features(days: DataFrame, group: list[str]) -> DataFrame:
+    """(group, member, x): elevated with extreme, then extreme, by day, missing values as zeros: the older vectors."""
+    high = F.coalesce(F.nanvl(F.col("elevated") + F.col("extreme"), F.lit(0.0)), F.lit(0.0))
+    extreme = F.coalesce(F.nanvl("extreme", F.lit(0.0)), F.lit(0.0))
+    rows = days.groupBy(*group, "member").agg(F.array_sort(F.collect_list(F.struct("day", high.alias("a"), extreme.alias("b")))).alias("r"))
+    return rows.select(*group, "member", F.concat(F.col("r")["a"], F.col("r")["b"]).alias("x"))
+
+
+def window_features(days: DataFrame, group: list[str], first: int, stop: int, columns: tuple[str, ...] = ("p50", "p90")) -> DataFrame:
+    """(group, member, x): the columns one after the other over the days from ``first`` to before ``stop``; members with a missing value are dropped."""
+    inside = days.where((F.col("day") >= first) & (F.col("day") < stop))
+    whole = F.every(F.expr(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in columns)))
+    rows = inside.groupBy(*group, "member").agg(F.array_sort(F.collect_list(F.struct("day", *columns))).alias("r"), whole.alias("_whole")).where("_whole")
+    return rows.select(*group, "member", F.concat(*(F.col("r")[c] for c in columns)).alias("x"))
+
+
+def scenario_distances(days: DataFrame, group: list[str], among: DataFrame | None = None) -> DataFrame:
+    """(group, a, b, d, possibility, percentile): the combined distance of the members, and its two parts."""
+    vectors = features(days, group, among)
+    parts = [masked_distances(vectors.where(F.col("kind") == k).drop("kind"), group) for k in ("possibility", "percentile")]
+    both = parts[0].withColumnRenamed("d", "possibility").join(parts[1].withColumnRenamed("d", "percentile"), [*group, "a", "b"])
+    return both.withColumn("d", POSSIBILITY_SHARE * F.col("possibility") + PERCENTILE_SHARE * F.col("percentile"))
+
+
+def peaks(days: DataFrame, group: list[str]) -> DataFrame:
+    """(group, member, peak): the largest p90 of each member's valid days."""
+    return days.groupBy(*group, "member").agg(F.max(F.when(F.col("valid") & ~F.isnan("p90"), F.col("p90"))).alias("peak"))
+
+
+def single_members(pairs: DataFrame, labels: DataFrame, medoid: DataFrame, metrics: DataFrame, peak: DataFrame, group: list[str]) -> DataFrame:
+    """What :func:`singleton_evidence` asks of each cluster of one: group, cluster, member, nearest_cluster and its columns.
+
+    ``labels``: group, member, cluster, of scenarios only; ``medoid``: group, cluster, medoid.
+    """
+    near = nearest_neighbours(pairs, group)
+    p75 = near.groupBy(*group).agg(F.percentile("nearest", 0.75).alias("nn_p75"))
+    alone = labels.withColumn("_n", F.count("*").over(Window.partitionBy(*group, "cluster"))).where("_n = 1").drop("_n")
+    other = labels.select(*group, F.col("member").alias("b"), F.col("cluster").alias("other"))
+    apart = both_ways(pairs.select(*group, "a", "b", "d")).join(alone.withColumnRenamed("member", "a"), [*group, "a"]).join(other, [*group, "b"]).where("other <> cluster")
+    means = apart.groupBy(*group, F.col("a").alias("member"), "other").agg(F.avg("d").alias("mean"))
+    closest = means.groupBy(*group, "member").agg(F.min_by("other", F.struct("mean", "other")).alias("nearest_cluster"))
+    nb = metrics.select(*group, "member", "w_non_background")
+    cluster_nb = labels.join(nb, [*group, "member"]).groupBy(*group, F.col("cluster").alias("nearest_cluster")).agg(F.avg("w_non_background").alias("neighbour_w_nb"))
+    medoid_peak = medoid.select(*group, F.col("cluster").alias("nearest_cluster"), F.col("medoid").alias("member")).join(peak, [*group, "member"]).select(*group, "nearest_cluster", F.col("peak").alias("neighbour_p90"))
+    out = alone.join(near, [*group, "member"], "left").join(p75, group, "left").join(closest, [*group, "member"], "left")
+    out = out.join(peak.withColumnRenamed("peak", "p90"), [*group, "member"], "left").join(nb.withColumnRenamed("w_non_background", "w_nb"), [*group, "member"], "left")
+    return out.join(medoid_peak, [*group, "nearest_cluster"], "left").join(cluster_nb, [*group, "nearest_cluster"], "left")
+
+
+def _quantile_document(values: str) -> Column:
+    q = F.percentile(values, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return F.struct(F.count(values).alias("n_pairs"), *(F.round(F.get(q, F.lit(i)), 4).alias(n) for i, n in enumerate(("min", "p25", "median", "p75", "max"))))
+
+
+def summary(possibility: DataFrame, percentile: DataFrame, group: list[str], weather: DataFrame | None = None, missing: Column | None = None) -> DataFrame:
+    """(group, json): one document per ensemble, from daily possibilities and percentiles to clusters and their evidence.
+
+    ``possibility``: group, member, day (from 0) and the categories; ``percentile``:
+    group, member, day, p50, p90; ``weather``: group, member, snow, wind;
+    ``missing`` marks days of ``possibility`` that only look like values. Members
+    that only one of the two has are listed and left out. Members that stay at the
+    background are cluster 0; the others are joined by average linkage of the
+    combined distance and numbered by severity. A group is an ensemble, some tens of members.
+    """
+    at = [*group, "member"]
+    a = possibility.select(*at).distinct().withColumn("_p", F.lit(True))
+    b = percentile.select(*at).distinct().withColumn("_q", F.lit(True))
+    known = a.join(b, at, "full_outer")
+    dropped = known.groupBy(*group).agg(*(F.array_sort(F.collect_list(F.when(F.col(c).isNull(), F.col("member")))).alias(n) for c, n in (("_q", "missing_percentiles"), ("_p", "missing_possibilities"))))
+    members = known.where("_p and _q").select(*at)
+    days = valid_days(possibility.drop("p50", "p90"), missing).join(members, at, "left_semi").join(percentile.select(*at, "day", "p50", "p90"), [*at, "day"], "left")
+    days = kept(days, "days")
+    metrics = kept(member_metrics(days, at), "metrics")
+    calm = members.join(strict_null(days, at), at, "left").withColumn("calm", F.coalesce("strict_null", F.lit(False))).select(*at, "calm")
+    calm = kept(calm, "calm")
+    lively = calm.where("not calm").select(*at)
+    pairs = kept(scenario_distances(days, group, lively), "pairs")
+    assigned = kept(assign(pairs, lively, group), "assigned")
+    raw = assigned.select(*at, F.col("cluster").alias("raw"))
+    severity = raw.join(metrics, at).groupBy(*group, "raw").agg(F.avg("w_non_background").alias("w_non_background"), F.avg("w_high").alias("w_high"), F.min("member").alias("first_member"))
+    numbered = by_severity(severity, group).select(*group, "raw", F.col("rank").cast("int").alias("cluster"))
+    scenarios = kept(raw.join(numbered, [*group, "raw"]).select(*at, "cluster"), "scenarios")
+    labels = scenarios.unionByName(calm.where("calm").select(*at, F.lit(0).alias("cluster")))
+
+    calmest = calm.where("calm").join(metrics, at).groupBy(*group).agg(F.lit(0).alias("cluster"), F.min_by("member", F.struct("null_score", "member")).alias("medoid"))
+    scenario_medoids = medoids(pairs.select(*group, "a", "b", "d"), scenarios, group).select(*group, "cluster", "medoid")
+    evidence = singleton_evidence(single_members(pairs, scenarios, scenario_medoids, metrics, peaks(days, group), group))
+    # A lone scenario has nothing to be compared with.
+    evidence = evidence.where("nearest is not null")
+    criteria = F.struct(*(F.struct(F.col(k).alias("passed"), *(F.round(v, p).alias(v) for v, p in values)).alias(k) for k, values in (("isolated", (("nearest", 4), ("nn_p75", 4))), ("p90_lift", (("p90", 3), ("neighbour_p90", 3))), ("nb_lift", (("w_nb", 4), ("neighbour_w_nb", 4))))))
+    evidence = evidence.select(*group, "cluster", F.struct(F.round(F.col("passed") / 3, 3).alias("score"), (F.col("passed") >= PASSES).alias("passed"), "reasons", criteria.alias("criteria"), "nearest_cluster").alias("_e"), "display", "reason")
+    evidence = kept(evidence, "evidence")
+
+    whole = lambda c: F.when(F.count("*") == F.count(c), F.avg(c)).alias(c)
+    weights = [c for c in metrics.columns if c.startswith("w_")]
+    p = labels.join(metrics, at).groupBy(*group, "cluster").agg(F.array_sort(F.collect_list("member")).alias("members"), F.count("*").alias("n"), *(whole(c) for c in weights))
+    p = p.join(scenario_medoids.unionByName(calmest.select(*group, "cluster", "medoid")), [*group, "cluster"]).join(evidence, [*group, "cluster"], "left")
+    if weather is None:
+        p = p.withColumns({c: F.lit("unknown") for c in ("snow_tendency", "wind_tendency")} | {"pattern": F.lit("variable")})
+    else:
+        told = weather_profile(weather.join(labels, at), [*group, "cluster"]).select(*group, "cluster", "snow_tendency", "wind_tendency", "pattern")
+        p = p.join(told, [*group, "cluster"], "left").fillna({"snow_tendency": "unknown", "wind_tendency": "unknown", "pattern": "variable"})
     total = F.sum("n").over(Window.partitionBy(*group))
-    # The null cluster stays the first one; the others follow by severity.
-    order = Window.partitionBy(*group).orderBy(F.col("cluster") != 0, "w_non_background", "w_high", "first_member")
-    p = p.withColumn("id", F.row_number().over(order) - F.when(F.min("cluster").over(Window.partitionBy(*group)) == 0, 1).otherwise(0))
+    scenario = F.col("cluster") > 0
     risk = risk_class(F.col("w_non_background"), F.col("w_high"), F.col("w_extreme"))
-    one = F.struct("id", F.when(F.col("cluster") == 0, "null").otherwise("scenario").alias("kind"), "members", F.round(F.col("n") / total, 3).alias("fraction"), risk.alias("risk"))
-    p = p.withColumn("doc", one)
-    return p.groupBy(*group).agg(F.to_json(F.struct(F.lit("1.0").alias("schema_version"), F.array_sort(F.collect_list("doc")).alias("clusters"), F.sum("n").alias("n_members"))).alias("json"))
+    untried = F.array(F.when(scenario, "not_applicable_non_singleton").otherwise("not_applicable_non_scenario"))
+    judged = F.struct(F.coalesce("_e.score", F.lit(1.0)).alias("score"), F.coalesce("_e.passed", F.lit(True)).alias("passed"), F.coalesce("_e.reasons", untried).alias("reasons"), F.col("_e.criteria").alias("criteria"), F.col("_e.nearest_cluster").alias("nearest_cluster"))
+    p = p.withColumn("fraction", F.round(F.col("n") / total, 3)).withColumn("risk", risk)
+    one = F.struct(
+        F.col("cluster").alias("id"),
+        F.when(scenario, "scenario").otherwise("null").alias("kind"),
+        "members",
+        "medoid",
+        "fraction",
+        F.struct(F.col("risk.category").alias("dominant_category"), F.col("risk.risk").alias("risk_level"), *(F.round(w, 3).alias(w) for w in weights)).alias("ozone"),
+        F.struct("snow_tendency", "wind_tendency", "pattern").alias("weather"),
+        judged.alias("evidence"),
+        F.struct(F.coalesce("display", F.lit("primary")).alias("status"), F.col("reason").alias("warning_code")).alias("display"),
+    )
+    clusters = p.withColumn("doc", one).groupBy(*group).agg(
+        F.array_sort(F.collect_list("doc")).alias("clusters"),
+        F.transform(F.array_sort(F.collect_list(F.struct("cluster", "medoid"))), lambda x: x["medoid"]).alias("representative_members"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cluster", F.format_string("%s → %s ozone (Cluster %d)", "pattern", "risk.category", "cluster").alias("t")))), lambda x: x["t"]), ". ").alias("_linkage"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cluster", F.format_string("%d%% %s risk", F.round(100 * F.col("fraction")).cast("int"), "risk.risk").alias("t")))), lambda x: x["t"]), ", ").alias("_spread"),
+        F.count("*").alias("n_clusters"),
+        F.sum("n").alias("n_members"),
+        F.sum(F.when(F.col("cluster") == 0, F.col("n")).otherwise(0)).alias("strict_null_members"),
+        F.count_if(F.col("display") == "deemphasized").alias("weak_singleton_clusters"),
+    )
+    chosen = assigned.groupBy(*group).agg(F.max("k").alias("selected_k"), F.bool_or("fallback_used").alias("fallback_used"), F.bool_or("min_size_guard_relaxed").alias("min_size_guard_relaxed"), F.map_from_entries(F.array_sort(F.first("scores"))).alias("silhouette_scores"))
+    window = active_days(days, group).groupBy(*group).agg(F.count_if("active").alias("active_days"), F.count("*").alias("total_days"))
+    distances = pairs.groupBy(*group).agg(F.struct(*(_quantile_document(c).alias(n) for c, n in (("possibility", "possibility"), ("percentile", "percentile"), ("d", "combined")))).alias("distance_diagnostics"))
+    near = nearest_neighbours(pairs.select(*group, "a", "b", "d"), group)
+    top = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("nearest")).alias("o"), "member"))), 1, 5), lambda x: F.struct(x["member"].alias("member"), F.round(-x["o"], 4).alias("nearest_distance")))
+    near = near.groupBy(*group).agg(F.struct(*(F.round(F.percentile("nearest", q), 4).alias(n) for n, q in (("median", 0.5), ("p75", 0.75), ("max", 1.0))), top.alias("top_members")).alias("nearest_neighbor"))
+    assignment = labels.groupBy(*group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("member").cast("string"), "cluster")))).alias("member_assignment"))
+    out = clusters
+    for part in (chosen, window, distances, near, assignment, dropped):
+        out = out.join(part, group, "left")
+    out = out.fillna({"selected_k": 0, "fallback_used": False, "min_size_guard_relaxed": False})
+    flags = F.struct(
+        "strict_null_members",
+        (F.col("n_members") - F.col("strict_null_members")).alias("non_null_members"),
+        (F.col("n_members") == F.col("strict_null_members")).alias("strict_all_background"),
+        F.col("active_days").alias("active_window_days"),
+        "min_size_guard_relaxed",
+        "weak_singleton_clusters",
+        F.col("missing_percentiles").alias("dropped_members_missing_percentiles"),
+        F.col("missing_possibilities").alias("dropped_members_missing_possibilities"),
+    )
+    first = F.struct(F.lit("strict_background_only").alias("name"), F.lit("ignore_missing_days").alias("missing_data_policy"), F.lit(TOLERANCE).alias("tolerance"), F.struct("active_days", "total_days").alias("active_window"))
+    second = F.struct(
+        F.lit("agglomerative_average_precomputed_distance").alias("name"),
+        F.lit(max(K_TRIED)).alias("k_max"),
+        "selected_k",
+        "silhouette_scores",
+        "min_size_guard_relaxed",
+        "fallback_used",
+        F.struct(F.lit(POSSIBILITY_SHARE).alias("possibility"), F.lit(PERCENTILE_SHARE).alias("percentile")).alias("distance_weights"),
+        "distance_diagnostics",
+        "nearest_neighbor",
+        F.struct(F.lit(PASSES).alias("min_pass_criteria"), F.lit(P90_LIFT).alias("p90_lift_ppb"), F.lit(NON_BACKGROUND_LIFT).alias("weighted_non_background_lift")).alias("singleton_evidence_thresholds"),
+    )
+    blocks = F.struct(F.array(*(F.lit(b) for b, *_ in BLOCKS)).alias("names"), F.array(*(F.lit(w) for *_, w in BLOCKS)).alias("weights"))
+    document = F.struct(
+        F.lit("1.3").alias("schema_version"),
+        F.struct(first.alias("stage_1"), second.alias("stage_2"), blocks.alias("time_blocks")).alias("method"),
+        "n_members",
+        "n_clusters",
+        "clusters",
+        "representative_members",
+        "member_assignment",
+        F.concat("_linkage", F.lit(".")).alias("linkage_note"),
+        F.concat(F.col("n_clusters").cast("string"), F.lit(" clusters; "), F.col("_spread")).alias("spread_summary"),
+        flags.alias("quality_flags"),
+    )
+    return out.select(*group, F.to_json(document, {"ignoreNullFields": "false"}).alias("json"))

@@ -26,6 +26,12 @@ def percentiles(df: DataFrame, keys: list[str], value: str, levels: tuple[int, .
     return q.select(*keys, *(F.get("_q", F.lit(i)).alias(f"p{p}") for i, p in enumerate(levels)), "mean", "n")
 
 
+def boxes(df: DataFrame, keys: list[str], value: str, levels: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+    """What a box plot shows of each key: quantiles of the members that have a value, and how many; with other levels, a fan."""
+    q = df.groupBy(*keys).agg(F.percentile(value, list(levels)).alias("_q"), F.count(value).alias("n"))
+    return q.select(*keys, "n", *(F.get("_q", F.lit(i)).alias(f"q{round(100 * x)}") for i, x in enumerate(levels)))
+
+
 def union_envelope(df: DataFrame, keys: list[str], low: str = "p10", mid: str = "p50", high: str = "p90") -> DataFrame:
     """The widest band of all members, and the middle of their middles."""
     return df.groupBy(*keys).agg(F.min(low).alias("low"), F.percentile(mid, 0.5).alias("mid"), F.max(high).alias("high"))

@@ -73,3 +73,64 @@ def observation_json(rows: DataFrame, json: str = "json") -> DataFrame:
     each = station.select(F.col("s.STID").alias("stid"), F.explode(F.arrays_zip("s.OBSERVATIONS.date_time", "s.OBSERVATIONS.value")).alias("o"))
     out = each.select("stid", F.try_to_timestamp(F.col("o.date_time")).alias("ts"), F.expr("try_cast(o.value as double)").alias("value"))
     return out.where("ts is not null and value is not null")
+
+
+#: Units of the weather variables; fixed values.
+WEATHER = {"snow": "mm", "mslp": "hPa", "wind": "m/s", "solar": "W/m²", "temp": "°C"}
+
+
+def _units() -> Column:
+    return F.create_map(*(F.lit(x) for pair in WEATHER.items() for x in pair))
+
+
+def weather_members(series: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """(keys, json): the whole-resolution weather of each member; a variable that the table lacks is an empty series."""
+    named = [v for v in WEATHER if v in series.columns]
+    absent = [x for v in WEATHER if v not in named for x in (F.lit(v), F.array().cast("array<double>"))]
+    values = F.create_map(*(x for v in named for x in (F.lit(v), _series(ts, round_value(nan_to_null(F.col(v).cast("double")), v).cast("double")))), *absent)
+    times = F.array_sort(F.collect_list(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    doc = series.groupBy(*keys).agg(F.lit("weather").alias("product_type"), F.count("*").alias("num_timesteps"), times.alias("forecast_dates"), values.alias("values"))
+    return as_json(doc.withColumn("units", _units()), keys)
+
+
+def weather_percentiles(series: DataFrame, keys: list[str], ts: str, member: str = "member", levels: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
+    """(keys, json): percentiles across members of each variable at each time, missing values skipped."""
+    named = [v for v in WEATHER if v in series.columns]
+    at = series.groupBy(*keys, ts).agg(*(F.percentile(nan_to_null(F.col(v).cast("double")), [p / 100 for p in levels]).alias(v) for v in named))
+    per_time = {f"{v}_p{p}": _series(ts, round_value(F.get(F.col(v), F.lit(i)), v).cast("double")) for v in named for i, p in enumerate(levels)}
+    values = F.create_map(*(x for n, c in per_time.items() for x in (F.lit(n), c)))
+    doc = at.groupBy(*keys).agg(F.lit("weather_percentiles").alias("product_type"), F.count("*").alias("num_timesteps"), F.array_sort(F.collect_list(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))).alias("forecast_dates"), values.alias("values"))
+    n = series.groupBy(*keys).agg(F.count_distinct(member).alias("num_members"))
+    return as_json(doc.join(n, keys).withColumn("units", _units()), keys)
+
+
+def weather_payload(rows: DataFrame, keys: list[str], json: str = "json") -> DataFrame:
+    """(keys, snow, wind): the two series that clusters are described by; empty where a document has none."""
+    doc = F.from_json(json, "values struct<snow: array<double>, wind: array<double>>")["values"]
+    none = F.array().cast("array<double>")
+    return rows.select(*keys, *(F.coalesce(doc[v], none).alias(v) for v in ("snow", "wind")))
+
+
+def all_products(days: DataFrame, group: list[str], exceedances: DataFrame, clusters: DataFrame, series: DataFrame | None = None) -> DataFrame:
+    """(group, product, member, json): everything that a run gives out.
+
+    ``days``: group, member, local_date and daily values; ``exceedances``: group,
+    local_date and probabilities; ``clusters``: group, json; ``series``: weather by
+    valid_time, if it is to go out too. Documents of a run have no member.
+    """
+    at = [*group, "member"]
+    heatmaps = as_json(product(days.select(*at, "local_date", *CATEGORIES), at, "local_date", dict.fromkeys(CATEGORIES, "possibility"), "possibility_heatmap"), at)
+    named = days.select(*at, "local_date", *(F.col(f"ozone_{p}pc").alias(f"p{p}") for p in (10, 50, 90)))
+    scenarios = as_json(product(named, at, "local_date", {f"p{p}": "ozone" for p in (10, 50, 90)}, "percentile_scenarios"), at)
+    thresholds = tuple(int(c[2:-3]) for c in exceedances.columns if c.startswith("p_"))
+    above = as_json(exceedance_document(exceedances, group, "local_date", thresholds), group)
+    found = [(heatmaps, "possibility_heatmap"), (scenarios, "percentile_scenarios"), (above, "exceedance_probabilities"), (clusters, "clustering_summary")]
+    if series is not None:
+        found += [(weather_members(series, at, "valid_time"), "weather_members"), (weather_percentiles(series, group, "valid_time"), "weather_percentiles")]
+    kind = days.schema["member"].dataType
+    out = None
+    for df, name in found:
+        member = F.col("member") if "member" in df.columns else F.lit(None)
+        rows = df.select(*group, F.lit(name).alias("product"), member.cast(kind).alias("member"), "json")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forelight.functions.quantile import hazen
+from forelight.functions.quantile import hazen_by_ranks
 from forelight.functions.scalars import shift_longitude
 
 #: The basin's box (south, north, west, east) and how high low terrain reaches; fixed values.
@@ -32,7 +32,7 @@ def masked(df: DataFrame, cells: DataFrame, on: list[str], threshold: float = TE
 
 def spatial_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
     """Hazen quantile over the cells of each key; masked cells are absent and missing ones skipped."""
-    return df.groupBy(*keys).agg(hazen(value, q).alias("value"), F.count(value).alias("n_cells"))
+    return hazen_by_ranks(df, keys, value, q).withColumnRenamed("n", "n_cells")
 
 
 def nearest_cell(df: DataFrame, points: DataFrame) -> DataFrame:

@@ -17,13 +17,8 @@ CATEGORIES = products.CATEGORIES
 VALUES = ["ozone_10pc", "ozone_50pc", "ozone_90pc", *CATEGORIES]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Short rows over all cores: the events are one small file, hence one task, and inference is all work and no data."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SYSTEM.infer(spread(views.forcing(spark, sf_dir)))
+    return SYSTEM.infer(views.forcing(spark, sf_dir))
 
 
 def daily_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,12 +71,14 @@ def local_daily_max(spark, sf_dir):
     return rounded(daily_values(spark, sf_dir))
 
 
-@query(f"""WITH {sql.FORCING}, d AS (SELECT member, {sql.local_date()} AS local_date, max(snow) AS snow FROM forcing WHERE event_id % 3 = 0 GROUP BY ALL),
+@query(f"""WITH {sql.FORCING}, d AS (SELECT member, {sql.local_date()} AS local_date, max(CASE WHEN (member + day(valid_time)) % 5 <> 0 THEN snow END) AS snow FROM forcing GROUP BY ALL HAVING max(CASE WHEN (member + day(valid_time)) % 5 <> 0 THEN snow END) IS NOT NULL),
 s AS (SELECT member, CAST(unnest(generate_series(min(local_date), max(local_date), INTERVAL 1 DAY)) AS DATE) AS local_date FROM d GROUP BY member)
 SELECT member, local_date, round(snow, 6) + 0.0 AS snow FROM s LEFT JOIN d USING (member, local_date)""", days=("local_date",))
 def local_daily_max_spine(spark, sf_dir):
-    f = views.forcing(spark, sf_dir).where("event_id % 3 = 0")
-    return rounded(daily.with_spine(daily.local_daily_max(f, ["member"], ["snow"]), ["member"]))
+    # Every fifth day of a member has no value and so no row, until the spine gives it one.
+    gap = (F.col("member") + F.dayofmonth("valid_time")) % 5 == 0
+    f = views.forcing(spark, sf_dir).withColumn("snow", F.when(~gap, F.col("snow")))
+    return rounded(daily.with_spine(daily.local_daily_max(f, ["member"], ["snow"]).where("snow is not null"), ["member"]))
 
 
 _P = ", ".join(f"avg(CASE WHEN ozone_50pc IS NULL THEN NULL WHEN ozone_50pc > {t} THEN 1.0::DOUBLE ELSE 0 END) AS p_{t}ppb" for t in ensemble.THRESHOLDS)
@@ -186,13 +183,13 @@ def pressure_field_stats(spark, sf_dir):
 
 # Joins in time
 
-_TARGETS = "targets AS (SELECT user_id % 31 AS member, ts AS valid_time FROM events WHERE event_id % 11 = 0 GROUP BY ALL)"
+_TARGETS = "targets AS (SELECT user_id % 31 AS member, ts AS valid_time FROM events GROUP BY ALL)"
 _SPARSE = f"{sql.BINNED}, sparse AS (SELECT member, valid_time, CASE WHEN extract('hour' FROM valid_time) IN (6, 9) THEN NULL ELSE value END AS value FROM binned WHERE extract('hour' FROM valid_time) <> 0)"
 
 
 def _asof(spark, sf_dir):
     e = views.read(spark, sf_dir, "events")
-    targets = e.where("event_id % 11 = 0").select((F.col("user_id") % 31).cast("int").alias("member"), F.col("ts").alias("valid_time")).distinct()
+    targets = e.select((F.col("user_id") % 31).cast("int").alias("member"), F.col("ts").alias("valid_time")).distinct()
     hour = F.hour("valid_time")
     sparse = views.binned(spark, sf_dir).where(hour != 0).select("member", "valid_time", F.when(~hour.isin(6, 9), F.col("value")).alias("value"))
     return targets, sparse
@@ -230,13 +227,13 @@ def asof_nonnull(spark, sf_dir):
 _INIT = "TIMESTAMP '2024-01-01'"
 
 
-@query(f"""WITH {sql.FORCING}, e AS (SELECT member, {sql.local_hour()} AS h, solar FROM forcing WHERE date_diff('hour', {_INIT}, valid_time) BETWEEN 0 AND 240 AND member % 2 = 0 AND {sql.local_hour()} % 3 <> 1),
-h AS (SELECT member, h, median(solar) AS m FROM e GROUP BY ALL), w AS (SELECT DISTINCT member, w FROM forcing, range(24) r(w) WHERE member % 2 = 0),
+@query(f"""WITH {sql.FORCING}, e AS (SELECT member, {sql.local_hour()} AS h, solar FROM forcing WHERE date_diff('hour', {_INIT}, valid_time) BETWEEN 0 AND 240 AND {sql.local_hour()} % 3 <> 1),
+h AS (SELECT member, h, median(solar) AS m FROM e GROUP BY ALL), w AS (SELECT DISTINCT member, w FROM forcing, range(24) r(w)),
 t AS (SELECT member, w, m FROM (SELECT w.member, w.w, h.m, row_number() OVER (PARTITION BY w.member, w.w ORDER BY least(abs(w.w - h.h), 24 - abs(w.w - h.h)), h.h) AS rn FROM w JOIN h USING (member)) WHERE rn = 1),
-l AS (SELECT DISTINCT member, CAST(f AS INTEGER) AS fxx, {_INIT} + to_hours(CAST(f AS INTEGER)) AS valid_time FROM forcing, range(243, 385, 3) r(f) WHERE member % 2 = 0)
+l AS (SELECT DISTINCT member, CAST(f AS INTEGER) AS fxx, {_INIT} + to_hours(CAST(f AS INTEGER)) AS valid_time FROM forcing, range(243, 385, 3) r(f))
 SELECT l.member, fxx, valid_time, round(coalesce(m, 0), 6) + 0.0 AS value FROM l LEFT JOIN t ON t.member = l.member AND t.w = {sql.local_hour()}""")
 def solar_persistence(spark, sf_dir):
-    s = views.forcing(spark, sf_dir).where("member % 2 = 0").select("member", "valid_time", F.col("solar").alias("value"))
+    s = views.forcing(spark, sf_dir).select("member", "valid_time", F.col("solar").alias("value"))
     init = F.lit("2024-01-01").cast("timestamp_ntz")
     # Every third local hour is left without samples, so that neighbours step in; the series keeps its members.
     gaps = s.withColumn("value", F.when(times.local_hour("valid_time") % 3 != 1, F.col("value")))
@@ -263,7 +260,7 @@ def lead_hours(spark, sf_dir):
 
 
 @query(f"""WITH {sql.DAILY}, g AS (SELECT member, local_date, {', '.join(f'CASE WHEN member % 4 = 0 AND day(local_date) = 5 THEN NULL ELSE {c} END AS {c}' for c in CATEGORIES)} FROM daily), u AS (FROM g UNPIVOT INCLUDE NULLS (v FOR variable IN ({', '.join(CATEGORIES)})))
-SELECT member, variable, CAST(local_date AS VARCHAR) AS date, round(v, 3) + 0.0 AS value FROM u""")
+SELECT member, variable, CAST(local_date AS VARCHAR) AS date, {sql.places("v", 2)} + 0.0 AS value FROM u""")
 def product_json_roundtrip(spark, sf_dir):
     d = daily_values(spark, sf_dir)
     gap = (F.col("member") % 4 == 0) & (F.dayofmonth("local_date") == 5)
@@ -293,12 +290,12 @@ def chunk_medians(spark, sf_dir):
 @query(f"""WITH {sql.FORCING}, {sql.TERMS}, {sql.POSSIBLE}, {sql.PERCENTILES} SELECT event_id, first_10, first_90 FROM possible
 LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_10 FROM shares WHERE round(f, 9) >= 0.1::DOUBLE GROUP BY 1) USING (event_id) LEFT JOIN (SELECT event_id, arg_min(x, i) AS first_90 FROM shares WHERE round(f, 9) >= 0.9::DOUBLE GROUP BY 1) USING (event_id)""")
 def fuzzy_first_points(spark, sf_dir):
-    p = SYSTEM.possibilities(spread(views.forcing(spark, sf_dir)))
+    p = SYSTEM.possibilities(views.forcing(spark, sf_dir))
     return SYSTEM.first_points(p, {"first_10": 0.1, "first_90": 0.9}).select("event_id", "first_10", "first_90")
 
 
 @query(f"""WITH {sql.DAILY}, e AS (SELECT member % 3 AS c, local_date, {_P} FROM daily GROUP BY ALL), u AS (FROM e UNPIVOT (p FOR n IN ({', '.join(_NAMES)})))
-SELECT c, CAST(regexp_extract(n, '[0-9]+') AS INTEGER) AS threshold, CAST(row_number() OVER (PARTITION BY c, n ORDER BY local_date) - 1 AS INTEGER) AS day, round(p, 3) + 0.0 AS p FROM u""")
+SELECT c, CAST(regexp_extract(n, '[0-9]+') AS INTEGER) AS threshold, CAST(row_number() OVER (PARTITION BY c, n ORDER BY local_date) - 1 AS INTEGER) AS day, {sql.places("p", 2)} + 0.0 AS p FROM u""")
 def exceedance_json_roundtrip(spark, sf_dir):
     e = ensemble.exceedance(daily_values(spark, sf_dir).withColumn("c", F.col("member") % 3), ["c", "local_date"], "ozone_50pc")
     documents = products.exceedance_document(e, ["c"], "local_date", ensemble.THRESHOLDS)

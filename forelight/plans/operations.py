@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from forelight.functions import scalars, text, times
 from forelight.operators import ledger
+from forelight.plans import sql
 from forelight.plans.base import registry, rounded
 from forelight.sources import views
 from forelight.streaming import daily as streaming
@@ -44,9 +45,9 @@ def resume_anti_join(spark, sf_dir):
     return ledger.pending(o.select(F.col("o_orderkey").alias("init")), done, limit=500)
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS init, o_orderstatus AS status, '' AS attempts, '' AS note FROM orders WHERE o_orderkey % 50 = 0")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS init, o_orderstatus AS status, '' AS attempts, '' AS note FROM orders")
 def ledger_upgrade(spark, sf_dir):
-    old = views.read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("init"), F.col("o_orderstatus").alias("status"))
+    old = views.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("init"), F.col("o_orderstatus").alias("status"))
     return ledger.upgraded(old).select("init", "status", "attempts", "note")
 
 
@@ -105,13 +106,13 @@ def cache_totals(spark, sf_dir):
     return ledger.totals(d, ["source"])
 
 
-@query("SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0")
+@query("SELECT user_id, event_type FROM events UNION SELECT user_id % 7 AS user_id, event_type FROM events")
 def deduplicated_union(spark, sf_dir):
-    e = views.read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return ledger.deduplicated(e.where("event_id % 2 = 0").drop("event_id"), e.where("event_id % 3 = 0").drop("event_id"), ["user_id", "event_type"])
+    e = views.read(spark, sf_dir, "events").select("user_id", "event_type")
+    return ledger.deduplicated(e, e.withColumn("user_id", F.col("user_id") % 7), ["user_id", "event_type"])
 
 
-@query("""SELECT event_id, lpad(CAST(user_id % 31 AS VARCHAR), 3, '0') AS member, round(value / 50, 3) + 0.0 AS poss, CAST(round(value) AS BIGINT) AS whole FROM events""")
+@query(f"""SELECT event_id, lpad(CAST(user_id % 31 AS VARCHAR), 3, '0') AS member, {sql.places('value / 50', 2)} + 0.0 AS poss, CAST({sql.places('value', 0)} AS BIGINT) AS whole FROM events""")
 def names_and_rounding(spark, sf_dir):
     e = views.read(spark, sf_dir, "events")
     raw = F.concat(F.when(F.col("user_id") % 31 == 0, "c").otherwise("p"), (F.col("user_id") % 31).cast("string"))

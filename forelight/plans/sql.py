@@ -21,9 +21,17 @@ def local_hour(ts: str = "valid_time") -> str:
 BIN = "time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01')"
 BINNED = f"binned AS (SELECT user_id % 31 AS member, {BIN} AS valid_time, avg(least(250.0::DOUBLE, value * 3)) AS value, avg(CAST(((event_id * 37) % 161) * 5 AS DOUBLE)) AS solar FROM events GROUP BY ALL)"
 
+SERIES = f"""series AS (SELECT CAST((CAST(valid_time AS DATE) - DATE '2023-12-31') // 15 AS INTEGER) AS init, member, {BIN.replace("ts,", "valid_time,")} AS valid_time,
+  max(snow * 1.0371::DOUBLE) AS snow, max(mslp * 1.00013::DOUBLE) AS mslp, max(wind * 1.0171::DOUBLE) AS wind, max(solar * 1.0117::DOUBLE) AS solar FROM forcing GROUP BY ALL)"""
+
 GRID = "grid AS (SELECT date_trunc('month', l_shipdate) AS time, 39 + (l_suppkey % 25) * 0.1::DOUBLE AS lat, 248 + (l_partkey % 40) * 0.1::DOUBLE AS lon, l_extendedprice AS value, l_partkey FROM lineitem)"
 CELLS = "cells AS (SELECT p_partkey AS l_partkey, p_size * 60.0::DOUBLE AS elev_m FROM part)"
-STATIONS = "stations AS (SELECT concat('S', s_suppkey - 1) AS stid, 1200 + 20.0::DOUBLE * s_suppkey AS elev_m FROM supplier WHERE s_suppkey BETWEEN 1 AND 9)"
+STATIONS = "stations AS (SELECT concat('S', (s_suppkey - 1) % 9) AS stid, 1200 + 20.0::DOUBLE * min(s_suppkey) AS elev_m FROM supplier GROUP BY 1)"
+
+
+def places(x: str, n: int) -> str:
+    """Rounding of product values, by decimals, as engines differ in what they make of halves."""
+    return f"CAST(round(CAST(round({x}, 9) AS DECIMAL(18, 9)), {n}) AS DOUBLE)"
 
 
 def rise(x: str, a: float, b: float) -> str:

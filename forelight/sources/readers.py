@@ -68,6 +68,29 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def legacy(spark: SparkSession, *paths: str) -> DataFrame:
+    """The files of older layouts that are there, whichever columns each has; an error if none is."""
+    found = [p for p in paths if exists(spark, p)]
+    if not found:
+        raise FileNotFoundError(", ".join(paths))
+    out = parquet(spark, found[0])
+    for p in found[1:]:
+        out = out.unionByName(parquet(spark, p), allowMissingColumns=True)
+    return out
+
+
+def read_or_build(spark: SparkSession, path: str, build) -> DataFrame:
+    """A table that is built once: ``build()`` is written to the path if nothing is there, and read from then on."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return parquet(spark, path)
+
+
 def with_expected(df: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
     """A row for each expected key, null where nothing came: what is late or failed stays visible."""
     return expected.join(df, keys, "left")

@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def folder(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share, as spark.checkpoint.dir names it; on a single machine a temporary one will do."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='forelight-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/forelight/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str = "kept") -> DataFrame:
+    """df written and read again: for short tables that many later steps read, whose plans would else hold it as often."""
+    path = folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     """Parquet by partition columns; partitions written before are replaced, others stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

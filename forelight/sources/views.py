@@ -57,11 +57,22 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine stations with elevations in metres."""
-    s = read(spark, sf_dir, "supplier").where("s_suppkey between 1 and 9")
-    return s.select(F.concat(F.lit("S"), (F.col("s_suppkey") - 1).cast("string")).alias("stid"), (1200 + 20.0 * F.col("s_suppkey")).alias("elev_m"))
+    """Nine stations with elevations in metres, each at the height of its first supplier."""
+    s = read(spark, sf_dir, "supplier")
+    return s.groupBy(F.concat(F.lit("S"), ((F.col("s_suppkey") - 1) % 9).cast("string")).alias("stid")).agg((1200 + 20.0 * F.min("s_suppkey")).alias("elev_m"))
 
 
-def vectors(spark: SparkSession, sf_dir: str, n: int = 31) -> DataFrame:
-    """The first ensemble's feature vectors: one per member."""
-    return read(spark, sf_dir, "embeddings").where(F.col("vec_id") < n).select(F.col("vec_id").alias("member"), F.col("embedding").cast("array<double>").alias("x"), "label")
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors, one per member, in ensembles (init) of 31."""
+    e = read(spark, sf_dir, "embeddings")
+    return e.select((F.col("vec_id") / 31).cast("int").alias("init"), F.col("vec_id").alias("member"), F.col("embedding").cast("array<double>").alias("x"), "label")
+
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-hourly weather of each member, by runs (init) of fifteen days; values have odd last places, so that none is half a step."""
+    from forelight.functions.times import floor_hours
+
+    f = forcing(spark, sf_dir)
+    init = F.floor(F.date_diff(F.to_date("valid_time"), F.lit("2023-12-31").cast("date")) / 15).cast("int")
+    odd = {"snow": 1.0371, "mslp": 1.00013, "wind": 1.0171, "solar": 1.0117}
+    return f.groupBy(init.alias("init"), "member", floor_hours(F.col("valid_time"), 3).alias("valid_time")).agg(*(F.max(F.col(v) * k).alias(v) for v, k in odd.items()))

@@ -1,36 +1,36 @@
 """Daily maxima of a growing folder of event files.
 
-The reference time is the event's, late rows are taken for two days, and the
-checkpoint remembers which files were read, as a ledger would.
+The reference time is the event's local wall-clock time. Rows are taken until
+they are so late that the watermark has passed their day; a day that it has
+passed leaves the state. The checkpoint remembers which files were read, as a ledger would.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.functions.times import ZONE
-
-
-def folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='forelight-')}"
-    return f"{root.rstrip('/')}/forelight/stream-{uuid.uuid4().hex}"
+from forelight.sources.sinks import folder
 
 
 def windowed(events: DataFrame, zone: str = ZONE, late: str = "2 days") -> DataFrame:
     """Largest value, and rows, per member and local day of a stream or a table of events."""
-    utc = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
-    # The window is of local days: local wall-clock time as an instant of its own.
-    local = utc.withColumn("local_date", F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("ts"))))
-    return local.groupBy((F.col("user_id") % 31).alias("member"), "local_date").agg(F.max("value").alias("value"), F.count("*").alias("n"))
+    # Days are windows of the column that has the watermark, or Spark would keep them for ever.
+    # Local wall-clock time is an instant here, as if clocks stood at UTC, whatever the session's zone.
+    clock = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("ts"))
+    local = events.withColumn("at", F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), clock))).withWatermark("at", late)
+    days = local.groupBy((F.col("user_id") % 31).alias("member"), F.window("at", "1 day").alias("w")).agg(F.max("value").alias("value"), F.count("*").alias("n"))
+    return days.select("member", F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86_400).cast("int")).alias("local_date"), "value", "n")
+
 
+def daily_max(spark: SparkSession, path: str, late: str = "2 days") -> DataFrame:
+    """What :func:`windowed` gives once a stream over the path has read all that is there.
 
-def daily_max(spark: SparkSession, path: str) -> DataFrame:
-    """What :func:`windowed` gives once a stream over the path has read all that is there."""
-    base = folder(spark)
+    Files that are read in another order than their events' need a ``late`` of
+    the time that they span.
+    """
+    base = folder(spark, "stream")
     schema = spark.read.parquet(path).schema
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8)
@@ -42,7 +42,7 @@ def daily_max(spark: SparkSession, path: str) -> DataFrame:
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
 
-    run = windowed(stream).writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").foreachBatch(keep).trigger(availableNow=True).start()
+    run = windowed(stream, late=late).writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").foreachBatch(keep).trigger(availableNow=True).start()
     run.awaitTermination()
     rows = spark.read.parquet(f"{base}/out")
     # An updated day replaces what earlier batches said of it.

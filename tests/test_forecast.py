@@ -187,7 +187,7 @@ def test_product_documents_keep_gaps(spark):
     df = spark.createDataFrame(rows, "member string, day date, a double, b double")
     doc = products.product(df, ["member"], "day", {"a": "possibility", "b": "temp"}, "x")
     back = {(r.variable, r.date): r.value for r in products.from_json(products.as_json(doc, ["member"]), ["member"]).collect()}
-    assert back == {("a", "2024-01-01"): 0.143, ("a", "2024-01-02"): None, ("a", "2024-01-03"): 0.429, ("b", "2024-01-01"): 1.0, ("b", "2024-01-02"): 1.0, ("b", "2024-01-03"): None}
+    assert back == {("a", "2024-01-01"): 0.14, ("a", "2024-01-02"): None, ("a", "2024-01-03"): 0.43, ("b", "2024-01-01"): 1.0, ("b", "2024-01-02"): 1.0, ("b", "2024-01-03"): None}
 
 
 def test_times(spark):
@@ -271,3 +271,144 @@ def test_weak_singletons_are_deemphasized(spark):
     df = spark.createDataFrame([(9.0, 5.0, 70.0, 60.0, 0.5, 0.1), (1.0, 5.0, 61.0, 60.0, 0.5, 0.1)], "nearest double, nn_p75 double, p90 double, neighbour_p90 double, w_nb double, neighbour_w_nb double")
     out = cluster.singleton_evidence(df).collect()
     assert [(r.passed, r.display, r.reason) for r in out] == [(3, "primary", None), (1, "deemphasized", "weak_singleton_evidence")]
+
+
+def numpy_nearest(targets, samples):
+    return [min(samples, key=lambda s: (abs((s - t).total_seconds()), -s.timestamp())) for t in targets]
+
+
+def test_asof_over_buckets_is_brute_force(spark):
+    rng = np.random.default_rng(5)
+    at = lambda n: sorted({ts("2024-01-01T00:00:00") + dt.timedelta(seconds=int(x)) for x in rng.integers(0, 40 * 86_400, n)})
+    samples, targets = at(25), at(300)
+    s = spark.createDataFrame([(1, t, None if i % 4 == 0 else float(i)) for i, t in enumerate(samples)], "k int, t timestamp_ntz, v double")
+    q = spark.createDataFrame([(1, t) for t in targets] + [(2, targets[0])], "k int, t timestamp_ntz")
+    for width in (86_400, 3_600, 10**9):
+        out = asof.nearest(q, s, ["k"], "t", "v", width).orderBy("k", "t").collect()
+        assert [r.sample_time for r in out] == [*numpy_nearest(targets, samples), None]
+
+
+@pytest.mark.parametrize("parts", [1, 7, 1024])
+def test_hazen_by_ranks_is_numpys(spark, parts):
+    from forelight.functions.quantile import hazen_by_ranks
+
+    rng = np.random.default_rng(4)
+    groups = {g: np.round(rng.lognormal(size=g), 1) for g in range(1, 40)} | {50: np.full(9, 3.0)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [(1, None), (60, None)]
+    out = hazen_by_ranks(spark.createDataFrame(rows, "g int, v double"), ["g"], "v", 0.75, parts=parts).collect()
+    got = {r.g: (r.value, r.n) for r in out}
+    assert got.pop(60) == (None, 0) and set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g][0] == pytest.approx(np.quantile(vs, 0.75, method="hazen"), abs=1e-12) and got[g][1] == len(vs)
+
+
+# Whole summaries
+
+
+def document(spark, members, p50=lambda m, d: 40.0, p90=lambda m, d: 50.0, missing=None, without=(), weather=None):
+    import json
+
+    rows = [("r", m, d, *((None,) * 4 if x is None else (float(1 - sum(x)), *map(float, x)))) for m, f in members.items() for d in range(15) for x in [f(d)]]
+    poss = spark.createDataFrame(rows, "init string, member string, day int, background double, moderate double, elevated double, extreme double")
+    pct = spark.createDataFrame([("r", m, d, float(p50(m, d)), float(p90(m, d))) for m in members if m not in without for d in range(15)], "init string, member string, day int, p50 double, p90 double")
+    out = cluster.summary(poss, pct, ["init"], weather, missing).collect()
+    assert len(out) == 1
+    return json.loads(out[0].json)
+
+
+STEADY = lambda a: lambda d: (a, 0, 0)
+
+
+def test_summary_puts_the_calm_first_and_drops_what_is_half(spark):
+    doc = document(spark, {"a": CALM, "b": CALM, "c": STEADY(0.4), "d": STEADY(0.45), "e": lambda d: (0.1, 0.5, 0.2), "f": STEADY(0.3)}, without=("f",))
+    assert doc["clusters"][0]["members"] == ["a", "b"] and doc["clusters"][0]["kind"] == "null"
+    assert {m for m, c in doc["member_assignment"].items() if c == 0} == {"a", "b"}
+    flags = doc["quality_flags"]
+    assert flags["dropped_members_missing_percentiles"] == ["f"] and "f" not in doc["member_assignment"]
+    assert flags["strict_null_members"] == 2 and flags["non_null_members"] == 3 and not flags["strict_all_background"]
+    assert doc["n_members"] == 5 and doc["n_clusters"] == len(doc["clusters"]) == len(doc["representative_members"])
+    assert [c["id"] for c in doc["clusters"]] == list(range(len(doc["clusters"])))
+
+
+def test_summary_counts_active_days_only(spark):
+    late = lambda a: lambda d: (a if d >= 13 else 0, 0, 0)
+    doc = document(spark, {"a": CALM, "b": late(0.4), "c": late(0.5), "d": late(0.2)})
+    assert doc["quality_flags"]["active_window_days"] == 2
+    assert doc["method"]["stage_1"]["active_window"] == {"active_days": 2, "total_days": 15}
+
+
+def test_summary_with_nothing_but_calm(spark):
+    doc = document(spark, {"a": CALM, "b": CALM})
+    assert doc["quality_flags"]["strict_all_background"] and doc["n_clusters"] == 1
+    assert doc["method"]["stage_2"]["selected_k"] == 0 and doc["clusters"][0]["ozone"]["risk_level"] == "low"
+    assert doc["spread_summary"] == "1 clusters; 100% low risk"
+
+
+def test_missing_days_are_not_held_against_a_member(spark):
+    odd = lambda d: (0.9 if d == 0 else 0, 0, 0)
+    doc = document(spark, {"a": odd, "b": odd, "c": odd}, missing=F.col("member").isin("a", "b") & (F.col("day") == 0))
+    assert doc["quality_flags"]["strict_null_members"] == 2
+
+
+def test_a_strong_outlier_stays_a_cluster_of_one(spark):
+    members = {f"m{i}": STEADY(0.30 + 0.01 * i) for i in range(5)} | {"out": lambda d: (0.0, 0.1, 0.9)}
+    doc = document(spark, members, p50=lambda m, d: 90 if m == "out" else 40, p90=lambda m, d: 110 if m == "out" else 50)
+    flags, second = doc["quality_flags"], doc["method"]["stage_2"]
+    assert second["fallback_used"] and flags["min_size_guard_relaxed"]
+    alone = next(c for c in doc["clusters"] if c["members"] == ["out"])
+    assert alone["evidence"]["passed"] and alone["display"] == {"status": "primary", "warning_code": None}
+    assert alone["evidence"]["criteria"]["p90_lift"] == {"passed": True, "p90": 110.0, "neighbour_p90": 50.0}
+    assert flags["weak_singleton_clusters"] == 0 and alone["ozone"]["dominant_category"] == "extreme"
+
+
+def test_a_weak_outlier_is_deemphasized(spark):
+    members = {f"m{i}": lambda d, i=i: (0.3 + 0.002 * i if d < 8 else 0, 0, 0) for i in range(6)} | {"late": lambda d: (0.3 if d >= 7 else 0, 0, 0)}
+    doc = document(spark, members)
+    alone = [c for c in doc["clusters"] if c["members"] == ["late"]]
+    assert alone and alone[0]["display"] == {"status": "deemphasized", "warning_code": "weak_singleton_evidence"}
+    assert doc["quality_flags"]["weak_singleton_clusters"] == 1
+
+
+def numpy_distance(values, weight, members):
+    z = []
+    for f in range(values.shape[1]):
+        for d in range(values.shape[2]):
+            x = values[:, f, d] * weight[d]
+            ok = ~np.isnan(x) & (weight[d] > 0)
+            out = np.full(len(members), np.nan)
+            if ok.any():
+                out[ok] = (x[ok] - x[ok].mean()) / (x[ok].std() + 1e-6)
+            z.append(out)
+    z = np.array(z).T
+    found = {}
+    for i in range(len(members)):
+        for j in range(i + 1, len(members)):
+            both = ~np.isnan(z[i]) & ~np.isnan(z[j])
+            found[members[i], members[j]] = np.sqrt(((z[i] - z[j])[both] ** 2).sum() * z.shape[1] / both.sum()) if both.any() else 0.0
+    return found
+
+
+def test_scenario_distances_against_numpy(spark):
+    rng = np.random.default_rng(8)
+    members = [f"m{i}" for i in range(7)]
+    x = rng.random((7, 3, 15)) * (rng.random(15) > 0.4)
+    pct = rng.random((7, 2, 15)) * 60
+    gone = rng.random((7, 15)) < 0.1
+    rows = [(m, d, *((None,) * 4 if gone[i, d] else (float(1 - x[i, :, d].sum()), *map(float, x[i, :, d]))), *map(float, pct[i, :, d])) for i, m in enumerate(members) for d in range(15)]
+    days = cluster.valid_days(spark.createDataFrame([("r", *r) for r in rows], "init string, member string, day int, background double, moderate double, elevated double, extreme double, p50 double, p90 double"))
+    x[np.broadcast_to(gone[:, None, :], x.shape)] = np.nan
+    pct[np.broadcast_to(gone[:, None, :], pct.shape)] = np.nan
+    active = np.nansum(x, axis=(0, 1)) > 0
+    weight = np.where(active, 1 / np.sqrt(active.sum()), 0)
+    a, b = numpy_distance(x, weight, members), numpy_distance(pct, weight, members)
+    got = {(r.a, r.b): r for r in cluster.scenario_distances(days, ["init"]).collect()}
+    assert set(got) == set(a)
+    for p, r in got.items():
+        assert r.possibility == pytest.approx(a[p]) and r.percentile == pytest.approx(b[p]) and r.d == pytest.approx(0.6 * a[p] + 0.4 * b[p])
+
+
+def test_window_features_drop_members_with_gaps(spark):
+    rows = [("r", m, d, None if m == "b" and d == 6 else float(d), 2.0 * d) for m in "ab" for d in range(15)]
+    df = spark.createDataFrame(rows, "init string, member string, day int, p50 double, p90 double")
+    out = cluster.window_features(df, ["init"], 5, 8).collect()
+    assert [(r.member, r.x) for r in out] == [("a", [5.0, 6.0, 7.0, 10.0, 12.0, 14.0])]
