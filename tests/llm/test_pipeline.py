@@ -4,7 +4,7 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from .conftest import frame, prose  # noqa: E402
+from .conftest import CLASHES, frame, prose  # noqa: E402
 from .test_learned import junk  # noqa: E402
 
 
@@ -62,6 +62,28 @@ def test_run(spark, folder):
     assert 5 not in ids and 100 not in ids and set(range(30)) - {5} <= ids
 
 
+def write(spark, base, rows, items):
+    frame(spark, rows).coalesce(1).write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{base}/benchmark.parquet")
+    return str(base)
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, write(spark, tmp_path, [], [])).count() == 0
+
+
+def test_run_with_clashing_columns_repeated_rows_and_odd_ids(spark, tmp_path):
+    rows = [(i, prose(i, 90)) for i in range(12)] + [(3, prose(3, 90)), (3, prose(60, 80)), (None, prose(61, 80)), (None, None), (50, ""), (51, " \n"), (52, prose(70, 6000))]
+    base = write(spark, tmp_path, rows, [])
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, base)
+        assert out.columns == docs.columns and all(r[c] == 7 for r in out.collect() for c in CLASHES)
+        docs = out
+    ids = sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, base).collect())
+    assert ids == sorted(str(i) for i, _ in rows)
+
+
 def test_near_duplicates_go_within_a_stage(spark):
     words = prose(3, 90).split(" ")
     rows = [(4, " ".join(words)), (2, " ".join(words[:80] + ["altered"] + words[81:])), (9, prose(8, 60)), (11, None), (12, "")]
