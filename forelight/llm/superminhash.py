@@ -42,7 +42,7 @@ BANDS, ROWS = 42, 5
 PLACES = 211
 #: Signatures of sets with similarity 0.8 agree in fewer places than this with a probability of 1e-9.
 LEAST_AGREED = 0.62
-#: Shingles compared in one task; larger candidate components are split into blocks, and pairs of blocks into tasks.
+#: Shingles compared in one task; of larger candidate components only what is not connected quickly is compared with all, in blocks.
 TASK_SHINGLES = 400_000
 
 U = np.uint64
@@ -163,22 +163,75 @@ def _spans(rows: list[np.ndarray], least: int, rest: set[int]) -> Iterator[tuple
         yield head, members
 
 
+def _alike(size: int, least: int):
+    """Pairs (a, b, text_a, text_b) whose sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for low, high in blocks(batch.column(2)):
+                sides = [shingle.sets(*flat(batch.column(k).slice(low, high - low)), size) for k in (2, 3)]
+                for i in range(high - low):
+                    a, b = (h[o[i] : o[i + 1]] for h, o in sides)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    keep[low + i] = 100 * both >= least * (len(a) + len(b) - both)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def _settled(links: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, least: int, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """For large components (nodes: node, component): confirmed pairs of each node and its busiest neighbour, and the nodes of the largest part that these connect."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(nodes.select(F.col("node").alias("a")), "a")
+    busy = both.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("links"))
+    star = both.join(busy, "b").groupBy("a").agg(F.max_by("b", F.struct("links", "b")).alias("b"))
+    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    text = lambda n: docs.select(F.col("doc_id").alias(n), F.col("text").alias(f"text_{n}"))
+    pairs = star.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike(size, least), "a long, b long")
+    pairs = scratch.keep(pairs.distinct(), f"{name}-star")
+    parts = components(pairs, scratch, f"{name}-parts").toDF("node", "part").join(nodes, "node")
+    largest = parts.groupBy("component", "part").count().groupBy("component").agg(F.max_by("part", F.struct("count", "part")).alias("part"))
+    return pairs, scratch.keep(parts.join(largest, ["component", "part"]).select("node"), f"{name}-settled")
+
+
 def _compared(links: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, least: int, scratch: Scratch, name: str) -> DataFrame:
-    """(a, b): confirmed pairs that connect all similar members of each component of the candidate links; sizes has (node, n)."""
+    """(a, b): confirmed pairs that connect all similar members of each component of the candidate links; sizes has (node, n).
+
+    A component goes to one task if it fits. Of a larger one, pairs with busy
+    neighbours are confirmed first; as a rule they connect nearly all of it, and
+    only what they leave over meets all the rest, block by block, so a family of
+    near copies costs no square of its size.
+    """
     candidates = scratch.keep(components(links, scratch, f"{name}-candidates"), f"{name}-nodes")
-    # Each node goes to one task, or, in components too large for one, to a task for every other block.
     sized = candidates.join(sizes, "node")
-    totals = sized.groupBy("component").agg(F.sum("n").alias("total")).withColumn("parts", F.ceil(F.col("total") / TASK_SHINGLES).cast("int"))
+    totals = scratch.keep(sized.groupBy("component").agg(F.sum("n").alias("total")), f"{name}-totals")
     total = totals.select(F.sum("total")).head()[0]
     bins = max(1, -(-(total or 0) * 2 // TASK_SHINGLES))
-    placed = sized.join(totals, "component").withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0))
-    task = F.when(F.col("parts") == 1, F.array(F.struct(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("x"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.col("component").alias("x"), F.least(q, F.col("part")).cast("long").alias("i"), F.greatest(q, F.col("part")).cast("long").alias("j")))
-    )
-    placed = scratch.keep(placed.select("node", "component", F.explode(task).alias("task")).select("node", "component", "task.*"), f"{name}-placed")
+    small = sized.join(totals.where(F.col("total") <= TASK_SHINGLES).select("component"), "component")
+    one = F.lit(-1).cast("long")
+    placed = small.select("node", "component", F.pmod(F.xxhash64("component"), F.lit(bins)).alias("x"), one.alias("i"), one.alias("j"))
+    large = totals.where(F.col("total") > TASK_SHINGLES).select("component")
+    star = None
+    if not large.isEmpty():
+        own = scratch.keep(sized.join(large, "component").select("node", "component", "n"), f"{name}-large")
+        star, settled = _settled(links, own.select("node", "component"), docs, size, least, scratch, name)
+        own = own.join(settled.withColumn("settled", F.lit(True)), "node", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+        count = lambda c: F.ceil(F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) / TASK_SHINGLES).cast("int")
+        own = own.join(own.groupBy("component").agg(count(F.col("settled")).alias("s"), count(~F.col("settled")).alias("l")), "component").where("l > 0")
+        block = F.pmod(F.xxhash64("node"), F.when(F.col("settled"), F.col("s")).otherwise(F.col("l"))).cast("long")
+        # Tasks of a settled block and a block of what is left over, and of two blocks of that.
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        task = lambda i, j: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"))
+        with_rest = F.transform(upto("l"), lambda q: task(F.col("block"), q))
+        with_settled = F.when(F.col("s") > 0, F.transform(upto("s"), lambda q: task(q, F.col("block")))).otherwise(F.array().cast("array<struct<i:bigint,j:bigint>>"))
+        with_own = F.transform(upto("l"), lambda q: task(-2 - F.least(q.cast("long"), F.col("block")), -2 - F.greatest(q.cast("long"), F.col("block"))))
+        own = own.withColumn("block", block).select("node", "component", F.explode(F.when(F.col("settled"), with_rest).otherwise(F.concat(with_settled, with_own))).alias("task"))
+        placed = placed.unionByName(own.select("node", "component", F.col("component").alias("x"), "task.i", "task.j"))
+    placed = scratch.keep(placed, f"{name}-placed")
     texts = docs.join(placed, F.col("doc_id") == F.col("node"))
     confirmed = texts.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
-    return scratch.keep(confirmed, f"{name}-links")
+    confirmed = scratch.keep(confirmed, f"{name}-links")
+    return confirmed if star is None else confirmed.unionByName(star)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
