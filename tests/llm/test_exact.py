@@ -244,8 +244,18 @@ def test_superminhash_splits_large_components(spark, monkeypatch):
     monkeypatch.setattr(superminhash, "TASK_SHINGLES", 150)
     base = prose(3, 60).split(" ")
     rows = [(i, " ".join(base[:20] + [f"w{i}"] + base[21:])) for i in range(12)]
+    # Some are near the family's edge, and near one another only.
+    rows += [(20 + i, " ".join(base[:38] + [f"v{k}" for k in range(12)] + base[50:] + [f"u{i}"])) for i in range(4)]
     out = superminhash.near_duplicates(frame(spark, rows), 2).collect()
-    assert {r.component_id for r in out} == {0}
+    sets = [{tuple(t.split(" ")[i : i + 2]) for i in range(len(t.split(" ")) - 1)} for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert {r.doc_id: r.component_id for r in out} == {rows[k][0]: rows[root[k]][0] for k in range(len(rows))}
+    assert {r.component_id for r in out} == {0, 20}
 
 
 def test_winnowing(spark, corpus):
