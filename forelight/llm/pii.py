@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forelight.llm import weak
-from forelight.llm.common import Scratch, table
+from forelight.llm.common import Scratch, let, table
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 
@@ -50,16 +50,28 @@ CONTEXT = {
 }
 
 
+#: Matches whose places are found at a time: an array that grows by one is copied as often, so long ones grow by parts.
+PART = 64
+_PLACES = "array<struct<start:int,stop:int,hit:string>>"
+
+
 def located(hits: Column, gaps: Column) -> Column:
     """Matches as (start, stop, hit), from the matches and the texts between them."""
     steps = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("hit"), F.char_length(g).alias("gap"), F.char_length(h).alias("len")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,hit:string>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
         return F.struct((begin + x["len"]).alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), (begin + x["len"]).alias("stop"), x["hit"].alias("hit"))).alias("out"))
 
-    return F.when(F.size(hits) > 0, F.aggregate(steps, start, step)["out"]).otherwise(F.array().cast("array<struct<start:int,stop:int,hit:string>>"))
+    def places(steps: Column) -> Column:
+        def add(acc: Column, k: Column) -> Column:
+            part = F.aggregate(F.slice(steps, k * PART + 1, F.lit(PART)), F.struct(acc["at"].alias("at"), F.array().cast(_PLACES).alias("out")), step)
+            return let(part, lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))
+
+        parts = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / PART).cast("int"))
+        return F.flatten(F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_PLACES}>").alias("out")), add)["out"])
+
+    return F.when(F.size(hits) > 0, let(steps, places)).otherwise(F.array().cast(_PLACES))
 
 
 def _digits(text: Column) -> Column:

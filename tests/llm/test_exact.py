@@ -144,7 +144,7 @@ ODD = [
 
 
 def test_personal_data(spark, corpus):
-    rows = corpus + [(200 + i, t) for i, t in enumerate(ODD)] + [(300, "7 " * 3000 + "a" * 20000 + "." * 3000 + "1" * 5000)]
+    rows = corpus + [(200 + i, t) for i, t in enumerate(ODD)] + [(301, "mail a@b.co and 1.2.3.4; " * 700)] + [(300, "7 " * 3000 + "a" * 20000 + "." * 3000 + "1" * 5000)]
     got = pii.personal_data(frame(spark, rows)).select("doc_id", pii.as_text("spans").alias("all"), pii.as_text(pii.F.filter("spans", lambda x: x["base"])).alias("base")).collect()
     want = {i: base_spans(t or "") for i, t in rows}
     assert len(got) == len(rows)
