@@ -5,11 +5,17 @@ of each stretch of LENGTH bytes is that stretch's trigger, so equal stretches
 have equal triggers at equal places. Triggers end phrases: text up to a trigger
 is a phrase of the dictionary, what follows it the parse. Phrases with their
 continuation are dealt to tasks by the trigger's hash, so all places at which a
-stretch occurs meet in one task, whatever their documents. There the dictionary
-is sorted by phrase suffixes and the parse by continuations; a suffix's class in
-the one and a continuation's in the other together give its rank in corpus
-order, and places of equal rank in the first LENGTH bytes hold the same stretch.
-The least doc_id of each rank is the first to have it.
+stretch occurs meet in one task, whatever their documents. There two sparse
+suffix arrays are built with their common-prefix lengths: of the dictionary, whose
+phrases are read backwards from their triggers, so that one sort gives the classes of
+phrase suffixes of every length; and of the parse, whose continuations are read
+forwards. A suffix's class in the one and a continuation's in the other together
+give its rank in the order of the corpus, and places of equal rank in the first
+LENGTH bytes hold the same stretch. The least doc_id of each rank is the first to have it.
+
+This is the method as far as stretches of LENGTH bytes need it: ranks are those
+of one task's triggers and look no further than such a stretch, and no suffix array of the
+whole dictionary or parse is ever put together.
 
 Only LENGTH bytes of context travel with each trigger, so no task holds the
 corpus, a document or a suffix array of it. Equal phrases of a map task travel
@@ -246,8 +252,8 @@ def _rows(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, count: np.ndarray)
     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1), pa.int64()), pa.nulls(n, pa.binary()), *found], names=_SENT)
 
 
-def _classes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of byte rows, and how many leading bytes each shares with the one before it in that order."""
+def _suffix_array(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of suffixes (a row of bytes each), and how many leading bytes each shares with the one before it in that order."""
     n, width = rows.shape
     wide = np.zeros((n, -(-width // 8) * 8), np.uint8)
     wide[:, :width] = rows
@@ -261,6 +267,7 @@ def _classes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _class_at(order: np.ndarray, shared: np.ndarray, depth: int) -> np.ndarray:
+    """Of each suffix the number of its class, in order: suffixes with equal first ``depth`` bytes are one."""
     out = np.empty(len(order), np.int64)
     out[order] = np.cumsum(shared < depth)
     return out
@@ -278,7 +285,7 @@ def repeats(doc: np.ndarray, count: np.ndarray, left: np.ndarray, body: np.ndarr
     phrase[np.arange(LENGTH)[None, :] >= (left + TRIGGER)[:, None]] = 0
     after = np.lib.stride_tricks.sliding_window_view(flat, tail)[stop].copy()
     after[np.arange(tail)[None, :] >= (size - left - TRIGGER)[:, None]] = 0
-    dictionary, continuation = _classes(phrase), _classes(after)
+    dictionary, continuation = _suffix_array(phrase), _suffix_array(after)
     out = np.zeros((n, STEPS), bool)
     for before in range(STEPS):  # bytes of the stretch in front of the trigger
         which = np.flatnonzero((left >= before) & (left - count.astype(np.int64) < before))
