@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forelight.llm import alignment, bpe, fingerprint, lines, pfp, pii, quality, sharding, superminhash, toxicity, winnow
+from forelight.llm import alignment, bpe, fingerprint, licenses, lines, pfp, pii, quality, repair, sharding, superminhash, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -19,10 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": winnow.op8_winnowing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fuzzy_lines": lines.op10_fuzzy_lines,
+    "op11_license_scan": licenses.op11_license_scan,
     "op12_alignment": alignment.op12_alignment,
+    "op13_repair": repair.op13_repair,
 }
 ORACLES: dict[str, str] = {
     "op2_prefix_free_parsing": pfp.OP2_SQL,
     "op6_superminhash": superminhash.OP6_SQL,
     "op8_winnowing": winnow.OP8_SQL,
+    "op11_license_scan": licenses.OP11_SQL,
+    "op13_repair": repair.OP13_SQL,
 }
