@@ -331,8 +331,8 @@ keyed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(C
 summed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
   xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda c: CAST(ord(c) AS BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS d FROM keyed, table8),
 spoilt AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM summed WHERE d <> 0),
-placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body FROM spoilt),
-faults AS (SELECT *, left(role, 1) AS c, CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM placed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body FROM spoilt),
+faults AS (SELECT *, left(role, 1) AS c, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM placed),
 pairs AS (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS step FROM faults),
 sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'blank') AS blank, count(*) FILTER (f = 'duplicate') AS duplicate, count(*) FILTER (f = 'truncated') AS truncated,
   count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM pairs GROUP BY conv_id),
