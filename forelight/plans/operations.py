@@ -10,6 +10,7 @@ from forelight.plans import sql
 from forelight.plans.base import registry, rounded
 from forelight.sources import views
 from forelight.streaming import daily as streaming
+from forelight.streaming import runs
 
 QUERIES, ORACLES, query = registry()
 
@@ -207,3 +208,17 @@ def path_existence(spark, sf_dir):
     k = F.col("p_partkey") % 120
     p = views.read(spark, sf_dir, "part").select(F.format_string("data/s%d/run%d.csv", k, k % 40).alias("path"), F.col("p_partkey").alias("id"))
     return ledger.paths_found(p, s).select("id", "path", "found")
+
+
+# A run's members come up to 25 hours after its start, by what their events hold; the run waits for 24.
+@query("""WITH a AS (SELECT time_bucket(INTERVAL 12 HOUR, ts - to_minutes(15 * CAST(json_extract_string(props, '$.k') AS INTEGER)), TIMESTAMP '1970-01-01') AS init, CAST(user_id % 31 AS INTEGER) AS member, ts AS arrived, value FROM events),
+f AS (SELECT init, member, min(arrived) AS arrived, arg_min(value, {'a': arrived, 'v': value}) AS value FROM a WHERE arrived <= init + INTERVAL 24 HOUR GROUP BY ALL),
+r AS (SELECT init, CAST(count(*) AS INTEGER) AS n_members FROM f GROUP BY init HAVING count(*) = 31 OR init + INTERVAL 24 HOUR < (SELECT max(ts) FROM events))
+SELECT r.init, m.member, f.value, f.arrived, CASE WHEN n_members = 31 THEN 'complete' ELSE 'deadline' END AS status, n_members
+FROM r CROSS JOIN (SELECT CAST(unnest(range(31)) AS INTEGER) AS member) m LEFT JOIN f ON f.init = r.init AND f.member = m.member""")
+def waiting_runs(spark, sf_dir):
+    def arrivals(events):
+        delay = F.make_dt_interval(mins=15 * F.get_json_object("props", "$.k").cast("int"))
+        return events.select(times.floor_hours(F.col("ts") - delay, 12).alias("init"), (F.col("user_id") % 31).cast("int").alias("member"), F.col("ts").alias("arrived"), "value")
+
+    return runs.run(spark, f"{sf_dir}/events.parquet", arrivals, 31)[0]
