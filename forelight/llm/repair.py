@@ -169,21 +169,21 @@ def _block(part: int, seq: int, rows: list[tuple]) -> dict:
 
 def _blocks(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, rows, chars = TaskContext.get().partitionId(), 0, [], 0
-
-        def cut():
-            out = {"conv": rows[0][0], **_block(part, seq, rows)}
-            return pa.RecordBatch.from_pylist([out], schema=schema)
-
+        part, seq, rows, chars, out, held = TaskContext.get().partitionId(), 0, [], 0, [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if rows and (row[0] != rows[0][0] or len(rows) >= BLOCK_ROWS or chars >= BLOCK_CHARS):
-                    yield cut()
-                    seq, rows, chars = seq + 1, [], 0
+                    out.append({"conv": rows[0][0], **_block(part, seq, rows)})
+                    seq, rows, held, chars = seq + 1, [], held + chars, 0
+                    if len(out) >= BLOCK_ROWS or held >= BLOCK_CHARS:
+                        yield pa.RecordBatch.from_pylist(out, schema=schema)
+                        out, held = [], 0
                 rows.append(row)
                 chars += len(row[3])
         if rows:
-            yield cut()
+            out.append({"conv": rows[0][0], **_block(part, seq, rows)})
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
@@ -191,9 +191,11 @@ def _blocks(schema: pa.Schema):
 _CHOICE = "part long, seq long, first int, last int, tail string, gaps long, blank long, duplicate long, truncated long, illegal long, cost long"
 
 
-def _chosen(group: pa.Table) -> pa.Table:
+_CHOICE_SCHEMA = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[c.split()[1]]) for c in _CHOICE.split(", ")])
+
+
+def _chosen(rows: list[dict]) -> Iterator[dict]:
     """For each block of a conversation its first and last state; at the last block the inserts behind it and the conversation's totals."""
-    rows = sorted(group.to_pylist(), key=lambda r: (r["part"], r["seq"]))
     path, cost, tail = joined([(r["costs"], r["ranks"]) for r in rows])
     held = [r for r in rows if r["low"] is not None]
     shared = sum(a["high"] == b["low"] for a, b in zip(held, held[1:], strict=False))
@@ -202,12 +204,23 @@ def _chosen(group: pa.Table) -> pa.Table:
     sums["illegal"] += sum(a["closes"] + b["opens"] not in _LEGAL for a, b in zip(rows, rows[1:], strict=False))
     # What must go is in no layer.
     cost += DELETE * (sums["blank"] + sums["duplicate"])
-    out = []
     for k, r in enumerate(rows):
-        last = k == len(rows) - 1
-        out.append({"part": r["part"], "seq": r["seq"], "first": path[k], "last": path[k + 1], **({"tail": tail, "gaps": gaps, **sums, "cost": cost} if last else {})})
-    kinds = {c: pa.int64() for c in ("part", "seq", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"first": pa.int32(), "last": pa.int32(), "tail": pa.string()}
-    return pa.Table.from_pylist(out, schema=pa.schema([(c.split()[0], kinds[c.split()[0]]) for c in _CHOICE.split(", ")]))
+        yield {"part": r["part"], "seq": r["seq"], "first": path[k], "last": path[k + 1], **({"tail": tail, "gaps": gaps, **sums, "cost": cost} if k == len(rows) - 1 else {})}
+
+
+def _choices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks' choices; a conversation's blocks come one after the other."""
+    rows: list[dict] = []
+    for batch in batches:
+        out: list[dict] = []
+        for row in batch.to_pylist():
+            if rows and row["conv"] != rows[0]["conv"]:
+                out += _chosen(rows)
+                rows = []
+            rows.append(row)
+        yield pa.RecordBatch.from_pylist(out, schema=_CHOICE_SCHEMA)
+    if rows:
+        yield pa.RecordBatch.from_pylist(list(_chosen(rows)), schema=_CHOICE_SCHEMA)
 
 
 def _edited(block: dict) -> tuple[str, list[tuple[str, str]]]:
@@ -253,7 +266,8 @@ def plan(turns: DataFrame, scratch: Scratch) -> DataFrame:
     empty = turns.sparkSession.createDataFrame([], f"conv {kind}, {_BLOCK}")
     blocks = scratch.keep(spread.mapInArrow(_blocks(empty.toArrow().schema), empty.schema), "blocks")
     sums = ["part", "seq", "blank", "duplicate", "truncated", "illegal", "turns", "low", "high", "opens", "closes", "costs", "ranks"]
-    chosen = blocks.select("conv", *sums).groupBy("conv").applyInArrow(lambda g: _chosen(g), _CHOICE)
+    # A few numbers for each block; a conversation's go to one task.
+    chosen = blocks.select("conv", *sums).repartition("conv").sortWithinPartitions("conv", "part", "seq").mapInArrow(_choices, _CHOICE)
     return blocks.select("conv", "part", "seq", "role", "text", "copies", "fault").join(chosen, ["part", "seq"])
 
 
