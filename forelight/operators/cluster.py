@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forelight.operators import tree
 from forelight.sources.sinks import kept
 
 #: Days of the three blocks, their weights, and the strict background's tolerance.
@@ -127,41 +128,12 @@ def medoids(pairs: DataFrame, labels: DataFrame, group: list[str]) -> DataFrame:
 
 def upgma(d: np.ndarray, k: int) -> np.ndarray:
     """Average linkage down to k clusters; labels from 1 in order of first members."""
-    n = len(d)
-    groups = {i: [i] for i in range(n)}
-    dist = {(i, j): float(d[i, j]) for i in range(n) for j in range(i + 1, n)}
-    while len(groups) > max(1, k):
-        i, j = min(dist, key=lambda p: (dist[p], p))
-        a, b = len(groups[i]), len(groups[j])
-        for m in groups:
-            if m not in (i, j):
-                near, far = dist[min(i, m), max(i, m)], dist.pop((min(j, m), max(j, m)))
-                dist[min(i, m), max(i, m)] = (a * near + b * far) / (a + b)
-        groups[i] += groups.pop(j)
-        del dist[i, j]
-    labels = np.zeros(n, int)
-    for label, members in enumerate(sorted(groups.values(), key=min), 1):
-        labels[members] = label
-    return labels
+    return tree.cut(tree.linkage(d, "average"), k)
 
 
 def ward(x: np.ndarray, k: int) -> np.ndarray:
     """Ward linkage of points down to k clusters; labels from 1 in order of first members."""
-    groups = [[i] for i in range(len(x))]
-    while len(groups) > max(1, k):
-        best = None
-        for i in range(len(groups)):
-            for j in range(i + 1, len(groups)):
-                a, b = groups[i], groups[j]
-                gap = x[a].mean(axis=0) - x[b].mean(axis=0)
-                cost = len(a) * len(b) / (len(a) + len(b)) * float(gap @ gap)
-                if best is None or cost < best[0] - 1e-12:
-                    best = cost, i, j
-        groups[best[1]] += groups.pop(best[2])
-    labels = np.zeros(len(x), int)
-    for label, members in enumerate(sorted(groups, key=min), 1):
-        labels[members] = label
-    return labels
+    return tree.cut(tree.linkage(np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), "ward"), k)
 
 
 def silhouette(d: np.ndarray, labels: np.ndarray) -> float:
@@ -179,27 +151,22 @@ def silhouette(d: np.ndarray, labels: np.ndarray) -> float:
     return float(np.mean(out))
 
 
-def scores(d: np.ndarray) -> dict[int, float]:
-    """The silhouette of each count that is tried; none for up to two members."""
-    return {k: silhouette(d, upgma(d, k)) for k in K_TRIED if k <= len(d) - 1} if len(d) > 2 else {}
-
-
 def choose(d: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Labels for the best of the tried counts. Clusters of one are shunned from six members on, unless all counts have one."""
+    """Labels for the best of the tried counts, and how it was found. Clusters of one are shunned from six members on, unless all counts have one.
+
+    ``scores`` has the silhouette of each count, ``passing`` of those without a cluster that is too small.
+    """
     n = len(d)
+    how = {"k": 1, "fallback": False, "relaxed": False, "scores": {}, "passing": {}}
     if n <= 2:
-        return np.ones(n, int), {"k": 1, "fallback": False, "relaxed": False}
+        return np.ones(n, int), how
     least = 2 if n >= 6 else 1
-    tried = {k: upgma(d, k) for k in K_TRIED if k <= n - 1}
+    merges = tree.linkage(d, "average")
+    tried = {k: tree.cut(merges, k) for k in K_TRIED if k <= n - 1}
     score = {k: silhouette(d, labels) for k, labels in tried.items()}
-    fit = [k for k, labels in tried.items() if np.bincount(labels)[1:].min() >= least]
-    if fit:
-        k = max(fit, key=lambda k: (score[k], -k))
-        return tried[k], {"k": k, "fallback": False, "relaxed": False}
-    if score:
-        k = max(score, key=lambda k: (score[k], -k))
-        return tried[k], {"k": k, "fallback": True, "relaxed": True}
-    return np.ones(n, int), {"k": 1, "fallback": True, "relaxed": False}
+    passing = {k: score[k] for k, labels in tried.items() if np.bincount(labels)[1:].min() >= least}
+    k = max(passing or score, key=lambda k: (score[k], -k))
+    return tried[k], how | {"k": k, "fallback": not passing, "relaxed": not passing, "scores": score, "passing": passing}
 
 
 def assign(pairs: DataFrame, members: DataFrame, group: list[str]) -> DataFrame:
@@ -214,14 +181,15 @@ def assign(pairs: DataFrame, members: DataFrame, group: list[str]) -> DataFrame:
         i, j = pdf["a"].map(place), pdf["b"].map(place)
         d[i, j] = d[j, i] = pdf["d"]
         labels, how = choose(d)
-        out = pd.DataFrame({"member": names, "cluster": labels, "k": how["k"], "fallback_used": how["fallback"], "min_size_guard_relaxed": how["relaxed"], "silhouette": silhouette(d, labels)})
-        out["scores"] = [[{"k": str(k), "score": round(v, 4)} for k, v in scores(d).items()]] * len(out)
+        out = pd.DataFrame({"member": names, "cluster": labels, "k": how["k"], "fallback_used": how["fallback"], "min_size_guard_relaxed": how["relaxed"], "silhouette": how["scores"].get(how["k"], -1.0)})
+        for name in ("scores", "passing"):
+            out[name] = [[{"k": str(k), "score": round(v, 4)} for k, v in how[name].items()]] * len(out)
         for g in group:
             out[g] = pdf[g].iloc[0]
         return out[[*group, *(c for c in out.columns if c not in group)]]
 
     kind = members.schema["member"].dataType.simpleString()
-    return rows.groupBy(*group).applyInPandas(run, f"{kinds}, member {kind}, cluster int, k int, fallback_used boolean, min_size_guard_relaxed boolean, silhouette double, scores array<struct<k: string, score: double>>")
+    return rows.groupBy(*group).applyInPandas(run, f"{kinds}, member {kind}, cluster int, k int, fallback_used boolean, min_size_guard_relaxed boolean, silhouette double, scores array<struct<k: string, score: double>>, passing array<struct<k: string, score: double>>")
 
 
 def ward_labels(vectors: DataFrame, group: list[str], k: int = 3) -> DataFrame:
@@ -432,7 +400,7 @@ def summary(possibility: DataFrame, percentile: DataFrame, group: list[str], wea
         F.sum(F.when(F.col("cluster") == 0, F.col("n")).otherwise(0)).alias("strict_null_members"),
         F.count_if(F.col("display") == "deemphasized").alias("weak_singleton_clusters"),
     )
-    chosen = assigned.groupBy(*group).agg(F.max("k").alias("selected_k"), F.bool_or("fallback_used").alias("fallback_used"), F.bool_or("min_size_guard_relaxed").alias("min_size_guard_relaxed"), F.map_from_entries(F.array_sort(F.first("scores"))).alias("silhouette_scores"))
+    chosen = assigned.groupBy(*group).agg(F.max("k").alias("selected_k"), F.bool_or("fallback_used").alias("fallback_used"), F.bool_or("min_size_guard_relaxed").alias("min_size_guard_relaxed"), *(F.map_from_entries(F.array_sort(F.first(c))).alias(n) for c, n in (("scores", "silhouette_scores"), ("passing", "scores_passing_min_size"))))
     window = active_days(days, group).groupBy(*group).agg(F.count_if("active").alias("active_days"), F.count("*").alias("total_days"))
     distances = pairs.groupBy(*group).agg(F.struct(*(_quantile_document(c).alias(n) for c, n in (("possibility", "possibility"), ("percentile", "percentile"), ("d", "combined")))).alias("distance_diagnostics"))
     near = nearest_neighbours(pairs.select(*group, "a", "b", "d"), group)
@@ -444,6 +412,10 @@ def summary(possibility: DataFrame, percentile: DataFrame, group: list[str], wea
         out = out.join(part, group, "left")
     out = out.fillna({"selected_k": 0, "fallback_used": False, "min_size_guard_relaxed": False})
     flags = F.struct(
+        # Background is told by days alone, so nothing falls back and the cluster is as large as it is.
+        F.lit(False).alias("null_fallback_applied"),
+        F.col("strict_null_members").alias("null_selected_by_threshold"),
+        F.col("strict_null_members").alias("null_target_size"),
         "strict_null_members",
         (F.col("n_members") - F.col("strict_null_members")).alias("non_null_members"),
         (F.col("n_members") == F.col("strict_null_members")).alias("strict_all_background"),
@@ -453,22 +425,28 @@ def summary(possibility: DataFrame, percentile: DataFrame, group: list[str], wea
         F.col("missing_percentiles").alias("dropped_members_missing_percentiles"),
         F.col("missing_possibilities").alias("dropped_members_missing_possibilities"),
     )
-    first = F.struct(F.lit("strict_background_only").alias("name"), F.lit("ignore_missing_days").alias("missing_data_policy"), F.lit(TOLERANCE).alias("tolerance"), F.struct("active_days", "total_days").alias("active_window"))
+    strict = F.struct(F.lit(1.0).alias("background_target"), F.lit(0.0).alias("other_target"), F.lit(TOLERANCE).alias("tolerance"))
+    window_told = F.struct(F.lit("ensemble_non_background_days").alias("name"), "active_days", "total_days")
+    first = F.struct(F.lit("strict_background_only").alias("name"), F.lit("ignore_missing_days").alias("missing_data_policy"), strict.alias("strict_all_background"), window_told.alias("active_window"))
     second = F.struct(
         F.lit("agglomerative_average_precomputed_distance").alias("name"),
+        F.lit(1).alias("k_min"),
         F.lit(max(K_TRIED)).alias("k_max"),
         "selected_k",
         "silhouette_scores",
+        "scores_passing_min_size",
         "min_size_guard_relaxed",
         "fallback_used",
         F.struct(F.lit(POSSIBILITY_SHARE).alias("possibility"), F.lit(PERCENTILE_SHARE).alias("percentile")).alias("distance_weights"),
         "distance_diagnostics",
         "nearest_neighbor",
-        F.struct(F.lit(PASSES).alias("min_pass_criteria"), F.lit(P90_LIFT).alias("p90_lift_ppb"), F.lit(NON_BACKGROUND_LIFT).alias("weighted_non_background_lift")).alias("singleton_evidence_thresholds"),
+        F.lit("evidence_gated_lenient").alias("singleton_policy"),
+        F.struct(F.lit(PASSES).alias("min_pass_criteria"), F.lit("nearest_distance >= nearest_neighbor_p75").alias("separation_rule"), F.lit(P90_LIFT).alias("p90_lift_ppb"), F.lit(NON_BACKGROUND_LIFT).alias("weighted_non_background_lift")).alias("singleton_evidence_thresholds"),
     )
     blocks = F.struct(F.array(*(F.lit(b) for b, *_ in BLOCKS)).alias("names"), F.array(*(F.lit(w) for *_, w in BLOCKS)).alias("weights"))
     document = F.struct(
         F.lit("1.3").alias("schema_version"),
+        *(F.col(g).cast("string").alias(g) for g in group),
         F.struct(first.alias("stage_1"), second.alias("stage_2"), blocks.alias("time_blocks")).alias("method"),
         "n_members",
         "n_clusters",

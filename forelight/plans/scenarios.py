@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from forelight.operators import cluster, ledger
+from forelight.operators import cluster, ledger, tree
 from forelight.plans import forecast, sql
 from forelight.plans.base import r, registry, rounded
 from forelight.sources import views
@@ -205,6 +205,16 @@ def silhouette_k(spark, sf_dir):
     return rounded(out.select("init", "k", "fallback_used", "min_size_guard_relaxed", "silhouette").distinct())
 
 
+@query()
+def dendrogram_merges(spark, sf_dir):
+    return rounded(tree.merge_table(_ensembles(spark, sf_dir), ["init"]))
+
+
+@query()
+def dendrogram_leaves(spark, sf_dir):
+    return rounded(tree.leaf_order(_ensembles(spark, sf_dir), ["init"], "average"))
+
+
 @query()
 def ward_clusters(spark, sf_dir):
     return cluster.ward_labels(_ensembles(spark, sf_dir), ["init"], 3)

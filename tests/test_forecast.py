@@ -250,7 +250,7 @@ def test_linkage_and_choice():
     labels, how = cluster.choose(d)
     assert how["fallback"] and how["relaxed"] and np.bincount(labels)[1:].min() == 1
     labels, how = cluster.choose(d[:6, :6])
-    assert how == {"k": 2, "fallback": False, "relaxed": False} and labels.tolist() == [1, 1, 1, 2, 2, 2]
+    assert {c: how[c] for c in ("k", "fallback", "relaxed")} == {"k": 2, "fallback": False, "relaxed": False} and labels.tolist() == [1, 1, 1, 2, 2, 2]
     assert cluster.choose(d[:2, :2])[1]["k"] == 1
     assert cluster.silhouette(d, np.array([1, 1, 1, 2, 2, 2, 3])) == -1.0
     assert cluster.ward(x[:, None], 3).tolist() == [1, 1, 1, 2, 2, 2, 3]
@@ -334,7 +334,12 @@ def test_summary_counts_active_days_only(spark):
     late = lambda a: lambda d: (a if d >= 13 else 0, 0, 0)
     doc = document(spark, {"a": CALM, "b": late(0.4), "c": late(0.5), "d": late(0.2)})
     assert doc["quality_flags"]["active_window_days"] == 2
-    assert doc["method"]["stage_1"]["active_window"] == {"active_days": 2, "total_days": 15}
+    second, flags = doc["method"]["stage_2"], doc["quality_flags"]
+    assert second["singleton_policy"] == "evidence_gated_lenient" and second["k_min"] == 1 and set(second["scores_passing_min_size"]) <= set(second["silhouette_scores"])
+    assert doc["method"]["stage_1"]["strict_all_background"] == {"background_target": 1.0, "other_target": 0.0, "tolerance": 1e-6}
+    assert (flags["null_fallback_applied"], flags["null_selected_by_threshold"], flags["null_target_size"]) == (False, flags["strict_null_members"], flags["strict_null_members"])
+    assert "init" in doc and second["singleton_evidence_thresholds"]["separation_rule"]
+    assert doc["method"]["stage_1"]["active_window"] == {"name": "ensemble_non_background_days", "active_days": 2, "total_days": 15}
 
 
 def test_summary_with_nothing_but_calm(spark):
