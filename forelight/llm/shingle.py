@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 from forelight.llm.common import mix
@@ -27,8 +29,17 @@ def powers(n: int) -> np.ndarray:
     return _POWERS[0][:n]
 
 
-def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of all words; A-Z are folded, words are split at ASCII white space and at row ends."""
+#: Bytes of a word that are hashed eight at a time, all words together; longer words are hashed one by one.
+SHORT = 64
+_WHOLE = ~U(0)
+
+
+def words(raw: np.ndarray, at: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of all words; A-Z are folded, words are split at ASCII white space and at row ends.
+
+    Hashes with different seeds are independent. Each step mixes what came before
+    with eight more bytes, so no two words meet because of how they are built.
+    """
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -41,54 +52,63 @@ def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     closes = ~space
     closes[:-1] &= space[1:] | edge[1:n]
     first, last = np.flatnonzero(opens), np.flatnonzero(closes)
-    # The value of a word is its bytes' polynomial, by the next-to-last byte's power, so that it doesn't depend on the place.
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_CODES[body] * powers(n), out=sums[1:])
-    value = (sums[last + 1] - sums[first]) * powers(n)[n - 1 - first]
-    # Now every word's value has the factor _P ** (n - 1); it depends on the block, so it is divided out.
-    inverse = U(pow(int(_P), -(n - 1), 1 << 64))
-    return mix(value * inverse + (last - first).astype(np.uint64)), np.searchsorted(at, first, side="right") - 1
+    size = last - first + 1
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = body
+    # The eight bytes from each place on, as one number.
+    eight = np.ndarray((n,), "<u8", padded, strides=(1,))
+    value = mix(size.astype(np.uint64) + U(seed) * U(0xA0761D6478BD642F))
+    short = size <= SHORT
+    for k in range(0, SHORT, 8):
+        live = np.flatnonzero(short & (size > k))
+        if not len(live):
+            break
+        left = np.minimum(size[live] - k, 8).astype(np.uint64)
+        value[live] = mix(value[live] * _P + (eight[first[live] + k] & (_WHOLE >> (U(64) - U(8) * left))))
+    for w in np.flatnonzero(~short):
+        value[w] = int.from_bytes(blake2b(body[first[w] : last[w] + 1].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return value, np.searchsorted(at, first, side="right") - 1
 
 
-def sets(raw: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, row offsets): each row's distinct shingles in ascending order.
+def sets(raw: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, checks, row offsets): each row's distinct shingles in ascending order, each as two independent numbers of 64 bits.
 
     A row of fewer words than ``size`` has its whole sequence as the one
     shingle, a row without words none.
     """
     rows = len(at) - 1
-    value, row = words(raw, at)
+    (one, row), (two, _) = words(raw, at), words(raw, at, 1)
     count = np.bincount(row, minlength=rows)
     begin = np.zeros(rows + 1, np.int64)
     np.cumsum(count, out=begin[1:])
     length = np.minimum(count, size)
     whole = np.flatnonzero(count >= size)
-    n = len(value)
-    out_h, out_r = [], []
+    n = len(one)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(whole):
-        h = np.full(max(0, n - size + 1), U(size), np.uint64)
-        for k in range(size):
-            h = mix(h * _P + value[k : n - size + 1 + k])
-        same = row[: n - size + 1] == row[size - 1 :]
-        out_h.append(h[same])
-        out_r.append(row[: n - size + 1][same])
+        same = np.flatnonzero(row[: n - size + 1] == row[size - 1 :])
+        found.append((*(_run(value, same, size) for value in (one, two)), row[same]))
     for k in range(1, size):
         few = np.flatnonzero(length == k)
         few = few[count[few] == k]
         if len(few):
-            h = np.full(len(few), U(k), np.uint64)
-            for j in range(k):
-                h = mix(h * _P + value[begin[few] + j])
-            out_h.append(h)
-            out_r.append(few)
-    if not out_h:
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
-    h, r = np.concatenate(out_h), np.concatenate(out_r)
-    order = np.lexsort((h, r))
-    h, r = h[order], r[order]
+            found.append((*(_run(value, begin[few], k) for value in (one, two)), few))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+    h, g, r = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((g, h, r))
+    h, g, r = h[order], g[order], r[order]
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-    h, r = h[new], r[new]
+    new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | (r[1:] != r[:-1])
+    h, g, r = h[new], g[new], r[new]
     offsets = np.zeros(rows + 1, np.int64)
     np.cumsum(np.bincount(r, minlength=rows), out=offsets[1:])
-    return h, offsets
+    return h, g, offsets
+
+
+def _run(value: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """One number for each run of k words that begins at the places given."""
+    h = np.full(len(first), U(k), np.uint64)
+    for j in range(k):
+        h = mix(h * _P + value[first + j])
+    return h

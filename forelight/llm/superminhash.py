@@ -14,7 +14,9 @@ compared in the same way, whatever their signatures, so every pair that shares
 such a bucket is settled exactly.
 
 With 42 bands of 5 places, two sets of similarity 0.8 share no bucket with a
-probability of 1e-7.
+probability of 1e-7; their signatures agree in so few places that a link to a
+hub waits with one of 1e-9, which is final in buckets of two or three. Shingles
+are compared by 128 bits.
 
 Defined results: a null text, or one without words, has an empty set, is linked
 with nothing and is its own component. Long texts are read whole. Rows with equal ids are one node of the
@@ -74,14 +76,14 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high in blocks(batch.column(1)):
+            for low, high in blocks(batch.column(2)):
                 part = batch.slice(low, high - low)
-                hashes, offsets = shingle.sets(*flat(part.column(1)), size)
+                hashes, checks, offsets = shingle.sets(*flat(part.column(2)), size)
                 count = np.diff(offsets)
                 sums = []
-                for salt in (U(0x243F6A8885A308D3), U(0x13198A2E03707344)):
-                    total = np.zeros(len(hashes) + 1, np.uint64)
-                    np.cumsum(mix(hashes ^ salt), out=total[1:])
+                for values, salt in ((hashes, U(0x243F6A8885A308D3)), (checks, U(0x13198A2E03707344))):
+                    total = np.zeros(len(values) + 1, np.uint64)
+                    np.cumsum(mix(values ^ salt), out=total[1:])
                     sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 places = signatures(hashes, offsets)
                 bands = np.empty((len(count), BANDS), np.uint64)
@@ -92,18 +94,19 @@ def _describe(size: int):
                     bands[:, b] = key
                 short = (mix(places) >> U(48)).astype(np.uint16).view(np.int16)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1]), pa.int32()), pa.array(a.ravel())) for a in (bands.view(np.int64), np.ascontiguousarray(short))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count), *map(pa.array, sums), *lists], names=["doc_id", "n", "s1", "s2", "bands", "places"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(count), *map(pa.array, sums), *lists], names=["doc_id", "k", "n", "s1", "s2", "bands", "places"])
 
     return run
 
 
-def _linked(rows: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
-    """Pairs (i, j) that span the components of sets with at least ``least`` per cent in common."""
+def _linked(rows: list[np.ndarray], checks: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
+    """Pairs (i, j) that span the components of sets with at least ``least`` per cent in common; shingles are equal if both their numbers are."""
     left = np.arange(len(rows))
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
-            u = rows[queue.pop()]
+            top = queue.pop()
+            u, v = rows[top], checks[top]
             sizes = np.array([len(rows[i]) for i in left])
             # Sizes alone rule out most pairs.
             fits = np.flatnonzero((100 * sizes >= least * len(u)) & (100 * len(u) >= least * sizes))
@@ -111,9 +114,10 @@ def _linked(rows: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
                 continue
             joined = np.concatenate([rows[i] for i in left[fits]])
             found = np.minimum(np.searchsorted(u, joined), len(u) - 1)
+            equal = (u[found] == joined) & (v[found] == np.concatenate([checks[i] for i in left[fits]]))
             starts = np.zeros(len(fits), np.int64)
             np.cumsum(sizes[fits][:-1], out=starts[1:])
-            both = np.add.reduceat((u[found] == joined).astype(np.int64), starts)
+            both = np.add.reduceat(equal.astype(np.int64), starts)
             near = fits[100 * both >= least * (len(u) + sizes[fits] - both)]
             if len(near):
                 root = left[near]
@@ -129,18 +133,19 @@ def _confirm(size: int, least: int):
         ids, comps = group.column("node").to_numpy(), group.column("component").to_numpy()
         texts = group.column("text").chunk(0) if group.num_rows else pa.array([], pa.string())
         found: list[np.ndarray] = []
+        seconds: list[np.ndarray] = []
         for low, high in blocks(texts):
-            h, o = shingle.sets(*flat(texts.slice(low, high - low)), size)
+            h, g, o = shingle.sets(*flat(texts.slice(low, high - low)), size)
             found += [h[o[i] : o[i + 1]] for i in range(len(o) - 1)]
+            seconds += [g[o[i] : o[i + 1]] for i in range(len(o) - 1)]
         a, b = [], []
         order = np.argsort(comps, kind="stable")
         cuts = np.flatnonzero(np.diff(comps[order])) + 1
         for members in np.split(order, cuts):
             # Largest ids last, so a component's first member is its least.
             members = members[np.argsort(ids[members], kind="stable")]
-            rows = [found[i] for i in members]
             rest = set(range(len(members)))
-            for head, group_of in _spans(rows, least, rest):
+            for head, group_of in _spans([found[i] for i in members], [seconds[i] for i in members], least, rest):
                 for i in group_of:
                     a.append(ids[members[head]])
                     b.append(ids[members[i]])
@@ -149,10 +154,10 @@ def _confirm(size: int, least: int):
     return run
 
 
-def _spans(rows: list[np.ndarray], least: int, rest: set[int]) -> Iterator[tuple[int, list[int]]]:
+def _spans(rows: list[np.ndarray], checks: list[np.ndarray], least: int, rest: set[int]) -> Iterator[tuple[int, list[int]]]:
     """(first member, other members) of each component of the given sets."""
     head, members = (min(rest), []) if rest else (-1, [])
-    for i, _ in _linked(rows, least):
+    for i, _ in _linked(rows, checks, least):
         if i < 0:
             yield head, members
             rest -= {head, *members}
@@ -163,11 +168,11 @@ def _spans(rows: list[np.ndarray], least: int, rest: set[int]) -> Iterator[tuple
         yield head, members
 
 
-def _compared(links: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, least: int, scratch: Scratch, name: str) -> DataFrame:
-    """(a, b): confirmed pairs that connect all similar members of each component of the candidate links; sizes has (node, n)."""
+def _compared(links: DataFrame, texts: DataFrame, reps: DataFrame, size: int, least: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b): confirmed pairs that connect all similar members of each component of the candidate links; reps has (node, doc_id, k, n)."""
     candidates = scratch.keep(components(links, scratch, f"{name}-candidates"), f"{name}-nodes")
     # Each node goes to one task, or, in components too large for one, to a task for every other block.
-    sized = candidates.join(sizes, "node")
+    sized = candidates.join(reps.withColumnsRenamed({"doc_id": "rep", "k": "rep_k"}), "node")
     totals = sized.groupBy("component").agg(F.sum("n").alias("total")).withColumn("parts", F.ceil(F.col("total") / TASK_SHINGLES).cast("int"))
     total = totals.select(F.sum("total")).head()[0]
     bins = max(1, -(-(total or 0) * 2 // TASK_SHINGLES))
@@ -175,9 +180,9 @@ def _compared(links: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, le
     task = F.when(F.col("parts") == 1, F.array(F.struct(F.pmod(F.xxhash64("component"), F.lit(bins)).alias("x"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.col("component").alias("x"), F.least(q, F.col("part")).cast("long").alias("i"), F.greatest(q, F.col("part")).cast("long").alias("j")))
     )
-    placed = scratch.keep(placed.select("node", "component", F.explode(task).alias("task")).select("node", "component", "task.*"), f"{name}-placed")
-    texts = docs.join(placed, F.col("doc_id") == F.col("node"))
-    confirmed = texts.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
+    placed = scratch.keep(placed.select("node", "rep", "rep_k", "component", F.explode(task).alias("task")).select("node", "rep", "rep_k", "component", "task.*"), f"{name}-placed")
+    near = texts.join(placed, (F.col("doc_id") == F.col("rep")) & (F.col("k") == F.col("rep_k")))
+    confirmed = near.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
     return scratch.keep(confirmed, f"{name}-links")
 
 
@@ -186,41 +191,53 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = scratch.keep(docs.mapInArrow(_describe(size), "doc_id long, n long, s1 long, s2 long, bands array<long>, places array<short>"), "seen")
+    # Rows are told apart by id and a key of the text, as an id may have several.
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).alias("text"))
+    seen = scratch.keep(texts.mapInArrow(_describe(size), "doc_id long, k long, n long, s1 long, s2 long, bands array<long>, places array<short>"), "seen")
 
-    classes = scratch.keep(seen.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
-    marked = classes.where("rep is not null").select("rep", F.col("n").alias("rn"), F.col("s1").alias("r1"), F.col("s2").alias("r2"))
-    reps = seen.join(marked, F.expr("doc_id = rep and n = rn and s1 = r1 and s2 = r2")).select("rep", "n", "bands", "places").dropDuplicates(["rep"])
-    reps = scratch.keep(reps, "reps")
+    # A class is all rows with an equal set; it has a number, and its least id and one of that id's texts stand for it.
+    key = ["n", "s1", "s2"]
+    classes = scratch.keep(seen.where("n > 0").groupBy(*key).agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "k"))).alias("rep")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    marked = classes.where("rep is not null").select("node", F.col("rep.doc_id").alias("rep"), F.col("rep.k").alias("rep_k"), *(F.col(c).alias(f"_{c}") for c in key))
+    same = F.expr("doc_id = rep and k = rep_k and n = _n and s1 = _s1 and s2 = _s2")
+    reps = scratch.keep(seen.join(marked, same).select("node", "doc_id", "k", "n", "bands", "places").dropDuplicates(["node"]), "reps")
 
     # Each bucket has hubs of its own choice, so that a pair that shares several buckets is likely to meet in one.
-    keys = reps.select("rep", F.explode("bands").alias("key"))
-    turn = F.xxhash64("rep", "key")
-    hubs = keys.groupBy("key").agg(F.min_by("rep", turn).alias("low"), F.max_by("rep", turn).alias("high")).where("low <> high")
-    members = scratch.keep(keys.join(hubs, "key").select("key", "rep", "low", "high"), "members")
-    pairs = members.select(F.col("low").alias("a"), F.col("rep").alias("b")).unionByName(members.select(F.col("rep").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
+    keys = reps.select("node", F.explode("bands").alias("key"))
+    turn = F.xxhash64("node", "key")
+    hubs = keys.groupBy("key").agg(F.min_by("node", turn).alias("low"), F.max_by("node", turn).alias("high")).where("low <> high")
+    members = scratch.keep(keys.join(hubs, "key").select("key", "node", "low", "high"), "members")
+    pairs = members.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(members.select(F.col("node").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()
     pairs = scratch.keep(pairs, "pairs")
-    places = reps.select("rep", "n", "places")
+    places = reps.select("node", "n", "places")
     pairs = pairs.join(places.toDF("a", "na", "pa"), "a").join(places.toDF("b", "nb", "pb"), "b")
     agreed = F.size(F.filter(F.zip_with("pa", "pb", lambda x, y: x == y), lambda x: x))
     links = pairs.where((100 * F.col("na") >= least * F.col("nb")) & (100 * F.col("nb") >= least * F.col("na")))
     links = links.where(agreed >= int(LEAST_AGREED * PLACES)).select("a", "b")
-    sizes = reps.select(F.col("rep").alias("node"), "n")
-    near = _compared(links, docs, sizes, size, least, scratch, "near")
+    short = reps.select("node", "doc_id", "k", "n")
+    near = _compared(links, texts, short, size, least, scratch, "near")
     found = scratch.keep(components(near, scratch, "first"), "first")
 
-    of = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
+    of = members.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
     opened = of.groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("m > 3 and c0 <> c1").select("key")
-    rest = scratch.keep(members.join(opened, "key").select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "open")
-    if not rest.isEmpty():
-        near = near.unionByName(_compared(rest, docs, sizes, size, least, scratch, "rest"))
-        found = components(near, scratch, "found")
-
-    named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("n").alias("rn"), F.col("s1").alias("r1"), F.col("s2").alias("r2"), "rep", F.coalesce("component", "rep").alias("component"))
+    rest = scratch.keep(members.join(opened, "key").select(F.col("low").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "open")
+    again = not rest.isEmpty()
+    if again:
+        near = near.unionByName(_compared(rest, texts, short, size, least, scratch, "rest"))
+
+    # Different texts under one id are one node of the link graph: their classes are linked.
+    several = seen.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m"), F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).where("m > 1 and x <> y").select(F.col("doc_id").alias("_id"))
+    taken = seen.where("n > 0").join(several, F.col("doc_id") == F.col("_id")).select("doc_id", *key).join(classes.select(*key, "node"), key).select("doc_id", "node").distinct()
+    joined = scratch.keep(taken.join(taken.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).where("a <> b"), "taken")
+    if again or not joined.isEmpty():
+        found = scratch.keep(components(near.unionByName(joined), scratch, "found"), "all")
+
+    named = classes.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    least_ids = named.groupBy("c").agg(F.min("rep.doc_id").alias("component"))
+    named = named.select("c", F.col("rep.doc_id").alias("rep"), *(F.col(c).alias(f"_{c}") for c in key)).join(least_ids, "c").drop("c")
     named = scratch.keep(named, "named")
     scratch.drop_others("seen", "named")
-    out = seen.select("doc_id", "n", "s1", "s2").join(named, F.expr("n = rn and s1 = r1 and s2 = r2"), "left")
+    out = seen.select("doc_id", *key).join(named, F.expr("n = _n and s1 = _s1 and s2 = _s2"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), F.coalesce("rep", "doc_id").alias("class_id"))
 
