@@ -8,7 +8,7 @@ from forelight.functions import scalars, text, times
 from forelight.operators import ledger
 from forelight.plans import sql
 from forelight.plans.base import registry, rounded
-from forelight.sources import views
+from forelight.sources import commits, sinks, views
 from forelight.streaming import daily as streaming
 from forelight.streaming import runs
 
@@ -222,3 +222,28 @@ def waiting_runs(spark, sf_dir):
         return events.select(times.floor_hours(F.col("ts") - delay, 12).alias("init"), (F.col("user_id") % 31).cast("int").alias("member"), F.col("ts").alias("arrived"), "value")
 
     return runs.run(spark, f"{sf_dir}/events.parquet", arrivals, 31)[0]
+
+
+# Two writers with other headers, one of them started twice.
+@query("""WITH a AS (SELECT CAST(o_orderkey AS VARCHAR) AS init, CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status, CAST(o_custkey AS VARCHAR) AS job_id FROM orders)
+SELECT init, status, '' AS attempts, job_id, '' AS note FROM a UNION ALL SELECT init, 'RETRIED', '2', '', '' FROM a WHERE status = 'FAILED'""")
+def ledger_commits(spark, sf_dir):
+    o = views.read(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "SUCCESS").otherwise("FAILED")
+    path = sinks.folder(spark, "ledger")
+    commits.append(o.select(F.col("o_orderkey").alias("init"), status.alias("status"), F.col("o_custkey").alias("job_id")), path, "first")
+    again = o.where(status == "FAILED").select(F.lit("2").alias("attempts"), F.col("o_orderkey").alias("init"), F.lit("RETRIED").alias("status"))
+    for _ in range(2):
+        commits.append(again, path, "second")
+    return commits.read(spark, path).select("init", "status", "attempts", "job_id", "note")
+
+
+# Every member whose number is divisible by seven has lost its values.
+@query("""WITH f AS (SELECT CAST(user_id % 31 AS INTEGER) AS member, CASE WHEN user_id % 31 % 7 <> 0 THEN 1000 + 0.5::DOUBLE * CAST(json_extract_string(props, '$.k') AS INTEGER) END AS mslp FROM events)
+SELECT member, count(*) AS n_rows, count(mslp) AS n_known, min(mslp) AS low, quantile_disc(mslp, 0.5) AS median, quantile_disc(mslp, 0.9) AS p90, CASE WHEN count(mslp) = 0 THEN 'all_missing' ELSE 'written' END AS status, count(*) AS n_read FROM f GROUP BY member""")
+def written_statistics(spark, sf_dir):
+    f = views.forcing(spark, sf_dir).select("member", "valid_time", F.when(F.col("member") % 7 != 0, F.col("mslp")).alias("mslp"))
+    path = sinks.folder(spark, "statistics")
+    told = sinks.with_statistics(f, path, "member", "mslp", list(range(31)))
+    there = spark.read.parquet(path).groupBy(F.col("member").cast("int").alias("member")).agg(F.count("*").alias("n_read"))
+    return told.join(there, "member", "full")

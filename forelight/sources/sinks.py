@@ -50,11 +50,39 @@ def csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def ledger(df: DataFrame, path: str) -> None:
-    """Rows appended to a ledger, in today's columns."""
+def ledger(df: DataFrame, path: str, key: str | None = None) -> int | None:
+    """Rows appended to a ledger that others may append to at the same time, in today's columns (see ``sources.commits``)."""
     from forelight.operators.ledger import upgraded
-
-    upgraded(df).write.mode("append").parquet(path)
+    from forelight.sources import commits
+
+    return commits.append(upgraded(df), path, key)
+
+
+def with_statistics(df: DataFrame, path: str, by: str, value: str, among: list) -> DataFrame:
+    """Like :func:`partitioned` by one column; returns what the write itself has seen, without another pass.
+
+    (by, n_rows, n_known, low, median, p90, status) for each partition named in
+    ``among``, some tens, and one with a null for all others together; quantiles are
+    values of the sketch's ranks. A partition without any value is written all the
+    same and says so.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    metrics = []
+    for i, m in enumerate([*among, None]):
+        mine = F.col(by) == F.lit(m) if m is not None else ~F.coalesce(F.col(by).isin(among), F.lit(False))
+        own = F.when(mine, F.col(value))
+        metrics += [F.count_if(mine).alias(f"n_rows_{i}"), F.count(own).alias(f"n_known_{i}"), F.min(own).alias(f"low_{i}"), F.percentile_approx(own, [0.5, 0.9], 10_000).alias(f"q_{i}")]
+    partitioned(df.observe(seen, *metrics), path, [by])
+    got = seen.get
+    rows = []
+    for i, m in enumerate([*among, None]):
+        if got[f"n_rows_{i}"]:
+            q = got[f"q_{i}"] or [None, None]
+            rows.append((m, got[f"n_rows_{i}"], got[f"n_known_{i}"], got[f"low_{i}"], *q, "written" if got[f"n_known_{i}"] else "all_missing"))
+    kinds = df.schema[by].dataType.simpleString(), df.schema[value].dataType.simpleString()
+    return df.sparkSession.createDataFrame(rows, f"`{by}` {kinds[0]}, n_rows long, n_known long, low {kinds[1]}, median {kinds[1]}, p90 {kinds[1]}, status string")
 
 
 def observations(df: DataFrame, path: str, values: list[str]) -> None:
