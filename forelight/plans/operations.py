@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forelight.functions import scalars, text, times
-from forelight.operators import ledger
+from forelight.operators import ledger, paths
 from forelight.plans import sql
 from forelight.plans.base import registry, rounded
 from forelight.sources import commits, sinks, views
@@ -247,3 +247,31 @@ def written_statistics(spark, sf_dir):
     told = sinks.with_statistics(f, path, "member", "mslp", list(range(31)))
     there = spark.read.parquet(path).groupBy(F.col("member").cast("int").alias("member")).agg(F.count("*").alias("n_read"))
     return told.join(there, "member", "full")
+
+
+# Documents cite files of their own and of other cases in all the ways that are allowed.
+_CITED = """f AS (SELECT concat('/data/json_tests/CASE_', doc_id % 50, '/llm/doc', doc_id, '.md') AS path FROM documents UNION ALL SELECT concat('/data/json_tests/CASE_', doc_id % 50, '/weather/w', doc_id % 97, '.json') FROM documents),
+p AS (SELECT DISTINCT path FROM f UNION SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) FROM f),
+c AS (SELECT doc_id, concat('/data/json_tests/CASE_', doc_id % 50) AS home, CAST(doc_id % 6 AS INTEGER) AS kind, CASE doc_id % 6 WHEN 0 THEN concat('doc', doc_id + doc_id % 4, '.md') WHEN 1 THEN concat('weather/w', doc_id % 101, '.json') WHEN 2 THEN concat('llm/doc', doc_id % 13, '*.md')
+  WHEN 3 THEN concat('/data/json_tests/CASE_', doc_id % 60, '/llm') WHEN 4 THEN concat('CASE_{', doc_id % 70, ',', doc_id % 65, '}/weather/w?.json') ELSE concat('w', doc_id % 120, '.json') END AS path FROM documents),
+w AS (SELECT regexp_extract(path, '([^/]*)$', 1) AS name FROM (SELECT DISTINCT path FROM f) GROUP BY 1 HAVING count(*) = 1)"""
+
+
+@query(f"""WITH {_CITED} SELECT doc_id, path, CASE kind WHEN 0 THEN concat(home, '/llm/', path) IN (SELECT path FROM p) OR path IN (SELECT name FROM w) WHEN 1 THEN concat(home, '/', path) IN (SELECT path FROM p)
+WHEN 2 THEN EXISTS (SELECT 1 FROM p WHERE p.path LIKE concat(home, '/llm/doc', doc_id % 13, '%.md')) WHEN 3 THEN path IN (SELECT path FROM p)
+WHEN 4 THEN EXISTS (SELECT 1 FROM p WHERE regexp_full_match(p.path, concat('/data/json_tests/CASE_(', doc_id % 70, '|', doc_id % 65, ')/weather/w.[.]json'))) ELSE path IN (SELECT name FROM w) END AS found FROM c""")
+def cited_paths(spark, sf_dir):
+    d = views.read(spark, sf_dir, "documents")
+    home = F.format_string("/data/json_tests/CASE_%d", F.col("doc_id") % 50)
+    files = d.select(F.explode(F.array(F.concat(home, F.format_string("/llm/doc%d.md", "doc_id")), F.concat(home, F.format_string("/weather/w%d.json", F.col("doc_id") % 97)))).alias("path"))
+    i = F.col("doc_id")
+    path = (
+        F.when(i % 6 == 0, F.format_string("doc%d.md", i + i % 4))
+        .when(i % 6 == 1, F.format_string("weather/w%d.json", i % 101))
+        .when(i % 6 == 2, F.format_string("llm/doc%d*.md", i % 13))
+        .when(i % 6 == 3, F.format_string("/data/json_tests/CASE_%d/llm", i % 60))
+        .when(i % 6 == 4, F.format_string("CASE_{%d,%d}/weather/w?.json", i % 70, i % 65))
+        .otherwise(F.format_string("w%d.json", i % 120))
+    )
+    cited = d.select("doc_id", F.concat(home, F.lit("/llm/out.md")).alias("outlook"), path.alias("path"))
+    return paths.found(cited, files, "/repo").select("doc_id", "path", "found")
