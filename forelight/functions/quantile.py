@@ -33,32 +33,53 @@ def hazen(x: Column | str, q: float, poison: bool = False) -> Column:
     return F.when(F.count("*") == F.count(x), out) if poison else out
 
 
-#: Equal parts of a group's range in which its order statistics are looked for.
-PARTS = 1024
+#: Parts of each power of two in which order statistics are looked for.
+PARTS = 512
 
 
-def hazen_by_ranks(df: DataFrame, keys: list[str], value: str, q: float, name: str = "value", parts: int = PARTS) -> DataFrame:
-    """keys, the Hazen quantile of each group, and ``n``, its values: for groups of any size.
+def _part(x: Column, parts: int) -> Column:
+    """A whole number that never falls where x rises: parts of equal ratio, wide apart for large values, and one for zero alone."""
+    ratio = F.floor((F.log2(F.abs(x)) + 1_100) * parts).cast("long") + 1
+    return F.when(x == 0, F.lit(0)).when(x > 0, ratio).otherwise(-ratio).cast("long")
+
 
-    Values are counted by parts of the group's range; only the parts that hold
-    the two order statistics are sorted. Missing values are skipped; a group
-    without values has a null. Exact, whatever the parts.
+def selected(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], parts: int = PARTS) -> DataFrame:
+    """(keys, name, value, n): the Hazen quantile of each named (column, quantile) of each group, and how many values it has; null without any.
+
+    Groups may be of any size, and several columns and quantiles take one scan.
+    Equal values are counted where they are read, so a value that most rows share is one row with a
+    count. Counts by parts tell which parts hold the two order statistics, and
+    only the distinct values of these are ordered. Missing values are skipped. Exact, whatever the parts.
     """
-    rows = df.select(*(F.col(k) for k in keys), F.col(value).cast("double").alias("_x"))
-    span = rows.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.count("_x").alias("n"))
-    h = F.least(F.greatest(F.col("n") * F.lit(q) - 0.5, F.lit(0.0)), (F.col("n") - 1).cast("double"))
-    span = span.withColumn("_h", h).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1))
-    at = F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * parts)
-    part = F.when(F.col("_high") > F.col("_low"), F.least(at, F.lit(parts - 1))).otherwise(0).cast("int")
-    # The table of groups is short against the values; Catalyst broadcasts it if it is under its limit.
-    placed = rows.where("_x is not null").join(span.select(*keys, "_low", "_high"), keys).select(*keys, "_x", part.alias("_p"))
-    counts = placed.groupBy(*keys, "_p").agg(F.count("*").alias("_c"))
-    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.withColumn("_before", F.coalesce(before, F.lit(0))).join(span.select(*keys, "_lo", "_hi"), keys)
-    holds = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
-    wanted = counts.where(holds(F.col("_lo")) | holds(F.col("_hi"))).select(*keys, "_p", "_before", "_lo", "_hi")
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("_x")) - 1
-    found = placed.join(wanted, [*keys, "_p"]).withColumn("_r", rank)
-    ends = found.groupBy(*keys).agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x"))).alias("_a"), F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_x"))).alias("_b"))
-    out = span.join(ends, keys, "left")
-    return out.select(*keys, (F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(name), "n")
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    # Zeros have one sign here, or they would be two values.
+    value = lambda c: F.col(c).cast("double") + F.lit(0.0)
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("_c"), F.when(~F.isnan(value(c)), value(c)).alias("_x")) for c in columns))).alias("_e")
+    counts = df.select(*keys, each).groupBy(*keys, F.col("_e._c").alias("_c"), F.col("_e._x").alias("_x")).agg(F.count("*").alias("_m"))
+    counts = counts.withColumn("_p", _part(F.col("_x"), parts))
+
+    of = [*keys, "_c"]
+    by_part = counts.groupBy(*of, "_p").agg(F.sum("_m").alias("_m"))
+    sizes = by_part.groupBy(*of).agg(F.sum(F.when(F.col("_p").isNotNull(), F.col("_m")).otherwise(0)).alias("n"))
+    quantiles = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(c).alias("c"), F.lit(float(q)).alias("q")) for name, (c, q) in wanted.items()))).alias("_w")
+    asked = sizes.select("*", quantiles).where("_c = _w.c").select(*of, "n", "_w.name", "_w.q")
+    h = F.least(F.greatest(F.col("n") * F.col("q") - 0.5, F.lit(0.0)), (F.col("n") - 1).cast("double"))
+    asked = asked.withColumn("_h", h).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1))
+
+    before = lambda order: F.sum("_m").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_m")
+    starts = by_part.where("_p is not null").withColumn("_b", before(Window.partitionBy(*of).orderBy("_p")))
+    holds = lambda rank, low: (low <= rank) & (rank < low + F.col("_m"))
+    # Quantiles are few; each finds the one or two parts that hold its order statistics.
+    wanted_parts = starts.join(asked.select(*(F.col(c).alias(f"_{c}_") for c in of), "_lo", "_hi"), [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in of]).where(holds(F.col("_lo"), F.col("_b")) | holds(F.col("_hi"), F.col("_b"))).select(*of, "_p", "_b").distinct()
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in [*of, "_p"]]
+    inside = counts.where("_x is not null").join(wanted_parts.select(*(F.col(c).alias(f"_{c}_") for c in [*of, "_p"]), "_b"), match).select(*of, "_p", "_b", "_x", "_m")
+    ranked = inside.withColumn("_r", F.col("_b") + before(Window.partitionBy(*of, "_p").orderBy("_x")))
+    ends = asked.join(ranked.select(*(F.col(c).alias(f"_{c}_") for c in of), "_r", "_x", "_m"), [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in of], "left")
+    at = lambda rank: F.max(F.when(holds(F.col(rank), F.col("_r")), F.col("_x")))
+    out = ends.groupBy(*of, "name", "n", "_h", "_lo").agg(at("_lo").alias("_a"), at("_hi").alias("_z"))
+    return out.select(*keys, "name", (F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_z") - F.col("_a"))).alias("value"), "n")
+
+
+def hazen_by_ranks(df: DataFrame, keys: list[str], value: str, q: float, name: str = "value", parts: int = PARTS) -> DataFrame:
+    """keys, the Hazen quantile of each group, and ``n``, its values: for groups of any size (see :func:`selected`)."""
+    return selected(df, keys, {name: (value, q)}, parts).select(*keys, F.col("value").alias(name), "n")

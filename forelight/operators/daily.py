@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forelight.functions.times import ZONE, local_date
@@ -19,7 +19,7 @@ def with_spine(daily: DataFrame, keys: list[str], day: str = "local_date") -> Da
     return span.join(daily, [*keys, day], "left")
 
 
-def daily_by_chunks(values: DataFrame, keys: list[str], array: str, chunk: int = 24, q: float = 0.5) -> DataFrame:
-    """Medians of consecutive chunks of an array, by position: what passes for days where series have no times."""
-    rows = values.select(*keys, F.posexplode(array).alias("_pos", "_x"))
-    return rows.groupBy(*keys, F.floor(F.col("_pos") / chunk).cast("int").alias("day")).agg(F.percentile("_x", q).alias("value"))
+def daily_by_chunks(rows: DataFrame, keys: list[str], order: list[str], value: str, chunk: int = 24, q: float = 0.5) -> DataFrame:
+    """Medians of consecutive chunks of each key's rows, by position: what passes for days where series have no times."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    return rows.select(*keys, F.floor(place / chunk).cast("int").alias("day"), F.col(value).alias("_x")).groupBy(*keys, "day").agg(F.percentile("_x", q).alias("value"))

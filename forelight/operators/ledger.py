@@ -44,14 +44,28 @@ def newest(df: DataFrame, keys: list[str], order: str, n: int, beyond: bool = Fa
 
 def previous_runs(df: DataFrame, others: DataFrame, key: str, init: str, hours: int = 18, n: int = 2) -> DataFrame:
     """For each run, the newest n earlier ones of its key within some hours."""
-    o = others.select(F.col(key).alias("_k"), F.col(init).alias("previous"))
-    age = F.timestamp_diff("MINUTE", F.col("previous"), F.col(init))
-    near = df.select(key, init).join(o, (F.col(key) == F.col("_k")) & (F.col("previous") < F.col(init)) & (age <= hours * 60)).drop("_k")
-    return newest(near, [key, init], "previous", n)
+    # Runs and targets of a key go by time; a target looks back on the last n runs before it, and keeps those that are young enough.
+    runs = others.select(F.col(key).alias("_k"), F.col(init).alias("_t")).distinct().withColumn("_run", F.lit(1))
+    wanted = df.select(F.col(key).alias("_k"), F.col(init).alias("_t")).withColumn("_run", F.lit(0))
+    both = wanted.unionByName(runs)
+    # At one time the target comes first, so that a run of its own time isn't before it.
+    order = Window.partitionBy("_k").orderBy("_t", "_run")
+    so_far = F.count_if(F.col("_run") == 1).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("_n", so_far)
+    by_number = runs.withColumn("_n", F.row_number().over(Window.partitionBy("_k").orderBy("_t"))).select(F.col("_k").alias("_o"), F.col("_t").alias("previous"), F.col("_n").alias("_m"))
+    back = both.where("_run = 0").select("_k", "_t", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank"), "_n").where("_n >= rank")
+    found = back.join(by_number, (F.col("_k") == F.col("_o")) & (F.col("_n") - F.col("rank") + 1 == F.col("_m")))
+    return found.where(F.timestamp_diff("MINUTE", F.col("previous"), F.col("_t")) <= hours * 60).select(F.col("_k").alias(key), F.col("_t").alias(init), "previous", "rank")
+
+
+#: Entries of a configuration that may meet every row.
+MOST_ENTRIES = 1_000
 
 
 def bias_entries(df: DataFrame, entries: DataFrame, value: str) -> DataFrame:
-    """Rows with every entry whose optional limits (low, high) they meet. Entries are a short configuration table."""
+    """Rows with every entry whose optional limits (low, high) they meet. Entries are a configuration table; more than MOST_ENTRIES are an error."""
+    if entries.limit(MOST_ENTRIES + 1).count() > MOST_ENTRIES:
+        raise ValueError(f"more than {MOST_ENTRIES} entries")
     fits = (F.col("low").isNull() | (F.col(value) >= F.col("low"))) & (F.col("high").isNull() | (F.col(value) <= F.col("high")))
     return df.join(entries, fits)
 

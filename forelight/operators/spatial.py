@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forelight.functions.quantile import hazen_by_ranks
+from forelight.functions.quantile import hazen_by_ranks, selected
 from forelight.functions.scalars import shift_longitude
 
 #: The basin's box (south, north, west, east) and how high low terrain reaches; fixed values.
@@ -35,14 +35,36 @@ def spatial_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> Da
     return hazen_by_ranks(df, keys, value, q).withColumnRenamed("n", "n_cells")
 
 
+def representative(df: DataFrame, keys: list[str], rules: dict[str, float] = REPRESENTATIVE) -> DataFrame:
+    """(keys and, per variable, its value and n_<variable>): the quantile that stands for each variable's cells, all in one scan.
+
+    A variable with no cell that has a value is null and has 0 of them.
+    """
+    found = selected(df, keys, {v: (v, q) for v, q in rules.items()})
+    one = lambda v, c: F.max(F.when(F.col("name") == v, F.col(c)))
+    return found.groupBy(*keys).agg(*(x for v in rules for x in (one(v, "value").alias(v), one(v, "n").alias(f"n_{v}"))))
+
+
+#: Coordinates of a grid, and points, that may meet each other.
+MOST_COORDINATES = 10_000
+
+
+def _few(df: DataFrame, what: str, most: int = MOST_COORDINATES) -> DataFrame:
+    """df, whose rows are few enough for each to meet all rows of another; an error if they aren't."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} {what}")
+    return df
+
+
 def nearest_cell(df: DataFrame, points: DataFrame) -> DataFrame:
     """Rows at the grid's latitude nearest to each point's, and the longitude nearest to its, each on its own.
 
     ``points``: point, q_lat, q_lon. Ties go to the smaller coordinate. The
-    distinct coordinates of a grid are few; only these meet the points.
+    distinct coordinates of a grid are few, which is checked; only these meet the points.
     """
-    lat = points.crossJoin(df.select("lat").distinct()).groupBy("point").agg(F.min(F.struct(F.abs(F.col("lat") - F.col("q_lat")).alias("d"), "lat")).alias("a"))
-    lon = points.crossJoin(df.select("lon").distinct()).groupBy("point").agg(F.min(F.struct(F.abs(F.col("lon") - F.col("q_lon")).alias("d"), "lon")).alias("o"))
+    points = _few(points, "points")
+    lat = points.crossJoin(_few(df.select("lat").distinct(), "latitudes")).groupBy("point").agg(F.min(F.struct(F.abs(F.col("lat") - F.col("q_lat")).alias("d"), "lat")).alias("a"))
+    lon = points.crossJoin(_few(df.select("lon").distinct(), "longitudes")).groupBy("point").agg(F.min(F.struct(F.abs(F.col("lon") - F.col("q_lon")).alias("d"), "lon")).alias("o"))
     at = lat.join(lon, "point").select("point", F.col("a.lat").alias("lat"), F.col("o.lon").alias("lon"))
     return df.join(at, ["lat", "lon"])
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from forelight.functions import scalars, times
+from forelight.functions import scalars, times, variant
 from forelight.operators import catalog, daily, ensemble, ledger, products
 from forelight.plans import forecast, scenarios, sql
 from forelight.plans.base import registry, rounded
@@ -182,3 +183,35 @@ def small_scalars(spark, sf_dir):
     message = F.when(k % 4 == 0, "KeyError: 'href'").when(k % 4 == 1, "ValueError: no").when(k % 4 == 2, "read timed out").otherwise("done")
     out = e.select("event_id", scalars.safe_div(v, k % 7).alias("ratio"), low.cast("double").alias("low"), high.cast("double").alias("high"), scalars.celsius_to_fahrenheit(v).alias("fahrenheit"), scalars.retryable_error(message).alias("retry"), F.round(times.solar_noon(F.to_date("ts"), -109.5), 4).alias("noon"))
     return rounded(out)
+
+
+# The same entries in a list, in an object, and in layouts that have none.
+_LAYOUTS = """d AS (SELECT event_id, event_id % 6 AS layout, replace(props, '}', concat(', "name": "', event_type, '"}')) AS p FROM events)"""
+
+
+@query(f"""WITH {_LAYOUTS}, e AS (SELECT event_id, unnest(CASE layout WHEN 0 THEN [0, 1] WHEN 1 THEN [0, 2, 3] ELSE [] END) AS pos, layout, p FROM d)
+SELECT event_id, CAST(pos AS INTEGER) AS pos, CASE WHEN pos = 1 THEN NULL WHEN pos = 2 THEN 'late' ELSE json_extract_string(p, '$.name') END AS name,
+CASE WHEN pos = 1 THEN -0.5::DOUBLE WHEN pos = 2 THEN NULL ELSE CAST(json_extract_string(p, '$.k') AS DOUBLE) END AS low FROM e""")
+def bias_layouts(spark, sf_dir):
+    p = F.replace("props", F.lit("}"), F.concat(F.lit(', "name": "'), "event_type", F.lit('"}')))
+    p = F.replace(p, F.lit('"k"'), F.lit('"low"'))
+    i = F.col("event_id") % 6
+    text = (
+        F.when(i == 0, F.concat(F.lit('{"v": 1, "biases": ['), p, F.lit(', {"low": "-0.5"}, 7]}')))
+        .when(i == 1, F.concat(F.lit("["), p, F.lit(', "text", {"name": "late", "low": "none"}, '), p, F.lit("]")))
+        .when(i == 2, F.concat(F.lit('{"other": ['), p, F.lit("]}")))
+        .when(i == 3, F.concat(F.lit('{"biases": '), p, F.lit("}")))
+        .when(i == 4, F.concat(F.lit("broken ["), p))
+    )
+    return variant.bias_entries(views.read(spark, sf_dir, "events").select("event_id", text.alias("text")), ["event_id"], "text").select("event_id", "pos", "name", "low")
+
+
+@query("""WITH c AS (SELECT c_nationkey, c_custkey % 5 AS id, count(*) AS n, max(c_acctbal) / 10000 AS high FROM customer GROUP BY ALL), f AS (SELECT *, n / sum(n) OVER (PARTITION BY c_nationkey) AS fraction FROM c)
+SELECT c_nationkey, round(coalesce(sum(fraction) FILTER (id IN (0, 3)), 0), 6) + 0.0 AS null_fraction, round(coalesce(sum(fraction) FILTER (id NOT IN (0, 3)), 0), 6) + 0.0 AS non_null_fraction, round(greatest(coalesce(max(high) FILTER (id IN (1, 2)), 0), 0), 6) + 0.0 AS max_non_null_high FROM f GROUP BY c_nationkey""")
+def gating_metrics(spark, sf_dir):
+    c = views.read(spark, sf_dir, "customer").groupBy("c_nationkey", (F.col("c_custkey") % 5).alias("id")).agg(F.count("*").alias("n"), (F.max("c_acctbal") / 10000).alias("high"))
+    c = c.withColumn("fraction", F.col("n") / F.sum("n").over(Window.partitionBy("c_nationkey")))
+    # The fourth cluster's profile is missing, the null cluster is told by its number or its kind.
+    one = F.struct("id", F.when(F.col("id") == 3, "null").otherwise("scenario").alias("kind"), "fraction", F.when(F.col("id") != 4, F.struct(F.col("high").alias("weighted_high"))).alias("risk_profile"))
+    docs = c.groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(one).alias("clusters"))).alias("text"))
+    return rounded(variant.cluster_metrics(docs, ["c_nationkey"], "text"))

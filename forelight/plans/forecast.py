@@ -150,6 +150,23 @@ def masked_spatial_quantile(spark, sf_dir):
     return rounded(spatial.spatial_quantile(grid, ["time"], "value", 0.75), 4)
 
 
+_FIELDS = f"""fields AS (SELECT l_suppkey % 40 AS place, l_shipdate < TIMESTAMP '1995-06-01' AS early, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS solar, CASE WHEN l_discount < 0.06::DOUBLE THEN 0 ELSE l_quantity END AS snow, round(l_tax * 50) - 2 AS wind, 250 + l_partkey % 1000 / 16.0::DOUBLE AS temp FROM lineitem)"""
+
+
+@query(f"WITH {_FIELDS} SELECT place, early, {', '.join(f'round({sql.hazen(v, q)}, 4) + 0.0 AS {v}, count({v}) AS n_{v}' for v, q in spatial.REPRESENTATIVE.items())} FROM fields GROUP BY ALL")
+def representative_quantiles(spark, sf_dir):
+    line = views.read(spark, sf_dir, "lineitem")
+    fields = line.select(
+        (F.col("l_suppkey") % 40).alias("place"),
+        (F.col("l_shipdate") < F.lit("1995-06-01").cast("timestamp_ntz")).alias("early"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).alias("solar"),
+        F.when(F.col("l_discount") < 0.06, 0.0).otherwise(F.col("l_quantity")).alias("snow"),
+        (F.round(F.col("l_tax") * 50) - 2).alias("wind"),
+        (250 + F.col("l_partkey") % 1000 / 16.0).alias("temp"),
+    )
+    return rounded(spatial.representative(fields, ["place", "early"]), 4)
+
+
 @query(f"WITH {sql.GRID}, s AS (SELECT *, CASE WHEN lon > 180 THEN lon - 360 ELSE lon END AS l2 FROM grid) SELECT time, count(*) AS n, round(min(lat), 6) AS south, round(max(lat), 6) AS north, round(min(l2), 6) AS west, round(max(l2), 6) AS east FROM s WHERE lat BETWEEN 39.4 AND 41.1 AND l2 BETWEEN -110.9 AND -108.5 GROUP BY time")
 def bbox_crop(spark, sf_dir):
     # Halves of a cell away from the box's edges, so that rounding in the last place decides nothing.
@@ -283,8 +300,7 @@ def missing_dates(spark, sf_dir):
 SELECT member, CAST(day AS INTEGER) AS day, round(median(snow), 6) + 0.0 AS value FROM o GROUP BY ALL""")
 def chunk_medians(spark, sf_dir):
     f = views.forcing(spark, sf_dir)
-    arrays = f.groupBy("member").agg(F.transform(F.array_sort(F.collect_list(F.struct("valid_time", "event_id", "snow"))), lambda x: x["snow"]).alias("xs"))
-    return rounded(daily.daily_by_chunks(arrays, ["member"], "xs"))
+    return rounded(daily.daily_by_chunks(f, ["member"], ["valid_time", "event_id"], "snow"))
 
 
 @query(f"""WITH {sql.FORCING}, {sql.TERMS}, {sql.POSSIBLE}, {sql.PERCENTILES} SELECT event_id, first_10, first_90 FROM possible
