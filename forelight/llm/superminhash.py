@@ -181,7 +181,7 @@ def _compared(links: DataFrame, texts: DataFrame, reps: DataFrame, size: int, le
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(F.col("component").alias("x"), F.least(q, F.col("part")).cast("long").alias("i"), F.greatest(q, F.col("part")).cast("long").alias("j")))
     )
     placed = scratch.keep(placed.select("node", "rep", "rep_k", "component", F.explode(task).alias("task")).select("node", "rep", "rep_k", "component", "task.*"), f"{name}-placed")
-    near = texts.join(placed, (F.col("doc_id") == F.col("rep")) & (F.col("k") == F.col("rep_k")))
+    near = texts.join(placed, (F.col("doc_id") == F.col("rep")) & (F.col("rep_k").isNull() | (F.col("k") == F.col("rep_k"))))
     confirmed = near.select("node", "component", "text", "x", "i", "j").groupBy("x", "i", "j").applyInArrow(_confirm(size, least), "a long, b long")
     return scratch.keep(confirmed, f"{name}-links")
 
@@ -214,7 +214,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     agreed = F.size(F.filter(F.zip_with("pa", "pb", lambda x, y: x == y), lambda x: x))
     links = pairs.where((100 * F.col("na") >= least * F.col("nb")) & (100 * F.col("nb") >= least * F.col("na")))
     links = links.where(agreed >= int(LEAST_AGREED * PLACES)).select("a", "b")
-    short = reps.select("node", "doc_id", "k", "n")
+    # Few ids have several texts; only theirs are told apart, so that what the texts are joined with stays short.
+    several = seen.where("doc_id is not null").groupBy("doc_id").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select(F.col("doc_id").alias("_id"))
+    several = scratch.keep(several, "several")
+    short = reps.join(several, F.col("doc_id") == F.col("_id"), "left").select("node", "doc_id", F.when(F.col("_id").isNotNull(), F.col("k")).alias("k"), "n")
+    short = scratch.keep(short, "short")
     near = _compared(links, texts, short, size, least, scratch, "near")
     found = scratch.keep(components(near, scratch, "first"), "first")
 
@@ -226,7 +230,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
         near = near.unionByName(_compared(rest, texts, short, size, least, scratch, "rest"))
 
     # Different texts under one id are one node of the link graph: their classes are linked.
-    several = seen.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m"), F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).where("m > 1 and x <> y").select(F.col("doc_id").alias("_id"))
     taken = seen.where("n > 0").join(several, F.col("doc_id") == F.col("_id")).select("doc_id", *key).join(classes.select(*key, "node"), key).select("doc_id", "node").distinct()
     joined = scratch.keep(taken.join(taken.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).where("a <> b"), "taken")
     if again or not joined.isEmpty():
