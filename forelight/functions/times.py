@@ -61,6 +61,11 @@ def latest_init(now: Column, delay_hours: int = 8) -> Column:
     return floor_hours(F.timestamp_add("HOUR", F.lit(-delay_hours), now), 6)
 
 
+def previous_init(now: Column, steps: int = 1) -> Column:
+    """Start of a six-hourly run before the one that a time is in; times without a zone are UTC."""
+    return F.timestamp_add("HOUR", F.lit(-6 * steps), floor_hours(now, 6))
+
+
 def anchor_init(submitted: Column) -> Column:
     """The run that a submission at this time is meant for: four and a half hours back, down to six hours."""
     return floor_hours(F.timestamp_add("MINUTE", F.lit(-270), submitted), 6)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from forelight.functions.times import floor_hours
+
 #: The ledger's columns; fixed values, all strings.
 LEDGER = ("init", "status", "attempts", "job_id", "exit_code", "started", "finished", "seconds", "errors", "note")
 
@@ -15,6 +17,12 @@ def calendar(spark: SparkSession, first: str, last: str, hours: int = 6) -> Data
     return spark.range(1).select(F.explode(F.sequence(a, b, F.expr(f"interval {hours} hours"))).alias("init"))
 
 
+def calendar_of(df: DataFrame, ts: str, hours: int = 6) -> DataFrame:
+    """Starts of all runs from the first to the last that a table has times of, whether anything happened in them or not."""
+    ends = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).where("a is not null")
+    return ends.select(F.explode(F.sequence(floor_hours(F.col("a"), hours), floor_hours(F.col("b"), hours), F.expr(f"interval {hours} hours"))).alias("init"))
+
+
 def pending(inits: DataFrame, ledger: DataFrame, on: str = "init", limit: int | None = None) -> DataFrame:
     """Runs that no successful entry of the ledger is about, the earliest first; at most ``limit`` if given."""
     done = ledger.where(F.col("status") == "SUCCESS").select(on).distinct()

@@ -69,6 +69,30 @@ def nearest_cell(df: DataFrame, points: DataFrame) -> DataFrame:
     return df.join(at, ["lat", "lon"])
 
 
+#: Lead hours of the two products; fixed values.
+FINE_HOURS, COARSE_HOURS, COARSE_STEP = 240, 384, 6
+
+
+def lead_hours(step: int = 3) -> list[tuple[int, str]]:
+    """(fxx, product) of a whole forecast: the fine grid to 240 hours, then the coarse one, whose steps are six hours at least."""
+    step, wide = max(step, 1), max(step, COARSE_STEP)
+    return [(f, "atmos.25") for f in range(0, FINE_HOURS + 1, step)] + [(f, "atmos.5") for f in range(FINE_HOURS + wide, COARSE_HOURS + 1, wide)]
+
+
+def point_series(df: DataFrame, runs: DataFrame, keys: list[str], lat: float, lon: float, hours: list[tuple[int, str]], value: str = "value") -> DataFrame:
+    """(keys, fxx, product, valid_time, value): the value at the grid point nearest to a place, for every lead hour of every run.
+
+    ``df``: keys with init, fxx, lat, lon and the value, of grids whose resolution may differ by lead hour;
+    ``runs``: the keys that are expected. A lead hour that didn't come is null; one that is listed twice counts once, for the first product.
+    """
+    nearest = F.min_by(F.struct(value), F.struct(F.abs(F.col("lat") - lat), "lat", F.abs(F.col("lon") - lon), "lon"))
+    at = df.groupBy(*keys, "fxx").agg(nearest[value].alias("value"))
+    first = dict(reversed(hours))
+    slices = F.explode(F.array(*(F.struct(F.lit(f).alias("fxx"), F.lit(p).alias("product")) for f, p in sorted(first.items())))).alias("s")
+    wanted = runs.select(*keys).distinct().select(*keys, slices).select(*keys, "s.fxx", "s.product")
+    return wanted.join(at, [*keys, "fxx"], "left").select(*keys, "fxx", "product", (F.col("init") + F.make_dt_interval(hours=F.col("fxx"))).alias("valid_time"), "value")
+
+
 def smooth(df: DataFrame, keys: list[str], i: str, j: str, value: str) -> DataFrame:
     """(2 x + mean of the neighbours) / 3 over the up to eight neighbours in a grid of whole-number indices."""
     steps = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b))

@@ -138,12 +138,14 @@ def recent_cases(spark, sf_dir):
     return catalog.recent(cases, F.lit("2024012012"))
 
 
-@query("SELECT i AS init, concat('/data/work/', i) AS work, concat('/data/cases/CASE_', substr(i, 1, 8), '_', substr(i, 9, 2), '00Z') AS \"case\", concat('/data/logs/run_', i, '.log') AS log FROM (SELECT strftime(t, '%Y%m%d%H') AS i FROM generate_series(TIMESTAMP '2025-12-01', TIMESTAMP '2026-03-15 18:00:00', INTERVAL 6 HOUR) r(t))")
+@query("SELECT i AS init, concat('/data/work/', i) AS work, concat('/data/cases/CASE_', substr(i, 1, 8), '_', substr(i, 9, 2), '00Z') AS \"case\", concat('/data/logs/run_', i, '.log') AS log FROM (SELECT DISTINCT strftime(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01'), '%Y%m%d%H') AS i FROM events)")
 def replay_paths(spark, sf_dir):
-    inits = ledger.calendar(spark, "2025-12-01", "2026-03-15 18:00:00").select(times.format_init("init").alias("init"))
+    e = views.read(spark, sf_dir, "events")
+    inits = e.select(F.date_format(times.floor_hours(F.col("ts"), 6), "yyyyMMddHH").alias("init")).distinct()
     return catalog.replay_paths(inits, "/data")
 
 
+
 @query(f"WITH {sql.OBS} SELECT variable, count(DISTINCT stid) AS n, array_to_string(list_sort(list_distinct(list(stid))), ',') AS stids FROM obs GROUP BY variable")
 def observed_stations(spark, sf_dir):
     o = views.obs(spark, sf_dir)
@@ -215,3 +217,76 @@ def gating_metrics(spark, sf_dir):
     one = F.struct("id", F.when(F.col("id") == 3, "null").otherwise("scenario").alias("kind"), "fraction", F.when(F.col("id") != 4, F.struct(F.col("high").alias("weighted_high"))).alias("risk_profile"))
     docs = c.groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(one).alias("clusters"))).alias("text"))
     return rounded(variant.cluster_metrics(docs, ["c_nationkey"], "text"))
+
+
+# Tables that go out to files and come back.
+_MEMBER_FILES = "files AS (SELECT strftime(time_bucket(INTERVAL 120 HOUR, ts, TIMESTAMP '1970-01-01'), '%Y%m%d_%H%MZ') AS init, CASE WHEN user_id % 31 = 0 THEN 'c00' ELSE concat('p', lpad(CAST(user_id % 31 AS VARCHAR), 2, '0')) END AS member, value FROM events)"
+
+
+def _member_files(spark, sf_dir) -> str:
+    e = views.read(spark, sf_dir, "events")
+    k = F.col("user_id") % 31
+    init = F.date_format(times.floor_hours(F.col("ts"), 120), "yyyyMMdd_HHmm'Z'")
+    member = F.when(k == 0, "c00").otherwise(F.format_string("p%02d", k))
+    base = sinks.folder(spark, "members")
+    sinks.partitioned(e.select("ts", "value", F.concat(init, F.lit("_ozone_"), member, F.lit("_df.parquet")).alias("file")), base, ["file"])
+    return base
+
+
+@query(f"WITH {_MEMBER_FILES} SELECT init, member, count(*) AS n, round(max(value), 6) AS high FROM files GROUP BY ALL")
+def member_files(spark, sf_dir):
+    df = readers.members(readers.parquet(spark, _member_files(spark, sf_dir)), r"_([cp][0-9]{2})_df\.parquet", "file_path")
+    init = F.regexp_extract("file", r"^([0-9]{8}_[0-9]{4}Z)", 1).alias("init")
+    return rounded(df.groupBy(init, "member").agg(F.count("*").alias("n"), F.max("value").alias("high")))
+
+
+@query(f"WITH {_MEMBER_FILES} SELECT DISTINCT substr(init, 1, 11) AS init FROM files")
+def available_inits(spark, sf_dir):
+    return readers.inits(readers.parquet(spark, _member_files(spark, sf_dir)), r"file=([0-9]{8}_[0-9]{2})", "file_path")
+
+
+@query(f"WITH {sql.OBS} SELECT stid, variable, count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high, min(ts) AS first_seen FROM obs GROUP BY ALL UNION ALL SELECT NULL, variable, count(*), round(min(v), 4), round(max(v), 4), NULL FROM (SELECT variable, CAST(ts AS DATE) AS day, max(value) AS v FROM obs GROUP BY ALL) GROUP BY variable")
+def observation_files(spark, sf_dir):
+    """Raw observations as CSV, and reduced ones as Parquet with 32-bit values; broken values would be null."""
+    obs = views.obs(spark, sf_dir)
+    raw, reduced = f"{sinks.folder(spark, 'obs')}/raw.csv", f"{sinks.folder(spark, 'obs')}/reduced"
+    sinks.csv(obs.select("stid", "ts", "variable", "value"), raw)
+    sinks.observations(obs.groupBy("variable", F.to_date("ts").alias("date")).agg(F.max("value").alias("value")), reduced, ["value"])
+    a = readers.observations(spark, raw).groupBy("stid", "variable").agg(F.count("*").alias("n"), F.round(F.min("value"), 6).alias("low"), F.round(F.max("value"), 6).alias("high"), F.min("ts").cast("timestamp_ntz").alias("first_seen"))
+    b = readers.observations(spark, reduced).groupBy("variable").agg(F.count("*").alias("n"), F.round(F.min("value"), 4).alias("low"), F.round(F.max("value"), 4).alias("high"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT concat('S', s_nationkey) AS stid, CAST(max(s_acctbal) AS VARCHAR) AS elevation, min(s_name) AS name FROM supplier GROUP BY s_nationkey")
+def station_metadata(spark, sf_dir):
+    """A column for each station, as some services send it, turned into a row for each."""
+    s = views.read(spark, sf_dir, "supplier").groupBy(F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("stid")).agg(F.max("s_acctbal").cast("string").alias("elevation"), F.min("s_name").alias("name"))
+    s = s.select("stid", F.explode(F.array(*(F.struct(F.lit(c).alias("attribute"), F.col(c).alias("v")) for c in ("elevation", "name")))).alias("x"))
+    wide = s.groupBy("x.attribute").pivot("stid").agg(F.first("x.v"))
+    return readers.untransposed(wide)
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_quantity), 4) AS mean, round(max(l_extendedprice), 2) AS high FROM lineitem GROUP BY ALL")
+def csv_outputs(spark, sf_dir):
+    line = views.read(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.avg("l_quantity"), 4).alias("mean"), F.round(F.max("l_extendedprice"), 2).alias("high"))
+    path = sinks.folder(spark, "csv")
+    sinks.csv(line, path)
+    return readers.csv(spark, path, schema="l_returnflag string, l_linestatus string, n long, mean double, high double")
+
+
+_FIGURES = """files AS (SELECT concat('/figs/', ['heatmap/heatmap_UB', 'meteograms/meteogram_UB', 'optim_pessim/meteogram_UB', 'meteograms/map_UB'][event_id % 4 + 1], '_', CASE event_id % 2 WHEN 0 THEN strftime(ts, '%Y%m%d-%H00') ELSE strftime(ts, '%Y%m%d_%H') END, '_', user_id % 31, '.png') AS path, event_id % 4 AS k FROM events
+UNION ALL SELECT concat('/cases/CASE_', strftime(ts, '%Y%m%d_%H00Z'), '/llm_text/LLM-OUTLOOK-', user_id % 31, ['.md', '.pdf', '.txt'][event_id % 3 + 1]), 4 + event_id % 3 FROM events)"""
+
+
+@query(f"""WITH {_FIGURES}, own AS (SELECT DISTINCT path, k, regexp_extract(path, '([^/]*)$', 1) AS name FROM files WHERE contains(path, '20240110-0600') OR contains(path, '20240110_06'))
+SELECT min(path) AS path, CASE WHEN k = 0 THEN 'heatmap' WHEN k < 3 THEN 'meteogram' ELSE 'outlook' END AS kind FROM own WHERE k NOT IN (3, 6) GROUP BY kind, name""")
+def run_figures(spark, sf_dir):
+    e = views.read(spark, sf_dir, "events")
+    i = F.col("event_id")
+    stem = F.get(F.array(*map(F.lit, ("heatmap/heatmap_UB", "meteograms/meteogram_UB", "optim_pessim/meteogram_UB", "meteograms/map_UB"))), (i % 4).cast("int"))
+    when = F.when(i % 2 == 0, F.date_format("ts", "yyyyMMdd-HH'00'")).otherwise(F.date_format("ts", "yyyyMMdd_HH"))
+    png = F.concat(F.lit("/figs/"), stem, F.lit("_"), when, F.lit("_"), (F.col("user_id") % 31).cast("string"), F.lit(".png"))
+    suffix = F.get(F.array(*map(F.lit, (".md", ".pdf", ".txt"))), (i % 3).cast("int"))
+    text = F.concat(F.lit("/cases/CASE_"), F.date_format("ts", "yyyyMMdd_HH'00Z'"), F.lit("/llm_text/LLM-OUTLOOK-"), (F.col("user_id") % 31).cast("string"), suffix)
+    files = e.select(F.explode(F.array(png, text)).alias("path")).distinct()
+    return readers.figures(files, "20240110_06")

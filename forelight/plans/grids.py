@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from forelight.functions import scalars
+from forelight.operators import spatial
 from forelight.plans.base import registry
 from forelight.sources import grib, readers, views
 
@@ -45,3 +47,17 @@ def grib_slices(spark, sf_dir):
     got = grib.messages(files.select(_path(), "content")).where("error is null").groupBy(*keys).agg(F.count("value").alias("n_cells"), F.max("value").alias("high"))
     wanted = grib.slices(cells, ["c00", "p01", "p02"], ["sde"], 0, 270, 90).drop("variable")
     return readers.with_expected(got, wanted, keys).select(*keys, "product", "n_cells", "high")
+
+
+# The point nearest to the place is the twelfth row's and the twenty-second column's; most fields lack it.
+@query(f"""WITH {_FIELDS}, runs AS (SELECT DISTINCT init, member FROM fields)
+SELECT r.init, r.member, h.fxx, CASE WHEN h.fxx > 240 THEN 'atmos.5' ELSE 'atmos.25' END AS product, r.init + to_hours(h.fxx) AS valid_time, round(value / 100, 6) AS mslp FROM runs r CROSS JOIN (VALUES (0), (90), (180), (240), (270)) h(fxx)
+LEFT JOIN (SELECT * FROM fields WHERE j = 11 AND i = 21) f ON f.init = r.init AND f.member = r.member AND f.fxx = h.fxx""")
+def pressure_at_point(spark, sf_dir):
+    cells = _cells(spark, sf_dir)
+    files = grib.packed(cells, _LATS, _LONS).select(_path(), "content")
+    field = readers.with_name(grib.messages(files).select("value", "init", "member", "fxx", "lat", "lon"), "pres", ["init", "member", "fxx", "lat", "lon"])
+    runs = cells.select("init", F.when(F.col("member") == 0, "c00").otherwise(F.concat(F.lit("p0"), F.col("member").cast("string"))).alias("member"))
+    hours = [(f, "atmos.25") for f in (0, 90, 180, 240)] + [(f, "atmos.5") for f in (240, 270)]
+    out = spatial.point_series(field, runs, ["init", "member"], 40.07, 250.13, hours, "pres")
+    return out.select("init", "member", "fxx", "product", "valid_time", F.round(scalars.pascal_to_hectopascal(F.col("value")), 6).alias("mslp"))

@@ -15,9 +15,9 @@ from forelight.streaming import runs
 QUERIES, ORACLES, query = registry()
 
 
-@query("SELECT strftime(t, '%Y%m%d%H') AS init, strftime(t, '%Y%m%d_%H%MZ') AS case_name, extract('hour' FROM t) AS hour FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 18:00:00', INTERVAL 6 HOUR) r(t)")
+@query("SELECT strftime(t, '%Y%m%d%H') AS init, strftime(t, '%Y%m%d_%H%MZ') AS case_name, extract('hour' FROM t) AS hour FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 6 HOUR, min(ts), TIMESTAMP '1970-01-01'), time_bucket(INTERVAL 6 HOUR, max(ts), TIMESTAMP '1970-01-01'), INTERVAL 6 HOUR)) AS t FROM events)")
 def init_calendar(spark, sf_dir):
-    c = ledger.calendar(spark, "2024-01-01", "2024-01-30 18:00:00")
+    c = ledger.calendar_of(views.read(spark, sf_dir, "events"), "ts")
     return c.select(times.format_init("init").alias("init"), times.format_init("init", case=True).alias("case_name"), F.hour("init").cast("long").alias("hour"))
 
 
@@ -126,10 +126,21 @@ def tick_spacing(spark, sf_dir):
     return views.read(spark, sf_dir, "part").select(F.col("p_size").alias("span")).distinct().withColumn("step", scalars.tick_step(F.col("span")))
 
 
-@query("""WITH v(name) AS (VALUES ('sde'), ('PRMSL'), ('si10'), ('sdswrf'), ('t2m'), ('nothing')) SELECT name, CASE lower(name) WHEN 'sde' THEN 'snow' WHEN 'prmsl' THEN 'mslp' WHEN 'si10' THEN 'wind' WHEN 'sdswrf' THEN 'solar' WHEN 't2m' THEN 'temp' END AS variable FROM v""")
+# Observations under the names that different sources have for their variables.
+_ALIAS = """SELECT event_id, user_id, ts, value, ['sde', 'PRMSL', 'si10', 'sdswrf', 't2m', 'nothing'][event_id % 6 + 1] AS name FROM events"""
+
+
+@query(f"""WITH v AS ({_ALIAS}) SELECT name, CASE lower(name) WHEN 'sde' THEN 'snow' WHEN 'prmsl' THEN 'mslp' WHEN 'si10' THEN 'wind' WHEN 'sdswrf' THEN 'solar' WHEN 't2m' THEN 'temp' END AS variable, count(*) AS n FROM v GROUP BY name""")
 def synonym_lookup(spark, sf_dir):
-    names = spark.createDataFrame([(n,) for n in ("sde", "PRMSL", "si10", "sdswrf", "t2m", "nothing")], "name string")
-    return names.withColumn("variable", scalars.variable_of(F.col("name")))
+    names = F.array(*map(F.lit, ("sde", "PRMSL", "si10", "sdswrf", "t2m", "nothing")))
+    e = views.read(spark, sf_dir, "events").select(F.get(names, (F.col("event_id") % 6).cast("int")).alias("name"))
+    return e.withColumn("variable", scalars.variable_of(F.col("name"))).groupBy("name", "variable").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 6 HOUR AS previous, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 12 HOUR AS before_that FROM events")
+def previous_inits(spark, sf_dir):
+    e = views.read(spark, sf_dir, "events")
+    return e.select("event_id", times.previous_init(F.col("ts")).alias("previous"), times.previous_init(F.col("ts"), 2).alias("before_that"))
 
 
 # Texts: the prose has no markers, so discussions are put together from it.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,18 +45,45 @@ def documents(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("wholetext", "true").text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def members(df: DataFrame, pattern: str = r"([cp][0-9]{2})") -> DataFrame:
-    """A frame read from files, with the member that the file's name gives."""
-    name = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+def members(df: DataFrame, pattern: str = r"([cp][0-9]{2})", part: str = "file_name") -> DataFrame:
+    """A frame read from files, with the member that the file's name gives; with ``file_path`` as ``part`` that of its folders."""
+    name = F.regexp_extract(F.col(f"_metadata.{part}"), pattern, 1)
     return df.withColumn("member", F.when(name != "", name))
 
 
-def inits(df: DataFrame) -> DataFrame:
+def inits(df: DataFrame, pattern: str = r"([0-9]{8}_?[0-9]{2})", part: str = "file_name") -> DataFrame:
     """The runs that file names are about, in order."""
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{8}_?[0-9]{2})", 1)
+    name = F.regexp_extract(F.col(f"_metadata.{part}"), pattern, 1)
     return df.select(name.alias("init")).where("init <> ''").distinct().orderBy("init")
 
 
+def with_name(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """A field whose variable is called ``name``: if none is, the first column that is no key."""
+    if name in df.columns:
+        return df
+    first = next(c for c in df.columns if c not in keys)
+    return df.withColumnRenamed(first, name)
+
+
+def figures(files: DataFrame, init: str) -> DataFrame:
+    """(path, kind) of the figures (path) of one run (yyyyMMdd_HH): heatmaps by their folder, meteograms by their name, of equal names the first folder's; outlook texts by the run's case."""
+    day, hour = init.split("_")
+    name, folder = F.regexp_extract("path", r"([^/]*)$", 1), F.regexp_extract("path", r"([^/]*)/[^/]*$", 1)
+    own = F.contains(name, F.lit(f"{day}-{hour}00")) | F.contains(name, F.lit(f"{day}_{hour}"))
+    case = F.regexp_extract("path", r"([^/]*)/[^/]*/[^/]*$", 1)
+    meteogram_folders = ["meteograms", "optim_pessim", f"{day}_{hour}00Z"]
+    kind = (
+        F.when((folder == "heatmap") & F.endswith(name, F.lit(".png")) & own, "heatmap")
+        .when(~folder.isin("heatmap", "llm_text") & F.endswith(name, F.lit(".png")) & F.contains(F.lower(name), F.lit("meteogram")) & own, "meteogram")
+        .when((folder == "llm_text") & (case == f"CASE_{day}_{hour}00Z") & name.rlike(r"^LLM-OUTLOOK-.*\.(pdf|md)$"), "outlook")
+    )
+    rank = sum(((F.lit(i + 1) * (folder == f).cast("int")) for i, f in enumerate(meteogram_folders)), F.lit(0))
+    found = files.select("path", kind.alias("kind"), name.alias("_name"), rank.alias("_rank")).where("kind is not null")
+    # A meteogram that stands in several folders counts once.
+    twins = F.row_number().over(Window.partitionBy("kind", F.when(F.col("kind") == "meteogram", F.col("_name")).otherwise(F.col("path"))).orderBy("_rank", "path"))
+    return found.withColumn("_r", twins).where("_r = 1").select("path", "kind")
+
+
 def grib_files(spark: SparkSession, path: str, least: int = 1000) -> DataFrame:
     """Grid files and whether they are whole: of some size, and beginning as they should."""
     files = spark.read.format("binaryFile").load(path)

@@ -47,7 +47,8 @@ def documents(df: DataFrame, path: str, column: str = "json") -> None:
 
 
 def csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """CSV with a header; times to the microsecond, as Spark's own default cuts them."""
+    df.write.mode("overwrite").option("header", "true").options(timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
 
 
 def ledger(df: DataFrame, path: str, key: str | None = None) -> int | None:
