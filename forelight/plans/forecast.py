@@ -37,6 +37,14 @@ def fuzzy_rules(spark, sf_dir):
     return rounded(SYSTEM.possibilities(views.forcing(spark, sf_dir)).select("event_id", "member", *CATEGORIES))
 
 
+@query(f"""WITH {sql.FORCING}, {sql.TERMS}, {sql.POSSIBLE} SELECT event_id, round(background, 6) + 0.0 AS background, round(greatest(extreme, {sql.rise('wind', 3, 4.5)}, {sql.rise('snow', 60, 90)}), 6) + 0.0 AS extreme, round(0.1 + 0.7 * {sql.trapezoid('mslp', 1000, 1010, 1020, 1040)}, 6) + 0.0 AS dome FROM possible""")
+def extended_rules(spark, sf_dir):
+    """The frozen system with another term and another rule, and a trapezoid that neither begins at 0 nor ends at 1."""
+    more = SYSTEM.with_term("wind", "gale", (fuzzy.rise, 3, 4.5)).with_rule(fuzzy.Rule("extreme", (("wind", "gale"), ("snow", "sufficient")), any_of=True))
+    p = more.possibilities(views.forcing(spark, sf_dir))
+    return rounded(p.select("event_id", "background", "extreme", fuzzy.trapezoid(F.col("mslp"), 1000, 1010, 1020, 1040, top=0.8, bottom=0.1).alias("dome")))
+
+
 @query(f"WITH {sql.INFERENCE} SELECT event_id, ozone_10pc, ozone_50pc, ozone_90pc FROM inference")
 def fuzzy_percentiles(spark, sf_dir):
     return inference(spark, sf_dir).select("event_id", "ozone_10pc", "ozone_50pc", "ozone_90pc")
@@ -244,6 +252,16 @@ def asof_nonnull(spark, sf_dir):
 _INIT = "TIMESTAMP '2024-01-01'"
 
 
+# Every target is seven minutes after a sample, so none is without one.
+@query("""WITH s AS (SELECT user_id % 31 AS member, ts, value FROM events), t AS (SELECT DISTINCT member, ts + INTERVAL 7 MINUTE AS ts FROM s),
+p AS (SELECT t.member, t.ts, s.value, abs(epoch(date_trunc('second', s.ts)) - epoch(date_trunc('second', t.ts))) AS gap, s.ts AS seen FROM t JOIN s ON s.member = t.member AND s.ts BETWEEN t.ts - INTERVAL 20 MINUTE AND t.ts + INTERVAL 20 MINUTE)
+SELECT member, ts, arg_min(value, {'g': gap, 'a': seen}) AS value, CAST(min(gap) AS BIGINT) AS gap_seconds FROM p WHERE gap <= 900 GROUP BY ALL""")
+def asof_required(spark, sf_dir):
+    s = views.read(spark, sf_dir, "events").select((F.col("user_id") % 31).alias("member"), "ts", "value")
+    targets = s.select("member", (F.col("ts") + F.make_dt_interval(mins=F.lit(7))).alias("ts")).distinct()
+    return asof.nearest_or_fail(targets, s, ["member"], "ts", "value", 900).select("member", "ts", "value", "gap_seconds")
+
+
 @query(f"""WITH {sql.FORCING}, e AS (SELECT member, {sql.local_hour()} AS h, solar FROM forcing WHERE date_diff('hour', {_INIT}, valid_time) BETWEEN 0 AND 240 AND {sql.local_hour()} % 3 <> 1),
 h AS (SELECT member, h, median(solar) AS m FROM e GROUP BY ALL), w AS (SELECT DISTINCT member, w FROM forcing, range(24) r(w)),
 t AS (SELECT member, w, m FROM (SELECT w.member, w.w, h.m, row_number() OVER (PARTITION BY w.member, w.w ORDER BY least(abs(w.w - h.h), 24 - abs(w.w - h.h)), h.h) AS rn FROM w JOIN h USING (member)) WHERE rn = 1),

@@ -286,3 +286,13 @@ def cited_paths(spark, sf_dir):
     )
     cited = d.select("doc_id", F.concat(home, F.lit("/llm/out.md")).alias("outlook"), path.alias("path"))
     return paths.found(cited, files, "/repo").select("doc_id", "path", "found")
+
+
+@query("""WITH n AS (SELECT doc_id, strlen(text) * (doc_id % 7 + 1) * CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END AS n FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN n < 1024 THEN concat(n, ' B') WHEN n < 1048576 THEN concat(format('{:,.1f}', n / 1024), ' KB') WHEN n < 1073741824 THEN concat(format('{:,.1f}', n / 1048576), ' MB') ELSE concat(format('{:,.1f}', n / 1073741824), ' GB') END AS size,
+CASE WHEN n < 60 THEN concat(n, 's') WHEN n < 3600 THEN concat(n // 60, 'm ', lpad(CAST(n % 60 AS VARCHAR), 2, '0'), 's') ELSE concat(n // 3600, 'h ', lpad(CAST(n % 3600 // 60 AS VARCHAR), 2, '0'), 'm') END AS duration FROM n""")
+def human_sizes(spark, sf_dir):
+    i = F.col("doc_id")
+    n = F.octet_length("text").cast("long") * (i % 7 + 1) * F.when(i % 3 == 0, 1).when(i % 3 == 1, 1000).otherwise(1000000)
+    d = views.read(spark, sf_dir, "documents").where("text is not null").select("doc_id", n.alias("n"))
+    return d.select("doc_id", scalars.size_text(F.col("n")).alias("size"), scalars.duration_text(F.col("n")).alias("duration"))
