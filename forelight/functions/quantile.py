@@ -43,8 +43,8 @@ def _part(x: Column, parts: int) -> Column:
     return F.when(x == 0, F.lit(0)).when(x > 0, ratio).otherwise(-ratio).cast("long")
 
 
-def selected(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], parts: int = PARTS) -> DataFrame:
-    """(keys, name, value, n): the Hazen quantile of each named (column, quantile) of each group, and how many values it has; null without any.
+def selected(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], parts: int = PARTS, hazen: bool = True) -> DataFrame:
+    """(keys, name, value, n): the Hazen (or linear) quantile of each named (column, quantile) of each group, and how many values it has; null without any.
 
     Groups may be of any size, and several columns and quantiles take one scan.
     Equal values are counted where they are read, so a value that most rows share is one row with a
@@ -63,7 +63,8 @@ def selected(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]
     sizes = by_part.groupBy(*of).agg(F.sum(F.when(F.col("_p").isNotNull(), F.col("_m")).otherwise(0)).alias("n"))
     quantiles = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(c).alias("c"), F.lit(float(q)).alias("q")) for name, (c, q) in wanted.items()))).alias("_w")
     asked = sizes.select("*", quantiles).where("_c = _w.c").select(*of, "n", "_w.name", "_w.q")
-    h = F.least(F.greatest(F.col("n") * F.col("q") - 0.5, F.lit(0.0)), (F.col("n") - 1).cast("double"))
+    place = F.col("n") * F.col("q") - 0.5 if hazen else (F.col("n") - 1) * F.col("q")
+    h = F.least(F.greatest(place, F.lit(0.0)), (F.col("n") - 1).cast("double"))
     asked = asked.withColumn("_h", h).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1))
 
     before = lambda order: F.sum("_m").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_m")
@@ -83,3 +84,8 @@ def selected(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]
 def hazen_by_ranks(df: DataFrame, keys: list[str], value: str, q: float, name: str = "value", parts: int = PARTS) -> DataFrame:
     """keys, the Hazen quantile of each group, and ``n``, its values: for groups of any size (see :func:`selected`)."""
     return selected(df, keys, {name: (value, q)}, parts).select(*keys, F.col("value").alias(name), "n")
+
+
+def wide(found: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """What :func:`selected` gives, with a column for each name."""
+    return found.groupBy(*keys).agg(*(F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names))

@@ -65,8 +65,10 @@ def active_days(df: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
     """Days on which any member is more than background; each key has at least all of its days if none is."""
     active = F.col("valid") & ((F.col("moderate") > TOLERANCE) | (F.col("elevated") > TOLERANCE) | (F.col("extreme") > TOLERANCE))
     days = df.groupBy(*keys, day).agg(F.bool_or(active).alias("active"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return days.withColumn("n_active", F.count_if("active").over(w)).withColumn("weight", F.when(F.col("n_active") == 0, 1 / F.sqrt(F.count("*").over(w))).when(F.col("active"), 1 / F.sqrt(F.col("n_active"))).otherwise(0.0))
+    # Counted by groups, or over all, as one row for each; no window puts all days of a table into one task.
+    totals = days.groupBy(*keys).agg(F.count_if("active").alias("n_active"), F.count("*").alias("_n"))
+    both = days.join(totals, keys) if keys else days.crossJoin(F.broadcast(totals))
+    return both.withColumn("weight", F.when(F.col("n_active") == 0, 1 / F.sqrt("_n")).when(F.col("active"), 1 / F.sqrt(F.col("n_active"))).otherwise(0.0)).drop("_n")
 
 
 def standardised(df: DataFrame, group: list[str], dim: str, value: str) -> DataFrame:

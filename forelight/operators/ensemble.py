@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forelight.functions.quantile import selected, wide
+
 THRESHOLDS = (30, 50, 60, 75)
 
 
@@ -26,6 +28,14 @@ def percentiles(df: DataFrame, keys: list[str], value: str, levels: tuple[int, .
     return q.select(*keys, *(F.get("_q", F.lit(i)).alias(f"p{p}") for i, p in enumerate(levels)), "mean", "n")
 
 
+def percentiles_of_many(df: DataFrame, keys: list[str], value: str, levels: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
+    """Like :func:`percentiles`, for groups that grow with the data: no task holds all of a group's values."""
+    names = {f"p{p}": (value, p / 100) for p in levels}
+    q = wide(selected(df, keys, names, hazen=False), keys, list(names))
+    rest = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
+    return rest.join(q, keys).select(*keys, *names, "mean", "n")
+
+
 def boxes(df: DataFrame, keys: list[str], value: str, levels: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
     """What a box plot shows of each key: quantiles of the members that have a value, and how many; with other levels, a fan."""
     q = df.groupBy(*keys).agg(F.percentile(value, list(levels)).alias("_q"), F.count(value).alias("n"))

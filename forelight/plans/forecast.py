@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forelight.functions import fuzzy, scalars, times
+from forelight.functions import fuzzy, quantile, scalars, times
 from forelight.operators import asof, daily, ensemble, ledger, products, representative, spatial
 from forelight.plans import sql
 from forelight.plans.base import rounded, r, registry
@@ -69,9 +69,10 @@ def universe_guard_clip(spark, sf_dir):
 {', '.join(f'round(avg({c}), 6) + 0.0 AS {c}_mean, round(avg(CAST({c} > 0 AS INTEGER)), 6) + 0.0 AS {c}_active' for c in CATEGORIES)} FROM possible GROUP BY member""")
 def fis_diagnostics(spark, sf_dir):
     p = SYSTEM.possibilities(views.forcing(spark, sf_dir))
-    quantiles = [F.percentile(v, q).alias(f"{v}_p{round(q * 100)}") for v in ("snow", "mslp", "wind", "solar") for q in (0.1, 0.5, 0.9)]
+    names = {f"{v}_p{round(q * 100)}": (v, q) for v in ("snow", "mslp", "wind", "solar") for q in (0.1, 0.5, 0.9)}
+    quantiles = quantile.wide(quantile.selected(p, ["member"], names, hazen=False), ["member"], list(names))
     shares = [x for c in CATEGORIES for x in (F.avg(c).alias(f"{c}_mean"), F.avg((F.col(c) > 0).cast("double")).alias(f"{c}_active"))]
-    return rounded(p.groupBy("member").agg(*quantiles, *shares))
+    return rounded(quantiles.join(p.groupBy("member").agg(*shares), "member"))
 
 
 @query(f"WITH {sql.DAILY} SELECT member, local_date, {r(*VALUES)} FROM daily", days=("local_date",))

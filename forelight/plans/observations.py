@@ -93,7 +93,7 @@ def verify_by_lead_grouping_sets(spark, sf_dir):
 
 @query(f"WITH {_PAIRS}, d AS (SELECT lead_day, forecast FROM pairs) SELECT lead_day, {', '.join(f'round(quantile_cont(forecast, {p / 100}), 4) + 0.0 AS p{p}' for p in (10, 50, 90))}, round(avg(forecast), 4) + 0.0 AS mean, count(*) AS n FROM d GROUP BY lead_day")
 def forecast_daily_summary(spark, sf_dir):
-    return rounded(ensemble.percentiles(_pairs(spark, sf_dir), ["lead_day"], "forecast"), 4)
+    return rounded(ensemble.percentiles_of_many(_pairs(spark, sf_dir), ["lead_day"], "forecast"), 4)
 
 
 @query(f"WITH {sql.OBS} SELECT year(ts) AS year, variable, count(DISTINCT stid) AS n, array_to_string(list_sort(list_distinct(list(stid))), ',') AS stids FROM obs GROUP BY ALL")
