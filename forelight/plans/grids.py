@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from forelight.functions import scalars
 from forelight.operators import spatial
 from forelight.plans.base import registry
-from forelight.sources import grib, readers, views
+from forelight.sources import grib, readers, sinks, views
 
 QUERIES, ORACLES, query = registry()
 
@@ -34,6 +34,17 @@ def grib_scan(spark, sf_dir):
     return grib.messages(files).where("value is not null").select("init", "member", "variable", "fxx", "valid_time", "lat", "lon", "value")
 
 
+# Files of a run's messages, written and scanned by the data source; filters on heads leave most data unread.
+@query(f"WITH {_FIELDS} SELECT init, member, fxx, (390 + j) / 10.0::DOUBLE AS lat, (2480 + i) / 10.0::DOUBLE AS lon, value FROM fields WHERE member <> 'c00' AND fxx IN (90, 180)")
+def grib_source(spark, sf_dir):
+    grib.register(spark)
+    files = grib.packed(_cells(spark, sf_dir), _LATS, _LONS).withColumn("name", F.concat(F.date_format("init", "yyyy/yyyyMMddHH"), F.lit(".grib2")))
+    base = sinks.folder(spark, "grib")
+    files.repartition("name").sortWithinPartitions("name", "fxx", "member").select("name", "content").write.format("grib").mode("append").save(base)
+    scan = spark.read.format("grib").option("suffix", ".grib2").load(base)
+    return scan.where("member in ('p01', 'p02') and fxx in (90, 180) and value is not null").select("init", "member", "fxx", "lat", "lon", "value")
+
+
 # Every fifth size of a field stands for a transfer that broke off: those have no row of their own and stay visible as nulls.
 @query(f"""WITH {_FIELDS}, sums AS (SELECT init, member, fxx, count(*) AS n_cells, max(value) AS high FROM fields GROUP BY ALL), runs AS (SELECT DISTINCT init FROM fields)
 SELECT r.init, m.member, h.fxx, CASE WHEN h.fxx > 240 THEN 'atmos.5' ELSE 'atmos.25' END AS product, CASE WHEN n_cells % 5 <> 0 THEN n_cells END AS n_cells, CASE WHEN n_cells % 5 <> 0 THEN high END AS high

@@ -17,7 +17,9 @@ that is cut off, is no GRIB, or uses something else gives one row whose
 from __future__ import annotations
 
 import io
+import re
 import struct
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -26,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
 SCHEMA = "path string, message int, error string, init timestamp_ntz, member string, variable string, level string, fxx int, valid_time timestamp_ntz, lat double, lon double, value double"
 #: Columns that a message's head decides.
@@ -348,8 +350,19 @@ class _Compare:
         return {"EqualTo": lambda: x == v, "In": lambda: x in v, "GreaterThan": lambda: x > v, "GreaterThanOrEqual": lambda: x >= v, "LessThan": lambda: x < v, "LessThanOrEqual": lambda: x <= v}[self.kind]()
 
 
+def _store(path: str):
+    """(file system, path in it), as executors see them."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if re.match(r"[a-z][a-z0-9+.-]*:", path) else (fs.LocalFileSystem(), path)
+
+
 class GribSource(DataSource):
-    """Options: path (a file, or a folder with all files below it), suffix (of files; default any), values."""
+    """Options: path (a file, or a folder with all files below it), suffix (of files; default any), values.
+
+    Writes rows (name, content): a file for each name below the path, made of the
+    contents of its rows in their order. Rows of one name have to be in one partition.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -361,6 +374,11 @@ class GribSource(DataSource):
     def reader(self, schema) -> GribReader:
         return GribReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> GribWriter:
+        if overwrite:
+            raise ValueError("files are only added; append to a new folder")
+        return GribWriter(self.options)
+
 
 @dataclass
 class _File(InputPartition):
@@ -378,27 +396,69 @@ class GribReader(DataSourceReader):
         self.filters = tuple(t for t in map(_test, filters) if t)
         return filters
 
-    def _store(self):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-
     def partitions(self) -> list[InputPartition]:
         from pyarrow import fs
 
-        store, path = self._store()
+        store, path = _store(self.path)
         info = store.get_file_info(path)
         if info.type == fs.FileType.NotFound:
             raise FileNotFoundError(self.path)
-        found = [info] if info.is_file else [f for f in store.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file]
+        found = [info] if info.is_file else [f for f in store.get_file_info(fs.FileSelector(path, recursive=True)) if f.is_file and "/_staged-" not in f.path]
         return [_File(f.path) for f in sorted(found, key=lambda f: f.path) if f.path.endswith(self.suffix)]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        store, _ = self._store()
+        store, _ = _store(self.path)
         with store.open_input_file(partition.path) as file:
             yield from scan(file, partition.path, lambda head: _holds(self.filters, head), self.with_values)
 
 
+@dataclass
+class _Written(WriterCommitMessage):
+    names: list[str]
+    staged: str
+
+
+class GribWriter(DataSourceWriter):
+    """Tasks write to places of their own; the driver moves whole files to theirs once all tasks are done, so a task that is repeated or lost leaves nothing behind."""
+
+    def __init__(self, options):
+        self.path = options.get("path", "").rstrip("/")
+
+    def write(self, rows) -> _Written:
+        store, path = _store(self.path)
+        staged, names, name, out = f"{path}/_staged-{uuid.uuid4().hex}", [], None, None
+        store.create_dir(staged, recursive=True)
+        try:
+            for row in rows:
+                if row["name"] != name:
+                    if out:
+                        out.close()
+                    name = row["name"]
+                    if name in names:
+                        raise ValueError(f"rows of {name} are apart")
+                    names.append(name)
+                    store.create_dir(f"{staged}/{name}".rpartition("/")[0], recursive=True)
+                    out = store.open_output_stream(f"{staged}/{name}")
+                out.write(bytes(row["content"]))
+        finally:
+            if out:
+                out.close()
+        return _Written(names, staged)
+
+    def commit(self, messages: list) -> None:
+        store, path = _store(self.path)
+        for m in filter(None, messages):
+            for name in m.names:
+                store.create_dir(f"{path}/{name}".rpartition("/")[0], recursive=True)
+                store.move(f"{m.staged}/{name}", f"{path}/{name}")
+            store.delete_dir(m.staged)
+
+    def abort(self, messages: list) -> None:
+        store, _ = _store(self.path)
+        for m in filter(None, messages):
+            store.delete_dir(m.staged)
+
+
 def register(spark: SparkSession) -> None:
     """Makes the format known to a session, with filters pushed to it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

@@ -230,3 +230,17 @@ def test_groups_become_messages(spark):
 def test_arrow_schema_is_the_schema(spark):
     assert spark.createDataFrame([], grib.SCHEMA).toArrow().schema.types == grib._arrow_schema().types
     assert isinstance(grib._batch("p", 0, "e", None), pa.RecordBatch)
+
+
+def test_files_are_written_whole_or_not_at_all(spark, tmp_path):
+    grib.register(spark)
+    raw = {f"{k % 3}/run{k % 3}.grib2": [grib.encoded(INIT, k % 3, "t", f, LATS, LONS, field(f)) for f in (0, 3, 6)] for k in range(3)}
+    df = spark.createDataFrame([(n, i, c) for n, cs in raw.items() for i, c in enumerate(cs)], "name string, i int, content binary")
+    path = str(tmp_path / "out")
+    df.repartition("name").sortWithinPartitions("name", "i").select("name", "content").write.format("grib").mode("append").save(path)
+    assert {str(p.relative_to(path)): p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file()} == {n: b"".join(cs) for n, cs in raw.items()}
+    assert not list((tmp_path / "out").glob("_staged*"))
+    assert spark.read.format("grib").load(f"file://{path}").where("error is null and fxx = 3").count() == 3 * 35
+    with pytest.raises(Exception, match="apart"):
+        df.coalesce(1).orderBy("i").select("name", "content").write.format("grib").mode("append").save(str(tmp_path / "apart"))
+    assert not [p for p in (tmp_path / "apart").rglob("*.grib2") if "_staged" not in str(p)]
