@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def folder(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that all executors share, as spark.checkpoint.dir names it; on a single machine a temporary one will do."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+def root(spark: SparkSession) -> str:
+    """The folder that all executors share, as spark.checkpoint.dir names it; where that is unset, a temporary one on a single machine (tests) and an error on a cluster."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='forelight-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/forelight/{label}-{uuid.uuid4().hex}"
+        found = f"file://{tempfile.mkdtemp(prefix='forelight-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{root(spark)}/forelight/{label}-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame, label: str = "kept") -> DataFrame:
