@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,23 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forelight.sources import sinks
+
 #: Bytes of text that a Python worker expands into 8-byte hashes at a time.
 BLOCK_BYTES = 1 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; where that is unset, a temporary one on a single machine (tests) and an error on a cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='forelight-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 class Scratch:
     """Tables written to the shared folder, so that lineage ends there and a lost executor costs nothing.
 
@@ -40,7 +29,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.base = f"{scratch_root(spark)}/forelight/{label}-{uuid.uuid4().hex}"
+        self.base = sinks.folder(spark, label)
         self.kept: set[str] = set()
 
     def keep(self, df: DataFrame, name: str, parts: int | None = None) -> DataFrame:

@@ -128,4 +128,5 @@ def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
         resemblance(a, b).alias("near_edited"),
         resemblance(a, c).alias("near_next"),
         distinct_count(a).alias("n_shingles_estimate"),
+        containment(a, b).alias("held_by_edited"),
     )
