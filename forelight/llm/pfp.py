@@ -20,7 +20,7 @@ whole dictionary or parse is ever put together.
 Only LENGTH bytes of context travel with each trigger, so no task holds the
 corpus, a document or a suffix array of it. Equal phrases of a map task travel
 once, for the least document that has them; in larger ones they are known to
-repeat. Of triggers that are very frequent (estimated from a sample, which
+repeat, as their bytes are compared. Of triggers that are very frequent (estimated from a sample, which
 decides on nothing but the way) each stretch is a phrase of its own, dealt by
 all its bytes, so no task gets all places of a common trigger.
 
@@ -140,7 +140,7 @@ def _carried(marks: np.ndarray) -> np.ndarray:
 
 
 def hot_triggers(docs: DataFrame) -> np.ndarray:
-    """Hashes of triggers that many places have, by a sample of the documents; docs has ``text`` in bytes."""
+    """Hashes of triggers that many places have, by a sample of the documents; docs has ``text`` in bytes and what tells rows apart."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +149,8 @@ def hot_triggers(docs: DataFrame) -> np.ndarray:
                 # Triggers met once in a block are not the common ones.
                 yield pa.RecordBatch.from_pydict({"t": trig[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
 
-    few = docs.where(F.pmod(F.xxhash64("text"), F.lit(HOT_SAMPLE)) == 0).select("text")
+    # By row and not by text, or all copies of a text would be in the sample or none.
+    few = docs.where(F.pmod(F.xxhash64(*docs.columns), F.lit(HOT_SAMPLE)) == 0).select("text")
     counts = few.mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") * HOT_SAMPLE > HOT_PLACES)
     rows = counts.orderBy(F.desc("n"), "t").limit(HOT_TRIGGERS).collect()
     return np.array([r["t"] for r in rows], np.int64).view(np.uint64)
@@ -172,6 +173,17 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _apart(raw: np.ndarray, begin: np.ndarray, count: np.ndarray, new: np.ndarray) -> None:
+    """Marks as new what has the key of the phrase before it but other bytes: equal keys alone don't make a repeat."""
+    view = np.lib.stride_tricks.sliding_window_view(raw, LENGTH + STEPS - 1)
+    again = np.flatnonzero(~new)
+    for at in range(0, len(again), 1 << 16):
+        i = again[at : at + (1 << 16)]
+        beyond = np.arange(LENGTH + STEPS - 1)[None, :] >= (count[i] + LENGTH - 1)[:, None]
+        same = (view[begin[i]] == view[begin[i - 1]]) | beyond
+        new[i] = ~same.all(axis=1) | (count[i] != count[i - 1])
+
+
 def _send(buckets: int, hot: np.ndarray):
     """Map side: rows (bucket, phrases) and, with bucket -1, rows of spans known to repeat."""
 
@@ -183,6 +195,7 @@ def _send(buckets: int, hot: np.ndarray):
         order = np.lexsort((pos, row, doc, key))
         new = np.ones(len(order), bool)
         new[1:] = key[order][1:] != key[order][:-1]
+        _apart(raw, begin[order], count[order], new)
         group = np.cumsum(new) - 1
         ours = doc[order] == doc[order[new]][group]  # places in the least document that has the phrase
         again = order[~ours]

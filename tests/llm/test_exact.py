@@ -307,3 +307,13 @@ def test_sketches_estimate(spark):
     union = fingerprint.merged(s.withColumn("g", fingerprint.F.lit(1)), ["g"], "s").head().s
     whole = sorted({x for row in s.collect() for x in row.s})[: fingerprint.K]
     assert union == whole
+
+
+def test_phrases_with_equal_keys_and_other_bytes_are_no_repeats():
+    import numpy as np
+
+    raw = np.frombuffer(b"a" * 100 + b"b" * 200 + b"a" * 300, np.uint8)
+    begin, count = np.array([0, 300, 100, 10, 20, 20]), np.array([1, 1, 1, 1, 1, 2])
+    new = np.array([True, False, False, False, False, False])
+    pfp._apart(raw, begin, count, new)
+    assert new.tolist() == [True, False, True, True, False, True]
