@@ -207,6 +207,20 @@ def ward_labels(vectors: DataFrame, group: list[str], k: int = 3) -> DataFrame:
     return vectors.groupBy(*group).applyInPandas(run, f"{kinds}, member {vectors.schema['member'].dataType.simpleString()}, cluster int")
 
 
+#: Below this weighted non-background a member counts as calm where an ensemble is told by means alone, before it is clustered.
+CALM = 0.55
+
+
+def calm_fractions(metrics: DataFrame, group: list[str], limit: float = CALM) -> DataFrame:
+    """(group, null_fraction, non_null_fraction, max_high): shares of calm members and of others, and the others' largest weighted high.
+
+    A quick look at an ensemble by its weighted means; :func:`strict_null` and the clustering document tell by days.
+    """
+    calm = F.coalesce("w_non_background", F.lit(0.0)) < limit
+    share = F.avg(calm.cast("double"))
+    return metrics.groupBy(*group).agg(share.alias("null_fraction"), (1 - share).alias("non_null_fraction"), F.max(F.when(~calm, F.col("w_high"))).alias("max_high"))
+
+
 def by_severity(profile: DataFrame, group: list[str]) -> DataFrame:
     """Clusters numbered from 1 by mean non-background, then mean high, then their first member."""
     w = Window.partitionBy(*group).orderBy(F.asc_nulls_last("w_non_background"), F.asc_nulls_last("w_high"), "first_member")

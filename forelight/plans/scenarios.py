@@ -260,9 +260,7 @@ def identical_members(spark, sf_dir):
 @query(f"WITH {_METRICS}, k AS (SELECT init, member, coalesce(w_non_background, 0) < 0.55 AS null_kind, w_high FROM metrics) SELECT init, round(avg(CAST(null_kind AS INTEGER)), 6) + 0.0 AS null_fraction, round(1 - avg(CAST(null_kind AS INTEGER)), 6) + 0.0 AS non_null_fraction, round(max(CASE WHEN NOT null_kind THEN w_high END), 6) + 0.0 AS max_high FROM k GROUP BY init")
 def null_fractions(spark, sf_dir):
     m = cluster.member_metrics(_days(spark, sf_dir), _KEY)
-    k = m.withColumn("null_kind", F.coalesce("w_non_background", F.lit(0.0)) < 0.55)
-    share = F.avg(F.col("null_kind").cast("double"))
-    return rounded(k.groupBy("init").agg(share.alias("null_fraction"), (1 - share).alias("non_null_fraction"), F.max(F.when(~F.col("null_kind"), F.col("w_high"))).alias("max_high")))
+    return rounded(cluster.calm_fractions(m, ["init"]))
 
 
 def summaries(spark, sf_dir):
