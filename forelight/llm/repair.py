@@ -265,6 +265,7 @@ def plan(turns: DataFrame, scratch: Scratch) -> DataFrame:
     kind = turns.schema["conv"].dataType.simpleString()
     empty = turns.sparkSession.createDataFrame([], f"conv {kind}, {_BLOCK}")
     blocks = scratch.keep(spread.mapInArrow(_blocks(empty.toArrow().schema), empty.schema), "blocks")
+    scratch.drop_others("blocks")
     sums = ["part", "seq", "blank", "duplicate", "truncated", "illegal", "turns", "low", "high", "opens", "closes", "costs", "ranks"]
     # A few numbers for each block; a conversation's go to one task.
     chosen = blocks.select("conv", *sums).repartition("conv").sortWithinPartitions("conv", "part", "seq").mapInArrow(_choices, _CHOICE)
