@@ -19,7 +19,18 @@ def with_spine(daily: DataFrame, keys: list[str], day: str = "local_date") -> Da
     return span.join(daily, [*keys, day], "left")
 
 
+def chunk_medians(rows: DataFrame, keys: list[str], place: str, value: str, chunk: int = 24, q: float = 0.5) -> DataFrame:
+    """Medians of consecutive chunks of rows that know their places, from 0 on; missing values are skipped."""
+    day = F.floor(F.col(place) / chunk).cast("int")
+    return rows.select(*keys, day.alias("day"), F.col(value).alias("_x")).groupBy(*keys, "day").agg(F.percentile("_x", q).alias("value"))
+
+
 def daily_by_chunks(rows: DataFrame, keys: list[str], order: list[str], value: str, chunk: int = 24, q: float = 0.5) -> DataFrame:
     """Medians of consecutive chunks of each key's rows, by position: what passes for days where series have no times."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return rows.select(*keys, F.floor(place / chunk).cast("int").alias("day"), F.col(value).alias("_x")).groupBy(*keys, "day").agg(F.percentile("_x", q).alias("value"))
+    return chunk_medians(rows.select(*keys, place.alias("_place"), value), keys, "_place", value, chunk, q)
+
+
+def daily_by_places(rows: DataFrame, keys: list[str], array: str, chunk: int = 24, q: float = 0.5) -> DataFrame:
+    """:func:`daily_by_chunks` of series that are arrays, as documents have them: the places in the array are the order."""
+    return chunk_medians(rows.select(*keys, F.posexplode(array).alias("_place", "_value")), keys, "_place", "_value", chunk, q)

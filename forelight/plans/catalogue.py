@@ -50,7 +50,7 @@ def weather_percentiles_roundtrip(spark, sf_dir):
 SELECT init, member, day, round(median(snow), 6) + 0.0 AS value FROM o GROUP BY ALL""")
 def weather_payload_daily(spark, sf_dir):
     payload = products.weather_payload(products.weather_members(views.series(spark, sf_dir), _AT, "valid_time"), _AT)
-    return rounded(daily.daily_by_chunks(payload, _AT, "snow"))
+    return rounded(daily.daily_by_places(payload, _AT, "snow"))
 
 
 @query(f"""WITH {scenarios._DAY} SELECT concat('202401', lpad(CAST(init + 1 AS VARCHAR), 2, '0'), '_0000Z') AS init, concat('m', lpad(CAST(member AS VARCHAR), 3, '0')) AS member, CAST(local_date AS VARCHAR) AS date,

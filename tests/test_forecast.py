@@ -119,6 +119,13 @@ def test_asof_that_must_find(spark):
         asof.nearest_or_fail(q, s, ["k"], "t", "v", 5 * 60).collect()
 
 
+def test_chunks_of_series_that_are_arrays(spark):
+    # The second document's series is empty, the third's last chunk is short and misses a value.
+    rows = [("a", [5.0, 1.0, 3.0, 9.0]), ("b", []), ("c", [2.0, 4.0, 8.0, None, 7.0])]
+    out = daily.daily_by_places(spark.createDataFrame(rows, "k string, x array<double>"), ["k"], "x", chunk=3)
+    assert sorted((r.k, r.day, r.value) for r in out.collect()) == [("a", 0, 3.0), ("a", 1, 9.0), ("c", 0, 4.0), ("c", 1, 7.0)]
+
+
 def _solar(spark, change=lambda h, i: h * 10.0):
     zone = __import__("zoneinfo").ZoneInfo("America/Denver")
     start = ts("2026-02-27T00:00:00")
