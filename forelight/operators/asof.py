@@ -1,9 +1,8 @@
 """Nearest-in-time joins.
 
-Targets and samples of a key are bucketed by the tolerance, so each target
-meets the samples of three buckets and not its key's whole series; a join without
-tolerance looks at the sample before and the one after by window functions over
-buckets of time.
+Each key's time is cut into stretches, so that no key with a long series is one
+task; in a stretch, window functions give a target the sample before it and the
+one after it.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _EPOCH = "1970-01-01"
+#: Tolerances in a stretch of a join within one.
+STRETCH = 4
 
 
 def _seconds(ts: Column) -> Column:
@@ -49,18 +50,39 @@ def nearest(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, va
 def nearest_within(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, value: str, tolerance: int, require_value: bool = True) -> DataFrame:
     """targets with the nearest sample at most ``tolerance`` seconds away (of equals the earlier); null if there is none.
 
-    With ``require_value`` samples without one are passed over.
+    With ``require_value`` samples without one are passed over. Each row is dealt
+    once, to its stretch of time; of the stretch before a target's the last sample
+    is in reach at most, of the one after it the first, so these come along.
+    Targets and samples of a stretch meet by order, so many samples make no pairs.
     """
-    width = max(int(tolerance), 1)
-    s = samples.select(*keys, F.col(ts).alias("_at"), F.col(value).alias("_v"))
+    width = STRETCH * max(int(tolerance), 1)
+    s = samples.select(*keys, F.col(ts).alias("_at"), F.col(value).alias("_v")).na.drop("any", subset=[*keys, "_at"])
     if require_value:
         s = s.where("_v is not null")
-    bucket = F.floor(_seconds(F.col("_at")) / width)
-    s = s.withColumn("_k", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-    t = targets.select(*keys, ts).distinct().withColumn("_k", F.floor(_seconds(F.col(ts)) / width))
-    gap = F.abs(_seconds(F.col("_at")) - _seconds(F.col(ts)))
-    near = t.join(s, [*keys, "_k"]).where(gap <= tolerance).groupBy(*keys, ts).agg(F.min_by("_v", F.struct(gap, F.col("_at"))).alias(value), F.min(gap).cast("long").alias("gap_seconds"))
-    return targets.join(near, [*keys, ts], "left")
+    s = s.withColumn("_s", _seconds(F.col("_at"))).withColumn("_k", F.floor(F.col("_s") / width))
+    # Samples of one second are equally near, so the earliest of them counts on both sides.
+    sample = F.struct("_at", "_v")
+    ends = s.groupBy(*keys, "_k").agg(F.min(sample).alias("_first"), F.max("_s").alias("_end"), F.min_by(sample, F.struct(-F.col("_s"), F.col("_at"), F.col("_v"))).alias("_last"))
+    borders = ends.select(*keys, F.explode(F.array(F.struct((F.col("_k") - 1).alias("_k"), F.col("_first").alias("_x")), F.struct((F.col("_k") + 1).alias("_k"), F.col("_last").alias("_x")))).alias("_b"))
+    borders = borders.select(*keys, "_b._k", "_b._x._at", "_b._x._v")
+    rest = [c for c in targets.columns if c not in keys]
+    t = targets.select(*keys, F.floor(_seconds(F.col(ts)) / width).alias("_k"), F.struct(*rest).alias("_t"))
+    both = s.drop("_s").unionByName(borders).unionByName(t, allowMissingColumns=True)
+    # Seconds are told again where the rows meet, so that they don't travel.
+    both = both.repartition(*keys, "_k").withColumn("_s", _seconds(F.coalesce("_at", F.col("_t")[ts])))
+    mark = F.when(F.col("_at").isNotNull(), sample)
+    stretch, is_target = Window.partitionBy(*keys, "_k"), F.col("_at").isNull()
+    # Within a second the earliest sample is the last one before the targets, from either side.
+    within = (is_target, F.desc("_at"), F.desc("_v"))
+    rows = stretch.rowsBetween(Window.unboundedPreceding, 0)
+    before, after = (F.last(mark, ignorenulls=True).over(rows.orderBy(side, *within)) for side in (F.asc("_s"), F.desc("_s")))
+    both = both.withColumn("_before", before).withColumn("_after", after).where(is_target)
+    gap = lambda x: F.abs(_seconds(F.col(f"{x}._at")) - F.col("_s"))
+    both = both.withColumn("_a", gap("_after")).withColumn("_b", gap("_before"))
+    later = F.col("_b").isNull() | (F.col("_a") < F.col("_b"))
+    both = both.withColumn("_gap", F.when(later, F.col("_a")).otherwise(F.col("_b"))).withColumn("_found", F.when(F.col("_gap") <= tolerance, F.when(later, F.col("_after")).otherwise(F.col("_before"))))
+    own = [F.col("_t")[c].alias(c) if c in rest else F.col(c) for c in targets.columns]
+    return both.select(*own, F.col("_found._v").alias(value), F.when(F.col("_found").isNotNull(), F.col("_gap")).cast("long").alias("gap_seconds"))
 
 
 def nearest_or_fail(targets: DataFrame, samples: DataFrame, keys: list[str], ts: str, value: str, tolerance: int) -> DataFrame:

@@ -295,6 +295,34 @@ def test_asof_over_buckets_is_brute_force(spark):
         assert [r.sample_time for r in out] == [*numpy_nearest(targets, samples), None]
 
 
+def test_asof_within_a_tolerance_is_brute_force(spark):
+    rng = np.random.default_rng(6)
+    at = lambda n: [ts("2024-01-01T00:00:00") + dt.timedelta(milliseconds=int(x)) for x in rng.integers(0, 30_000_000, n)]
+    samples, targets = sorted({*at(150)}), at(400)
+    s = spark.createDataFrame([(1, t, float(i)) for i, t in enumerate(samples)] + [(None, samples[0], -1.0), (1, None, -2.0)], "k int, t timestamp_ntz, v double")
+    rows = [(1, t, "x") for t in [*targets, targets[0], *samples[:9]]]
+    q = spark.createDataFrame([*rows, (2, targets[0], "y"), (None, samples[0], "z"), (1, None, "z")], "k int, t timestamp_ntz, more string")
+    whole = lambda t: int((t - ts("1970-01-01T00:00:00")).total_seconds())
+    for tolerance in (0, 1, 60, 900):
+        want = []
+        for _, t, _ in rows:
+            gap, _, i = min((abs(whole(x) - whole(t)), x, i) for i, x in enumerate(samples))
+            want.append((t, float(i), gap) if gap <= tolerance else (t, None, None))
+        out = asof.nearest_within(q, s, ["k"], "t", "v", tolerance).collect()
+        assert sorted((r.t, r.v, r.gap_seconds) for r in out if r.more == "x") == sorted(want)
+        assert [(r.v, r.gap_seconds) for r in out if r.more != "x"] == [(None, None)] * 3
+
+
+def test_asof_makes_no_pairs(spark, capsys):
+    # 4,000 targets and samples within one tolerance: a join of them would have 16,000,000 rows.
+    s = spark.range(4000).select(F.lit(1).alias("k"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 8)").alias("t"), F.col("id").cast("double").alias("v"))
+    out = asof.nearest_within(s.select("k", "t"), s, ["k"], "t", "v", 900)
+    assert out.count() == 4000 and out.where("gap_seconds <> 0").isEmpty()
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Window" in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("parts", [1, 7, 1024])
 def test_hazen_by_ranks_is_numpys(spark, parts):
     from forelight.functions.quantile import hazen_by_ranks
