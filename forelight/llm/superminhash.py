@@ -44,6 +44,8 @@ BANDS, ROWS = 42, 5
 PLACES = 211
 #: Signatures of sets with similarity 0.8 agree in fewer places than this with a probability of 1e-9.
 LEAST_AGREED = 0.62
+#: Orders by which buckets choose hubs.
+ORDERS = 3
 #: Shingles compared in one task; larger candidate components are split into blocks, and pairs of blocks into tasks.
 TASK_SHINGLES = 400_000
 
@@ -202,9 +204,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     same = F.expr("doc_id = rep and k = rep_k and n = _n and s1 = _s1 and s2 = _s2")
     reps = scratch.keep(seen.join(marked, same).select("node", "doc_id", "k", "n", "bands", "places").dropDuplicates(["node"]), "reps")
 
-    # Each bucket has hubs of its own choice, so that a pair that shares several buckets is likely to meet in one.
+    # Buckets choose their hubs by one of a few orders of all nodes: members of several buckets mostly find the same hubs
+    # in them, so a large group has few links for each of its members, and a pair that shares buckets has a few chances to meet.
     keys = reps.select("node", F.explode("bands").alias("key"))
-    turn = F.xxhash64("node", "key")
+    turn = F.xxhash64("node", F.pmod("key", F.lit(ORDERS)))
     hubs = keys.groupBy("key").agg(F.min_by("node", turn).alias("low"), F.max_by("node", turn).alias("high")).where("low <> high")
     members = scratch.keep(keys.join(hubs, "key").select("key", "node", "low", "high"), "members")
     pairs = members.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(members.select(F.col("node").alias("a"), F.col("high").alias("b"))).where("a <> b").distinct()

@@ -56,3 +56,17 @@ def test_ids_join_what_only_they_share(spark):
     a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
     rows = [(7, a), (8, a), (8, b), (4, b), (4, c), (2, c), (2, None), (1, ""), (None, a), (7, a)]
     assert found(spark, [r for r in rows if r[0] is not None]) == sorted([(7, 2, False), (8, 2, False), (8, 2, False), (4, 2, False), (4, 2, False), (2, 2, True), (2, 2, True), (1, 1, True), (7, 2, False)])
+
+
+def test_large_groups_have_few_links(spark, monkeypatch):
+    text, links = prose(77, 200), {}
+    real = superminhash.components
+
+    def counted(df, scratch, name="cc"):
+        links[name] = df.count()
+        return real(df, scratch, name)
+
+    monkeypatch.setattr(superminhash, "components", counted)
+    rows = [(k, near_copy(text, k)) for k in range(150)]
+    assert found(spark, rows) == [(k, 0, k == 0) for k in range(150)]
+    assert links["near-candidates"] <= 30 * 150
