@@ -48,6 +48,8 @@ LEAST_AGREED = 0.62
 ORDERS = 3
 #: Shingles compared in one task; larger candidate components are split into blocks, and pairs of blocks into tasks.
 TASK_SHINGLES = 400_000
+#: Rows that a task reads at a time. Spark's 4,096 are whole texts, and those of all tasks of an executor share its heap.
+READ_ROWS = 512
 
 U = np.uint64
 
@@ -192,7 +194,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: int = 80, id_col: str
     """Per row: doc_id, n_shingles, component_id (least id reachable), kept, class_id (least id with an equal set)."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = Scratch(spark, "near", READ_ROWS)
     # Rows are told apart by id and a key of the text, as an id may have several.
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("k"), F.col(text_col).alias("text"))
     seen = scratch.keep(texts.mapInArrow(_describe(size), "doc_id long, k long, n long, s1 long, s2 long, bands array<long>, places array<short>"), "seen")

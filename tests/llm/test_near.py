@@ -70,3 +70,31 @@ def test_large_groups_have_few_links(spark, monkeypatch):
     rows = [(k, near_copy(text, k)) for k in range(150)]
     assert found(spark, rows) == [(k, 0, k == 0) for k in range(150)]
     assert links["near-candidates"] <= 30 * 150
+
+
+def test_sessions_that_leave_partitions_unset(spark):
+    name, text = "spark.sql.shuffle.partitions", prose(31, 80)
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        unset = spark.conf.get(name)
+        assert found(spark, [(4, text), (2, near_copy(text, 30)), (8, prose(32, 80))]) == [(2, 2, True), (4, 2, False), (8, 8, True)]
+        assert spark.conf.get(name) == unset
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_tasks_read_few_texts_at_a_time(spark, tmp_path, monkeypatch):
+    name, rows = "spark.sql.parquet.columnarReaderBatchSize", {}
+    frame(spark, [(k, prose(k, 40)) for k in range(8)]).write.parquet(path := f"{tmp_path}/documents.parquet")
+    before, docs = spark.conf.get(name), spark.read.parquet(path)
+    real = type(docs.write).parquet
+
+    def noted(self, path, *args, **kwargs):
+        rows[path.rsplit("/", 1)[1]] = int(spark.conf.get(name))
+        return real(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs.write), "parquet", noted)
+    assert superminhash.near_duplicates(docs, size=2).where("kept").count() == 8
+    assert {rows[table] for table in ("seen", "near-links")} == {superminhash.READ_ROWS}
+    assert spark.conf.get(name) == before
